@@ -1,12 +1,16 @@
 """Queries of the training-data operators and, where SQL can say the same, their SQL."""
 
 from contactweave.llm.mixing import OP10_SQL, op10_systematic_mix
+from contactweave.llm.packing import op8_nnls_packing
 from contactweave.llm.quality import OP3_SQL, op3_rule_ledger
 from contactweave.llm.sharding import op1_rendezvous_shards
+from contactweave.llm.simhash import op5_covering_simhash
 
 QUERIES = {
     "op1_rendezvous_shards": op1_rendezvous_shards,
     "op3_rule_ledger": op3_rule_ledger,
+    "op5_covering_simhash": op5_covering_simhash,
+    "op8_nnls_packing": op8_nnls_packing,
     "op10_systematic_mix": op10_systematic_mix,
 }
 ORACLES = {"op3_rule_ledger": OP3_SQL, "op10_systematic_mix": OP10_SQL}
