@@ -6,12 +6,13 @@ column of the same name as an output column is replaced by the output.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from contactweave.functions.storage import shared_dir, stored
+
+__all__ = ["BLANKS", "WORD", "running_total", "shared_dir", "stored", "table", "text_crc32", "word_count"]
+
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -20,23 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; set here only if the session has none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_crc32(text: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes; null counts as empty."""
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))

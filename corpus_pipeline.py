@@ -1,3 +1,4 @@
 STAGES = []
 def run(spark, sf_dir):
     raise NotImplementedError
+ORACLE_SQL = None
