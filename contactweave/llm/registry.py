@@ -7,11 +7,13 @@ from contactweave.llm.quality import OP3_SQL, op3_rule_ledger
 from contactweave.llm.search import OP9_SQL, op9_ball_tree_search
 from contactweave.llm.sharding import op1_rendezvous_shards
 from contactweave.llm.simhash import op5_covering_simhash
+from contactweave.llm.suffix_dedup import op2_suffix_merge
 from contactweave.llm.token_counts import op6_viterbi_counts
 from contactweave.llm.token_matrix import op7_best_fit_matrices
 
 QUERIES = {
     "op1_rendezvous_shards": op1_rendezvous_shards,
+    "op2_suffix_merge": op2_suffix_merge,
     "op3_rule_ledger": op3_rule_ledger,
     "op4_subword_language": op4_subword_language,
     "op5_covering_simhash": op5_covering_simhash,
