@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactweave.llm.common import stored, table
@@ -103,40 +103,38 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             links = [p for values in batch.column("values").to_pylist() for p in near_links(values, radius)]
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    first, second = (F.posexplode(F.array(*map(F.lit, covering_masks(radius, k)))) for k in (0, 1))
-    rows = prints.select("fp", first.alias("t", "m")).select("fp", F.col("t").cast("short").alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"))
-    counts = rows.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1")
-    met = rows.join(counts, ["t", "k"])
-    small = met.filter(F.col("n") <= LARGE).select("fp", "t", F.lit(-1).alias("s"), "k")
-    large = met.filter(F.col("n") > LARGE).select("fp", "t", "k", second.alias("s", "m"))
-    large = large.select("fp", "t", "s", F.col("k").bitwiseOR(F.col("fp").bitwiseAND(F.col("m"))).alias("k"))
-    buckets = small.unionByName(large)
-    lists = buckets.groupBy("t", "s", "k").agg(F.collect_list("fp").alias("values")).filter("size(values) > 1").select("values")
+    first, second = (F.posexplode(F.array(*map(F.lit, covering_masks(radius, k)))).alias("t", "m") for k in (0, 1))
+    key = lambda *of: F.xxhash64(*of, F.col("fp").bitwiseAND(F.col("m")))  # noqa: E731  values that share a key by chance fail the comparison
+    rows = prints.select("fp", first).select("fp", key("t").alias("k"))
+    met = rows.withColumn("n", F.count("*").over(Window.partitionBy("k"))).filter("n > 1")
+    large = met.filter(F.col("n") > LARGE).select("fp", "k", second).select("fp", key("k", "t").alias("k"))
+    buckets = met.filter(F.col("n") <= LARGE).select("fp", "k").unionByName(large)
+    lists = buckets.groupBy("k").agg(F.collect_list("fp").alias("values")).filter("size(values) > 1").select("values")
     return lists.mapInArrow(bucket_links, "a long, b long").distinct()
 
 
-def simhash_components(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+def simhash_components(rows: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """For rows of a key and a long ``fingerprint``: (fp, component_id), the smallest key its fingerprint reaches."""
     prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("low")), "prints")
-    roots = components(near_pairs(prints))
+    roots = components(near_pairs(prints, radius))
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
     return named.join(names, "root").select("fp", "component_id")
 
 
-def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
     """(key, fingerprint as 16 hex digits, component_id), a row for each row of ``df``."""
     rows = stored(df.select(F.col(key), fingerprint(F.col(text), shingle).alias("fingerprint")), "fingerprints")
-    groups = simhash_components(rows, key)
+    groups = simhash_components(rows, key, radius)
     joined = rows.join(groups, rows["fingerprint"] == groups["fp"])
     return joined.select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
     """``df`` with one row of each near-duplicate group: that of the smallest (key, text hash), null keys last."""
     whole = {"_cw_key": F.coalesce(F.concat(F.lit("0"), F.lpad(F.col(key).cast("string"), 20, "0")), F.lit("1")), "_cw_text": F.xxhash64(text)}
     rows = stored(df.select(*[c.alias(k) for k, c in whole.items()], fingerprint(F.col(text), shingle).alias("fingerprint")), "fingerprints")
-    groups = simhash_components(rows, "_cw_key")
+    groups = simhash_components(rows, "_cw_key", radius)
     best = rows.join(groups, rows["fingerprint"] == groups["fp"]).groupBy("component_id").agg(F.min(F.struct("_cw_key", "_cw_text")).alias("x"))
     best = best.select("x._cw_key", "x._cw_text").distinct()
     kept = df.withColumns(whole).join(best, ["_cw_key", "_cw_text"], "left_semi")

@@ -365,10 +365,11 @@ def _spans(keyed: DataFrame, text: str) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(merge_bucket, SPANS)
 
 
-def cut(text: Column, spans: Column) -> Column:
-    """Struct (kept bytes, n_bytes, n_removed, n_spans) of a text without its spans."""
+def cut(text: Column, spans: Column, as_text: bool = False) -> Column:
+    """Struct (kept, n_bytes, n_removed, n_spans) of a text without its spans: the bytes kept, or as text without characters cut in two."""
+    kind = "string" if as_text else "binary"
 
-    @F.arrow_udf("struct<kept: binary, n_bytes: long, n_removed: long, n_spans: long>")
+    @F.arrow_udf(f"struct<kept: {kind}, n_bytes: long, n_removed: long, n_spans: long>")
     def of(texts: pa.Array, lists: pa.Array) -> pa.Array:
         out = []
         for t, spans in zip(texts, lists, strict=True):
@@ -381,19 +382,19 @@ def cut(text: Column, spans: Column) -> Column:
                 done = at = max(done, s[1])
             kept.append(raw[at:])
             rest = b"".join(kept)
-            out.append((rest, len(raw), len(raw) - len(rest), runs))
+            out.append((rest.decode(errors="ignore") if as_text else rest, len(raw), len(raw) - len(rest), runs))
         cols = list(zip(*out, strict=True)) or [[], [], [], []]
-        return pa.StructArray.from_arrays([pa.array(cols[0], pa.binary())] + [pa.array(c, pa.int64()) for c in cols[1:]], names=["kept", "n_bytes", "n_removed", "n_spans"])
+        return pa.StructArray.from_arrays([pa.array(cols[0], pa.string() if as_text else pa.binary())] + [pa.array(c, pa.int64()) for c in cols[1:]], names=["kept", "n_bytes", "n_removed", "n_spans"])
 
     return of(text, spans)
 
 
-def remove_repeats(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``kept`` (the text's remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans``."""
+def remove_repeats(df: DataFrame, text: str = "text", as_text: bool = False) -> DataFrame:
+    """``df`` with ``kept`` (the remaining bytes, or as text without characters cut in two), ``n_bytes``, ``n_removed``, ``n_spans``."""
     keyed = _keyed(df, text)
     spans = _spans(keyed, text).groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "finish")).alias("_cw_spans"))
     joined = keyed.join(spans, (F.col("_cw_k1") == spans["k1"]) & (F.col("_cw_k2") == spans["k2"]), "left").drop("k1", "k2", "_cw_k1", "_cw_k2")
-    out = joined.withColumn("_cw_cut", cut(F.col(text), F.col("_cw_spans")))
+    out = joined.withColumn("_cw_cut", cut(F.col(text), F.col("_cw_spans"), as_text))
     return out.withColumns({c: F.col(f"_cw_cut.{c}") for c in ("kept", "n_bytes", "n_removed", "n_spans")}).drop("_cw_cut", "_cw_spans")
 
 
