@@ -10,7 +10,7 @@ wave start from it. Bounds only skip what cannot be among the k, so results are
 Defined cases: vectors that are null, or hold a null or a value that is not finite,
 and rows of null id take no part; only vectors of the query's length are its
 candidates; rows of equal id are separate rows, and a query skips only itself; ties go
-to the smaller id; an empty table gives an empty table. Scores must fit 64 bits.
+to the smaller id; an empty table gives an empty table. Scores must stay below 2**62.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from contactweave.llm.common import stored, table
 
 SHARD, BLOCK, LEAF = 8192, 2048, 256
 FOUND = "query bigint, query_id bigint, vec_id bigint, score bigint"
-LEAST = np.iinfo(np.int64).min
+#: Below every score.
+LEAST = -(1 << 62)
 
 
 def whole(embedding: Column, scale: int = 64) -> Column:
@@ -119,6 +120,7 @@ def search_task(k: int):
 def _wave(rows: DataFrame, asked: DataFrame, shards: list[int], blocks: int, k: int) -> DataFrame:
     left = rows.filter(F.col("shard").isin(shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = asked.withColumn("shard", F.explode(F.array(*map(F.lit, shards))))
+    right = right.toDF(*right.columns)  # both sides come from one table: columns of its own
     keys = ["shard", "block", "width"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search_task(k), FOUND)
 
