@@ -342,6 +342,12 @@ def merge_bucket(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(all_[:, k]) for k in range(4)], names=["k1", "k2", "begin", "finish"])
 
 
+def _meet(keyed: DataFrame, by_document: DataFrame, how: str) -> DataFrame:
+    """``keyed`` with the row of its document, under names that can't clash with its own."""
+    other = by_document.withColumnsRenamed({"k1": "_cw_j1", "k2": "_cw_j2"})
+    return keyed.join(other, (F.col("_cw_k1") == F.col("_cw_j1")) & (F.col("_cw_k2") == F.col("_cw_j2")), how).drop("_cw_j1", "_cw_j2")
+
+
 def _keyed(df: DataFrame, text: str) -> DataFrame:
     columns = [F.col(c) for c in df.columns]
     others = [c for c, n in zip(columns, df.columns, strict=True) if n != text]
@@ -358,9 +364,9 @@ def _spans(keyed: DataFrame, text: str) -> DataFrame:
     found = blocks.join(grams, "gram").groupBy("k1", "k2", "gram", "where").agg(F.count("*").alias("m"), F.first("n").alias("n"))
     found = stored(found.select("k1", "k2", "gram", "where", (F.col("n") > HOT).alias("many"), (F.col("m") > 1).alias("alike")), "blocks")
     buckets = max(8, found.count() // BUCKET)
-    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "where", "many", "alike")).alias("blocks"))
-    own = keyed.join(lists, (F.col("_cw_k1") == lists["k1"]) & (F.col("_cw_k2") == lists["k2"])).drop("k1", "k2")
-    own = own.select(*[F.col(c).alias({"_cw_k1": "k1", "_cw_k2": "k2", text: "text"}.get(c, f"_cw_{c}")) for c in keyed.columns], "blocks")
+    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "where", "many", "alike")).alias("_cw_blocks"))
+    named = {"_cw_k1": "k1", "_cw_k2": "k2", text: "text"}
+    own = _meet(keyed, lists, "inner").select(*[F.col(c).alias(named.get(c, f"_cw_{c}")) for c in keyed.columns], F.col("_cw_blocks").alias("blocks"))
     runs = own.mapInArrow(make_runs(buckets), RUNS)
     return runs.groupBy("bucket").applyInArrow(merge_bucket, SPANS)
 
@@ -393,7 +399,7 @@ def remove_repeats(df: DataFrame, text: str = "text", as_text: bool = False) ->
     """``df`` with ``kept`` (the remaining bytes, or as text without characters cut in two), ``n_bytes``, ``n_removed``, ``n_spans``."""
     keyed = _keyed(df, text)
     spans = _spans(keyed, text).groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "finish")).alias("_cw_spans"))
-    joined = keyed.join(spans, (F.col("_cw_k1") == spans["k1"]) & (F.col("_cw_k2") == spans["k2"]), "left").drop("k1", "k2", "_cw_k1", "_cw_k2")
+    joined = _meet(keyed, spans, "left").drop("_cw_k1", "_cw_k2")
     out = joined.withColumn("_cw_cut", cut(F.col(text), F.col("_cw_spans"), as_text))
     return out.withColumns({c: F.col(f"_cw_cut.{c}") for c in ("kept", "n_bytes", "n_removed", "n_spans")}).drop("_cw_cut", "_cw_spans")
 

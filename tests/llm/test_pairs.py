@@ -1,0 +1,168 @@
+"""SimHash, suffix dedup, search and the pipeline against brute force."""
+
+import hashlib
+import itertools
+import math
+import random
+from collections import Counter
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from contactweave.llm import search, simhash, suffix_dedup
+from contactweave.llm.registry import ORACLES
+
+
+def roots(nodes, edges):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def naive_fingerprint(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash(spark, sf):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    prints = {d: naive_fingerprint(t) for d, t in docs.items()}
+    near = [(a, b) for a, b in itertools.combinations(docs, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    want = roots(docs, near)
+    got = simhash.op5_covering_simhash(spark, sf).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {d: (f"{prints[d]:016x}", want[d]) for d in docs}
+
+
+def test_simhash_equals_spark_hash(spark):
+    text = "one two three"
+    assert spark.range(1).select(F.hex(F.xxhash64(F.lit(text)))).first()[0].lower() == f"{simhash.fingerprint_of(text):016x}"
+
+
+def test_simhash_cases(spark):
+    rows = [(1, None), (2, ""), (3, "\x0b "), (4, "One"), (4, "one"), (None, "é two"), (6, "a b c d " * 4000), (5, "a b c d " * 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fingerprint", F.lit("own"))
+    got = [(r.doc_id, r.fingerprint, r.component_id) for r in simhash.simhash_groups(df).collect()]
+    assert sorted(x for x in got if x[0] in (1, 2, 3)) == [(k, "0" * 16, 1) for k in (1, 2, 3)]
+    assert [x[2] for x in got if x[0] == 4] == [4, 4] and [x[2] for x in got if x[0] in (5, 6)] == [5, 5] and [x[2] for x in got if x[0] is None] == [None]
+    kept = simhash.keep_one(df.withColumn("component_id", F.lit("own")))
+    assert kept.columns == ["doc_id", "text", "fingerprint", "component_id"]
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 4, None, 5])
+    assert simhash.simhash_groups(df.limit(0)).count() == simhash.keep_one(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("radius", "large"), [(2, 4096), (2, 2), (5, 4096), (5, 2)])
+def test_covering_misses_no_pair(spark, monkeypatch, radius, large):
+    monkeypatch.setattr(simhash, "LARGE", large)
+    rng = random.Random(radius)
+    values = set()
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        for _ in range(6):
+            x = base
+            for b in rng.sample(range(64), rng.randint(0, radius)):
+                x ^= 1 << b
+            values.add(x - (1 << 64) if x >> 63 else x)
+    links = simhash.near_pairs(spark.createDataFrame([(v,) for v in values], "fp long"), radius).collect()
+    far = [(r.a, r.b) for r in links if ((r.a ^ r.b) & (1 << 64) - 1).bit_count() > radius]
+    near = [(a, b) for a, b in itertools.combinations(values, 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= radius]
+    assert not far and roots(values, near) == roots(values, [(r.a, r.b) for r in links])
+
+
+def naive_removal(rows, n=200):
+    raw = [(d, (t or "").encode()) for d, t in rows]
+    seen = Counter(b[i : i + n] for _, b in raw for i in range(len(b) - n + 1))
+    out = []
+    for d, b in raw:
+        gone = bytearray(len(b))
+        for i in range(len(b) - n + 1):
+            if seen[b[i : i + n]] > 1:
+                gone[i : i + n] = b"\1" * n
+        kept = bytes(x for x, y in zip(b, gone, strict=True) if not y)
+        runs = sum(1 for i in range(len(b)) if gone[i] and (i == 0 or not gone[i - 1]))
+        out.append((d, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def removal(df):
+    out = suffix_dedup.remove_repeats(df)
+    return sorted(map(tuple, out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()), key=str)
+
+
+def test_suffix_query(spark, sf):
+    got = sorted(map(tuple, suffix_dedup.op2_suffix_merge(spark, sf).collect()), key=str)
+    assert got == naive_removal([(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
+
+
+def odd_texts(seed):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 6))) for _ in range(12)]
+    base = [" ".join(rng.choice(words) for _ in range(rng.randint(20, 200))) for _ in range(6)]
+    rows = []
+    for k in range(50):
+        text = ""
+        for _ in range(rng.randint(0, 4)):
+            b = rng.choice(base)
+            a = rng.randint(0, len(b))
+            text += b[a : rng.randint(a, len(b))] + " ".join(rng.choice(words) for _ in range(rng.randint(0, 30)))
+        rows.append((k, text))
+    same = rows[3][1]
+    return rows + [(100, None), (101, ""), (102, "a" * 900), (103, "ab" * 300), (104, same), (3, same), (3, same), (None, rows[5][1]), (None, None), (105, "x" * 199), (106, "y" * 200)]
+
+
+@pytest.mark.parametrize(("stretch", "hot", "run_bytes"), [(1 << 20, 20000, 24 << 20), (700, 20000, 2000), (1000, 2, 3000)])
+def test_suffix_cases(spark, monkeypatch, stretch, hot, run_bytes):
+    for name, value in (("STRETCH", stretch), ("HOT", hot), ("RUN_BYTES", run_bytes), ("BUCKET", 100)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rows = odd_texts(hot)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert removal(df) == naive_removal(rows)
+    assert removal(df.limit(0)) == []
+    extra = df.withColumns({"kept": F.lit("own"), "n_bytes": F.lit(1), "k1": F.lit(1), "gram": F.lit("x")})
+    assert removal(extra) == naive_removal(rows)
+
+
+def test_merge_orders_keys():
+    rng = random.Random(4)
+    keys = ["".join(rng.choice("ab") for _ in range(rng.randint(60, 70))).encode() for _ in range(300)]
+    runs = []
+    for k in range(7):
+        own = sorted(keys[k::7])
+        (coded,) = (r for r in suffix_dedup.front_code([(0, x, 50, 0, n, 0, False) for n, x in enumerate(own)]) if r[0] == 0)
+        runs.append(suffix_dedup.Run(*coded[1:]))
+    got = [(run.key, n) for run, n in suffix_dedup.merge(runs)]
+    assert {k for k, _ in got} == set(keys) and [k for k, _ in got] == sorted(k for k, _ in got)
+    assert all(n == suffix_dedup.shared(a, b) for (a, _), (b, n) in itertools.pairwise(got))
+
+
+def test_search_sql(spark, sf, same_as_sql):
+    same_as_sql(search.op9_ball_tree_search(spark, sf), ORACLES["op9_ball_tree_search"])
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 21])
+def test_search_cases(spark, monkeypatch, scale):
+    for name, value in (("SHARD", 40), ("BLOCK", 7), ("LEAF", 8)):
+        monkeypatch.setattr(search, name, value)
+    rng = random.Random(3)
+    rows = [(k if k % 9 else 40, [scale * rng.choice([0.5, -0.25, 0.125, 1.0, float(rng.randint(-9, 9))]) for _ in range(3 if k % 10 else 2)] if k % 13 else (None if k % 2 else [1.0, None, math.nan])) for k in range(300)]
+    rows += [(None, [1.0, 2.0, 3.0]), (41, []), *rows[20:50]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("own"))
+    good = [(v, [math.floor(64 * x) for x in e]) for v, e in df.select("vec_id", "embedding").collect() if v is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
+    want = []
+    for n, (q, v) in enumerate(good):
+        if q % 20 == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), c) for m, (c, w) in enumerate(good) if m != n and len(v) == len(w))[:5]
+            want += [(q, k + 1, c, -x) for k, (x, c) in enumerate(near)]
+    got = search.top_k(df, F.col("vec_id") % 20 == 0, 5)
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == sorted(want)
+    assert search.top_k(df.limit(0), F.col("vec_id") % 20 == 0, 5).count() == 0
