@@ -12,6 +12,11 @@ family of masks, which leaves about a quarter of the bits free: with radius 2 th
 are 16 bits, and no bucket ever holds more than 65536 values. A bucket gives the links of a spanning forest of
 its near pairs, never all of them.
 
+For the pipeline's stage, copies that differ in several words are wanted, which needs
+a larger radius, and many documents then have a fingerprint near another's by chance.
+There a second fingerprint from another hash decides: a link also needs the second
+ones to be near. Pairs beyond the radius that meet all the same may count (``accept``).
+
 Defined cases: a null text has no words (fingerprint 0, linked like any other); a
 null id never is a component's name unless all its ids are null; repeated rows share
 a component; an empty table gives an empty table; columns ``fingerprint`` and
@@ -45,13 +50,27 @@ def _signed(x: int) -> int:
 
 
 def covering_masks(radius: int, family: int = 0) -> list[int]:
-    """The 2^(radius+1)-1 masks over 64 bits, as signed values; two families deal the vectors to the bits in two ways."""
+    """The 2^(radius+1)-1 masks over 64 bits, as signed values; two families deal the vectors to the bits in two ways.
+
+    Bit k gets the last bits of k, for radius 6 behind a 1 (a first-order Reed-Muller code): every mask but that of
+    all bits compares 32 of them.
+    """
+    if not 0 <= radius <= 6:
+        raise ValueError("64 bits hold masks for a radius from 0 to 6")
     size = 2 << radius
-    vector = [(k * 37 if family == 0 else k // 8 * 37 + k % 8 * 8) % size for k in range(64)]
+    place = [k if family == 0 else k // 8 if radius <= 2 else k * 37 % 64 for k in range(64)]
+    vector = [(64 | k) % size if size > 64 else k % size for k in place]
     return [_signed(sum(1 << b for b, w in enumerate(vector) if _product(v, w))) for v in range(1, size)]
 
 
-def fingerprint_of(text: str | None, shingle: int = 3) -> int:
+def first_hash(shingle: bytes) -> int:
+    return xxhash.xxh64_intdigest(shingle, 42)
+
+
+second_hash = xxhash.xxh3_64_intdigest
+
+
+def fingerprint_of(text: str | None, shingle: int = 3, digest=first_hash) -> int:
     """Unsigned fingerprint of one text."""
     words = (text or "").encode().lower().split()
     if not words:
@@ -61,62 +80,72 @@ def fingerprint_of(text: str | None, shingle: int = 3) -> int:
     ends = np.cumsum(size + 1) - 1
     starts = ends - size
     last = min(shingle, len(words)) - 1
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(words) - last].tolist(), ends[last:].tolist(), strict=True)], dtype=">u8")
+    hashes = np.array([digest(joined[a:b]) for a, b in zip(starts[: len(words) - last].tolist(), ends[last:].tolist(), strict=True)], dtype=">u8")
     ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes)).view(">u8")[0])
 
 
-def fingerprint(text: Column, shingle: int = 3) -> Column:
+def fingerprint(text: Column, shingle: int = 3, digest=first_hash) -> Column:
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([_signed(fingerprint_of(t, shingle)) for t in texts.to_pylist()], pa.int64())
+        return pa.array([_signed(fingerprint_of(t, shingle, digest)) for t in texts.to_pylist()], pa.int64())
 
     return of(text)
 
 
-def near_links(values: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of distinct values that differ in at most ``radius`` bits."""
-    if len(values) == 2:
+def near_links(values: list[int], accept: int = RADIUS, checks: list[int] | None = None, check_accept: int = 64) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of distinct values that differ in at most ``accept`` bits (and their checks in ``check_accept``)."""
+    if len(values) == 2 and checks is None:
         a, b = values
-        return [(a, b)] if ((a ^ b) & (1 << 64) - 1).bit_count() <= radius else []
-    left = np.array(values, dtype=np.int64)
+        return [(a, b)] if ((a ^ b) & (1 << 64) - 1).bit_count() <= accept else []
+    left = np.array(values, dtype=np.int64).view(np.uint64)
+    other = np.array(checks or values, dtype=np.int64).view(np.uint64)
     out, edge = [], []
-    while len(edge) or len(left):
+    while edge or len(left):
         if not edge:
-            edge, left = [left[-1]], left[:-1]
-        at = edge.pop()
-        near = np.bitwise_count((left ^ at).view(np.uint64)) <= radius
+            edge, left, other = [(left[-1], other[-1])], left[:-1], other[:-1]
+        at, check = edge.pop()
+        near = np.bitwise_count(left ^ at) <= accept
+        if checks is not None:
+            near &= np.bitwise_count(other ^ check) <= check_accept
         if near.any():
-            found = left[near]
-            out += [(int(at), int(x)) for x in found]
-            edge += list(found)
-            left = left[~near]
+            out += [(_signed(int(at)), _signed(int(x))) for x in left[near]]
+            edge += list(zip(left[near], other[near], strict=True))
+            left, other = left[~near], other[~near]
     return out
 
 
-def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (a, b) that connect whatever the near pairs of the distinct values of column ``fp`` connect."""
+def near_pairs(prints: DataFrame, radius: int = RADIUS, accept: int | None = None, check_accept: int = 64) -> DataFrame:
+    """Links (a, b) that connect whatever the near pairs of the distinct values of column ``fp`` connect.
+
+    With a column ``check`` of second fingerprints, links need these to be within ``check_accept`` bits.
+    """
+    checked = "check" in prints.columns
+    most = radius if accept is None else accept
 
     def bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = [p for values in batch.column("values").to_pylist() for p in near_links(values, radius)]
+            links = []
+            for rows in batch.column("rows").to_pylist():
+                links += near_links([r["fp"] for r in rows], most, [r["check"] for r in rows] if checked else None, check_accept)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
+    own = ["fp", "check"] if checked else ["fp"]
     first, second = (F.posexplode(F.array(*map(F.lit, covering_masks(radius, k)))).alias("t", "m") for k in (0, 1))
     key = lambda *of: F.xxhash64(*of, F.col("fp").bitwiseAND(F.col("m")))  # noqa: E731  values that share a key by chance fail the comparison
-    rows = prints.select("fp", first).select("fp", key("t").alias("k"))
+    rows = prints.select(*own, first).select(*own, key("t").alias("k"))
     met = rows.withColumn("n", F.count("*").over(Window.partitionBy("k"))).filter("n > 1")
-    large = met.filter(F.col("n") > LARGE).select("fp", "k", second).select("fp", key("k", "t").alias("k"))
-    buckets = met.filter(F.col("n") <= LARGE).select("fp", "k").unionByName(large)
-    lists = buckets.groupBy("k").agg(F.collect_list("fp").alias("values")).filter("size(values) > 1").select("values")
+    large = met.filter(F.col("n") > LARGE).select(*own, "k", second).select(*own, key("k", "t").alias("k"))
+    buckets = met.filter(F.col("n") <= LARGE).select(*own, "k").unionByName(large)
+    lists = buckets.groupBy("k").agg(F.collect_list(F.struct(*own)).alias("rows")).filter("size(rows) > 1").select("rows")
     return lists.mapInArrow(bucket_links, "a long, b long").distinct()
 
 
-def simhash_components(rows: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+def simhash_components(rows: DataFrame, key: str = "doc_id", radius: int = RADIUS, accept: int | None = None, check_accept: int = 64) -> DataFrame:
     """For rows of a key and a long ``fingerprint``: (fp, component_id), the smallest key its fingerprint reaches."""
-    prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("low")), "prints")
-    roots = components(near_pairs(prints, radius))
+    check = [F.min("check").alias("check")] if "check" in rows.columns else []
+    prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("low"), *check), "prints")
+    roots = components(near_pairs(prints.drop("low"), radius, accept, check_accept))
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
     return named.join(names, "root").select("fp", "component_id")
@@ -130,11 +159,15 @@ def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", shing
     return joined.select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
-    """``df`` with one row of each near-duplicate group: that of the smallest (key, text hash), null keys last."""
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS, accept: int | None = None, check_accept: int | None = None) -> DataFrame:
+    """``df`` with one row of each near-duplicate group: that of the smallest (key, text hash), null keys last.
+
+    ``check_accept``: links also need second fingerprints within so many bits.
+    """
     whole = {"_cw_key": F.coalesce(F.concat(F.lit("0"), F.lpad(F.col(key).cast("string"), 20, "0")), F.lit("1")), "_cw_text": F.xxhash64(text)}
-    rows = stored(df.select(*[c.alias(k) for k, c in whole.items()], fingerprint(F.col(text), shingle).alias("fingerprint")), "fingerprints")
-    groups = simhash_components(rows, "_cw_key", radius)
+    check = [fingerprint(F.col(text), shingle, second_hash).alias("check")] if check_accept is not None else []
+    rows = stored(df.select(*[c.alias(k) for k, c in whole.items()], fingerprint(F.col(text), shingle).alias("fingerprint"), *check), "fingerprints")
+    groups = simhash_components(rows, "_cw_key", radius, accept, 64 if check_accept is None else check_accept)
     best = rows.join(groups, rows["fingerprint"] == groups["fp"]).groupBy("component_id").agg(F.min(F.struct("_cw_key", "_cw_text")).alias("x"))
     best = best.select("x._cw_key", "x._cw_text").distinct()
     kept = df.withColumns(whole).join(best, ["_cw_key", "_cw_text"], "left_semi")

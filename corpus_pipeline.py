@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from contactweave.llm import mixing, packing, quality, simhash, suffix_dedup
 from contactweave.llm.common import stored, table
 
-#: Differing bits of 64 up to which two documents are near-duplicates.
-NEAR_BITS = 5
+#: Near-duplicates: found without a miss up to so many differing bits of 64, counted up to ACCEPT where they
+#: meet, and only if second fingerprints from another hash differ in at most CHECK bits.
+NEAR_BITS, ACCEPT, CHECK = 6, 9, 16
 
 #: No SQL: suffix dedup and the fingerprints' hash are beyond it; the tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -39,7 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest doc_id."""
-    return simhash.keep_one(docs, radius=NEAR_BITS)
+    return simhash.keep_one(docs, radius=NEAR_BITS, accept=ACCEPT, check_accept=CHECK)
 
 
 def suffix_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_simhash_cases(spark):
     assert simhash.simhash_groups(df.limit(0)).count() == simhash.keep_one(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("radius", "large"), [(2, 4096), (2, 2), (5, 4096), (5, 2)])
+@pytest.mark.parametrize(("radius", "large"), [(2, 4096), (2, 2), (5, 4096), (6, 2)])
 def test_covering_misses_no_pair(spark, monkeypatch, radius, large):
     monkeypatch.setattr(simhash, "LARGE", large)
     rng = random.Random(radius)
@@ -79,6 +79,23 @@ def test_covering_misses_no_pair(spark, monkeypatch, radius, large):
     assert not far and roots(values, near) == roots(values, [(r.a, r.b) for r in links])
 
 
+def test_masks():
+    for radius in range(7):
+        for family in (0, 1):
+            masks = simhash.covering_masks(radius, family)
+            assert len(masks) == (2 << radius) - 1
+            for _ in range(200):
+                flips = sum(1 << b for b in random.sample(range(64), radius))
+                assert any(not flips & m for m in masks)
+    assert {(m & (1 << 64) - 1).bit_count() for m in simhash.covering_masks(6)} == {32, 64}
+
+
+def test_second_fingerprints_decide(spark):
+    rows = [(0, 0), (1, 1), (2, 1 << 20), (3, (1 << 30) - 1)]
+    links = simhash.near_pairs(spark.createDataFrame(rows, "fp long, check long"), 2, None, 3).collect()
+    assert roots(range(4), [(r.a, r.b) for r in links]) == {0: 0, 1: 0, 2: 0, 3: 3}
+
+
 def naive_removal(rows, n=200):
     raw = [(d, (t or "").encode()) for d, t in rows]
     seen = Counter(b[i : i + n] for _, b in raw for i in range(len(b) - n + 1))

@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against brute force on each stage's own input."""
 
+import itertools
 from collections import Counter
 
 import corpus_pipeline
@@ -8,7 +9,7 @@ from test_pairs import naive_fingerprint, naive_removal, roots
 from test_text_models import check_packing
 
 from contactweave.functions.storage import stored
-from contactweave.llm import mixing, quality
+from contactweave.llm import mixing, quality, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -25,9 +26,12 @@ def test_stages(spark, sf):
     assert all(d.columns == COLUMNS for d in (good, single, cut, mixed))
     kept = {r.doc_id for r in quality.ledger(raw).collect() if r.fail_bits & quality.mask("prose-1") == 0}
     assert {r.doc_id for r in good.collect()} == kept and 0 < len(kept) < raw.count()
-    prints = {r.doc_id: naive_fingerprint(r.text) for r in good.collect()}
-    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= corpus_pipeline.NEAR_BITS]
-    assert sorted(r.doc_id for r in single.collect()) == sorted(set(roots(prints, near).values()))
+    prints = {r.doc_id: (naive_fingerprint(r.text), simhash.fingerprint_of(r.text, 3, simhash.second_hash)) for r in good.collect()}
+    far = {(a, b): [(x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True)] for a, b in itertools.combinations(sorted(prints), 2)}
+    sure = roots(prints, [p for p, (x, y) in far.items() if x <= corpus_pipeline.NEAR_BITS and y <= corpus_pipeline.CHECK])
+    most = roots(prints, [p for p, (x, y) in far.items() if x <= corpus_pipeline.ACCEPT and y <= corpus_pipeline.CHECK])
+    kept_one = {r.doc_id for r in single.collect()}
+    assert set(most.values()) <= kept_one <= set(sure.values()) and single.count() == len(kept_one) < len(prints)
     want = {d: n - gone for d, n, gone, _, _ in naive_removal([(r.doc_id, r.text) for r in single.collect()])}
     for r in cut.collect():
         assert want[r.doc_id] - 200 * 3 < len(r.text.encode()) <= want[r.doc_id] and r.n_chars == len(r.text)
