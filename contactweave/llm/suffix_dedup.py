@@ -45,7 +45,7 @@ MATCH, GRAM = 200, 50
 #: Windows are looked at in stretches of so many bytes.
 STRETCH = 1 << 20
 #: Bytes of keys a task holds for one run; blocks a bucket should get; occurrences that make a gram hot.
-RUN_BYTES, BUCKET, HOT = 24 << 20, 40_000, 20_000
+RUN_BYTES, BUCKET, HOT = 24 << 20, 8_000, 20_000
 BASE = 0x9E3779B97F4A7C15
 RUNS = "bucket long, lcp binary, size binary, right binary, tails binary, copies binary, ids binary"
 SPANS = "k1 long, k2 long, begin long, finish long"
@@ -360,7 +360,8 @@ def _spans(keyed: DataFrame, text: str) -> DataFrame:
     """(k1, k2, begin, finish) of repeated places, unmerged."""
     plain = keyed.select(F.col("_cw_k1").alias("k1"), F.col("_cw_k2").alias("k2"), F.col(text).alias("text"))
     blocks = plain.mapInArrow(find_blocks, "k1 long, k2 long, gram long, where long")
-    grams = blocks.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    # Stored: the join below then has plain shuffles on both sides, and a very frequent gram's blocks can be split.
+    grams = stored(blocks.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
     found = blocks.join(grams, "gram").groupBy("k1", "k2", "gram", "where").agg(F.count("*").alias("m"), F.first("n").alias("n"))
     found = stored(found.select("k1", "k2", "gram", "where", (F.col("n") > HOT).alias("many"), (F.col("m") > 1).alias("alike")), "blocks")
     buckets = max(8, found.count() // BUCKET)
