@@ -362,7 +362,8 @@ def _spans(keyed: DataFrame, text: str) -> DataFrame:
     blocks = plain.mapInArrow(find_blocks, "k1 long, k2 long, gram long, where long")
     # Stored: the join below then has plain shuffles on both sides, and a very frequent gram's blocks can be split.
     grams = stored(blocks.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
-    found = blocks.join(grams, "gram").groupBy("k1", "k2", "gram", "where").agg(F.count("*").alias("m"), F.first("n").alias("n"))
+    # Dealt by document before blocks are grouped: grouping on top of the join would keep a gram's blocks in one task.
+    found = blocks.join(grams, "gram").repartition("k1", "k2").groupBy("k1", "k2", "gram", "where").agg(F.count("*").alias("m"), F.first("n").alias("n"))
     found = stored(found.select("k1", "k2", "gram", "where", (F.col("n") > HOT).alias("many"), (F.col("m") > 1).alias("alike")), "blocks")
     buckets = max(8, found.count() // BUCKET)
     lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "where", "many", "alike")).alias("_cw_blocks"))
