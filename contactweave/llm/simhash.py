@@ -9,13 +9,14 @@ masked out and the pair collides. Only distinct fingerprints are compared.
 
 A bucket of more than ``LARGE`` distinct fingerprints is covered again by a second
 family of masks, which leaves about a quarter of the bits free: with radius 2 these
-are 16 bits, and no bucket ever holds more than 65536 values. A bucket gives the links of a spanning forest of
-its near pairs, never all of them.
+are 16 bits, and no bucket ever holds more than 65536 values. A bucket gives the
+links of a spanning forest of its near pairs, never all of them.
 
 For the pipeline's stage, copies that differ in several words are wanted, which needs
 a larger radius, and many documents then have a fingerprint near another's by chance.
-There a second fingerprint from another hash decides: a link also needs the second
-ones to be near. Pairs beyond the radius that meet all the same may count (``accept``).
+There every document has a second fingerprint from another hash. Both are covered, so
+a pair meets if either differs within the radius, and a link needs the other to be near
+too. Pairs beyond the radius that meet all the same may count (``accept``).
 
 Defined cases: a null text has no words (fingerprint 0, linked like any other); a
 null id never is a component's name unless all its ids are null; repeated rows share
@@ -94,7 +95,10 @@ def fingerprint(text: Column, shingle: int = 3, digest=first_hash) -> Column:
 
 
 def near_links(values: list[int], accept: int = RADIUS, checks: list[int] | None = None, check_accept: int = 64) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of distinct values that differ in at most ``accept`` bits (and their checks in ``check_accept``)."""
+    """A spanning forest of the pairs of distinct values that differ in at most ``accept`` bits.
+
+    With ``checks``, the nearer of a pair's two differences must be so small, and the other at most ``check_accept``.
+    """
     if len(values) == 2 and checks is None:
         a, b = values
         return [(a, b)] if ((a ^ b) & (1 << 64) - 1).bit_count() <= accept else []
@@ -105,9 +109,8 @@ def near_links(values: list[int], accept: int = RADIUS, checks: list[int] | None
         if not edge:
             edge, left, other = [(left[-1], other[-1])], left[:-1], other[:-1]
         at, check = edge.pop()
-        near = np.bitwise_count(left ^ at) <= accept
-        if checks is not None:
-            near &= np.bitwise_count(other ^ check) <= check_accept
+        far, beside = np.bitwise_count(left ^ at), np.bitwise_count(other ^ check)
+        near = far <= accept if checks is None else (np.minimum(far, beside) <= accept) & (np.maximum(far, beside) <= check_accept)
         if near.any():
             out += [(_signed(int(at)), _signed(int(x))) for x in left[near]]
             edge += list(zip(left[near], other[near], strict=True))
@@ -118,7 +121,7 @@ def near_links(values: list[int], accept: int = RADIUS, checks: list[int] | None
 def near_pairs(prints: DataFrame, radius: int = RADIUS, accept: int | None = None, check_accept: int = 64) -> DataFrame:
     """Links (a, b) that connect whatever the near pairs of the distinct values of column ``fp`` connect.
 
-    With a column ``check`` of second fingerprints, links need these to be within ``check_accept`` bits.
+    With a column ``check`` of second fingerprints, both are covered, and links need one within ``accept`` bits and the other within ``check_accept``.
     """
     checked = "check" in prints.columns
     most = radius if accept is None else accept
@@ -132,10 +135,11 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, accept: int | None = Non
 
     own = ["fp", "check"] if checked else ["fp"]
     first, second = (F.posexplode(F.array(*map(F.lit, covering_masks(radius, k)))).alias("t", "m") for k in (0, 1))
-    key = lambda *of: F.xxhash64(*of, F.col("fp").bitwiseAND(F.col("m")))  # noqa: E731  values that share a key by chance fail the comparison
-    rows = prints.select(*own, first).select(*own, key("t").alias("k"))
+    # Values that share a key by chance fail the comparison.
+    keys = lambda *of: F.explode(F.array(*[F.xxhash64(*of, F.lit(side), F.col(c).bitwiseAND(F.col("m"))) for side, c in enumerate(own)])).alias("k")
+    rows = prints.select(*own, first).select(*own, keys("t"))
     met = rows.withColumn("n", F.count("*").over(Window.partitionBy("k"))).filter("n > 1")
-    large = met.filter(F.col("n") > LARGE).select(*own, "k", second).select(*own, key("k", "t").alias("k"))
+    large = met.filter(F.col("n") > LARGE).select(*own, "k", second).select(*own, keys("k", "t"))
     buckets = met.filter(F.col("n") <= LARGE).select(*own, "k").unionByName(large)
     lists = buckets.groupBy("k").agg(F.collect_list(F.struct(*own)).alias("rows")).filter("size(rows) > 1").select("rows")
     return lists.mapInArrow(bucket_links, "a long, b long").distinct()
@@ -147,7 +151,8 @@ def simhash_components(rows: DataFrame, key: str = "doc_id", radius: int = RADIU
     prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("low"), *check), "prints")
     roots = components(near_pairs(prints.drop("low"), radius, accept, check_accept))
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    names = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    # Stored: the join below then has plain shuffles on both sides, and a very large component's rows can be split.
+    names = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "names")
     return named.join(names, "root").select("fp", "component_id")
 
 

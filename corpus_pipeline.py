@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from contactweave.llm import mixing, packing, quality, simhash, suffix_dedup
 from contactweave.llm.common import stored, table
 
-#: Near-duplicates: found without a miss up to so many differing bits of 64, counted up to ACCEPT where they
-#: meet, and only if second fingerprints from another hash differ in at most CHECK bits.
-NEAR_BITS, ACCEPT, CHECK = 6, 9, 16
+#: Near-duplicates: two fingerprints from different hashes; one may differ in so many bits of 64, found without a miss,
+#: or up to ACCEPT where the pair meets, and the other in at most CHECK.
+NEAR_BITS, ACCEPT, CHECK = 5, 9, 16
 
 #: No SQL: suffix dedup and the fingerprints' hash are beyond it; the tests hold the stages against brute force.
 ORACLE_SQL = None
