@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,20 +30,25 @@ def query(f: Query) -> Query:
     return f
 
 
-def _weighted(s: SparkSession, d: str) -> DataFrame:
-    return links.edge_weights(links.link_counts(b.reads(s, d)), b.contigs(s, d), MIN_LINKS)
+class Graph(NamedTuple):
+    contigs: DataFrame
+    weighted: DataFrame
+    factors: DataFrame
 
+    @property
+    def edges(self) -> DataFrame:
+        return links.draft_edges(self.weighted, self.factors)
 
-def _factors(s: SparkSession, d: str) -> DataFrame:
-    return links.node_factors(_weighted(s, d), b.contigs(s, d))
+    @property
+    def invalid(self) -> DataFrame:
+        return links.invalid_nodes(self.factors, MIN_RE, MAX_DENSITY)
 
 
-def _edges(s: SparkSession, d: str) -> DataFrame:
-    return links.draft(b.reads(s, d), b.contigs(s, d), MIN_LINKS)
-
-
-def _invalid(s: SparkSession, d: str) -> DataFrame:
-    return links.invalid_nodes(_factors(s, d), MIN_RE, MAX_DENSITY)
+def _graph(s: SparkSession, d: str) -> Graph:
+    """The reads are counted once: what follows reads the far smaller weighted pairs."""
+    contigs = stored(b.contigs(s, d), "contigs")
+    weighted = stored(links.edge_weights(links.link_counts(b.reads(s, d)), contigs, MIN_LINKS), "weighted")
+    return Graph(contigs, weighted, links.node_factors(weighted, contigs))
 
 
 def _chromosomes(s: SparkSession, d: str) -> DataFrame:
@@ -73,28 +79,30 @@ def link_counts_symmetric(s, d):
 
 @query
 def edge_weights(s, d):
-    return _weighted(s, d)
+    contigs = b.contigs(s, d)
+    return links.edge_weights(links.link_counts(b.reads(s, d)), contigs, MIN_LINKS)
 
 
 @query
 def node_factors(s, d):
-    return _factors(s, d).select("contig_id", "degree", F.round("factor", 9).alias("factor"))
+    return _graph(s, d).factors.select("contig_id", "degree", F.round("factor", 9).alias("factor"))
 
 
 @query
 def invalid_nodes(s, d):
-    return _invalid(s, d)
+    return _graph(s, d).invalid
 
 
 @query
 def invalid_summary(s, d):
-    all_, bad = b.contigs(s, d), _invalid(s, d).withColumn("bad", F.lit(True))
-    return all_.join(bad, "contig_id", "left").agg(F.count("*").alias("contigs"), F.count_if(F.col("bad")).alias("invalid"), F.sum(F.col("length").cast("long")).alias("total_bp"))
+    g = _graph(s, d)
+    bad = g.invalid.withColumn("bad", F.lit(True))
+    return g.contigs.join(bad, "contig_id", "left").agg(F.count("*").alias("contigs"), F.count_if(F.col("bad")).alias("invalid"), F.sum(F.col("length").cast("long")).alias("total_bp"))
 
 
 @query
 def draft_edges(s, d):
-    return _edges(s, d)
+    return _graph(s, d).edges
 
 
 @query
@@ -192,12 +200,13 @@ def allele_greedy_match(s, d):
 
 @query
 def merge_ops(s, d):
-    return cluster.merge_ops(_edges(s, d), _invalid(s, d))
+    g = _graph(s, d)
+    return cluster.merge_ops(g.edges, g.invalid)
 
 
 @query
 def cluster_linkage(s, d):
-    found = cluster.cluster_linkage(_edges(s, d), b.groups(s, d))
+    found = cluster.cluster_linkage(_graph(s, d).edges, b.groups(s, d))
     return found.select("from_group", "to_group", "total", F.round("linkage", 9).alias("linkage"))
 
 
@@ -208,14 +217,16 @@ def cluster_conflicts(s, d):
 
 @query
 def partition_groups(s, d):
-    return cluster.partition(stored(_edges(s, d), "edges"), stored(_invalid(s, d), "invalid"), b.contigs(s, d), GROUPS, allele.conflicts(b.allele_rows(s, d)))
+    g = _graph(s, d)
+    return cluster.partition(stored(g.edges, "edges"), stored(g.invalid, "invalid"), g.contigs, GROUPS, allele.conflicts(b.allele_rows(s, d)))
 
 
 @query
 def recover_contigs(s, d):
-    bad = stored(_invalid(s, d), "invalid")
+    g = _graph(s, d)
+    bad = stored(g.invalid, "invalid")
     members = b.groups(s, d).join(bad, "contig_id", "left_anti")
-    found = cluster.recover(_edges(s, d), members, bad, RATIO)
+    found = cluster.recover(g.edges, members, bad, RATIO)
     return found.select("contig_id", "group_id", F.round("best", 6).alias("best"), F.round("second", 6).alias("second"))
 
 
@@ -226,7 +237,7 @@ def group_stats(s, d):
 
 @query
 def group_edges(s, d):
-    return order.group_edges(_edges(s, d), b.groups(s, d))
+    return order.group_edges(_graph(s, d).edges, b.groups(s, d))
 
 
 @query
@@ -236,14 +247,16 @@ def order_midpoints(s, d):
 
 @query
 def order_score(s, d):
-    mids = order.midpoints(b.sequence(s, d), b.contigs(s, d))
-    return order.order_scores(order.group_edges(_edges(s, d), b.groups(s, d)), mids).select("group_id", F.round("score", 6).alias("score"))
+    g = _graph(s, d)
+    mids = order.midpoints(b.sequence(s, d), g.contigs)
+    return order.order_scores(order.group_edges(g.edges, b.groups(s, d)), mids).select("group_id", F.round("score", 6).alias("score"))
 
 
 @query
 def ordering(s, d):
-    inside = stored(order.group_edges(_edges(s, d), b.groups(s, d)), "inside")
-    return order.order_groups(inside, b.groups(s, d), b.contigs(s, d), ngen=60, max_gen=400)
+    g = _graph(s, d)
+    inside = stored(order.group_edges(g.edges, b.groups(s, d)), "inside")
+    return order.order_groups(inside, b.groups(s, d), g.contigs, ngen=60, max_gen=400)
 
 
 @query
@@ -275,7 +288,8 @@ def scaffold_fasta(s, d):
 
 @query
 def dump_edges(s, d):
-    return writers.dump_edges(_edges(s, d), b.contigs(s, d))
+    g = _graph(s, d)
+    return writers.dump_edges(g.edges, g.contigs)
 
 
 @query

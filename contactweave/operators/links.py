@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactweave.functions.storage import stored
+
 
 def link_counts(reads: DataFrame) -> DataFrame:
     """(lo, hi, pairs): read pairs for each two different contigs; counted on the map side first."""
@@ -50,6 +52,6 @@ def draft_edges(weighted: DataFrame, factors: DataFrame) -> DataFrame:
 
 
 def draft(reads: DataFrame, contigs: DataFrame, min_links: int = 3) -> DataFrame:
-    """Read pairs to directed, normalised edges."""
-    weighted = edge_weights(link_counts(reads), contigs, min_links)
+    """Read pairs to directed, normalised edges; the reads are counted once, and the weighted pairs stored."""
+    weighted = stored(edge_weights(link_counts(reads), contigs, min_links), "weighted")
     return draft_edges(weighted, node_factors(weighted, contigs))
