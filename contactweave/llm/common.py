@@ -18,7 +18,9 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table; one of fewer files than cores is dealt to all cores, as its few row groups would leave most idle."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df
 
 
 def text_crc32(text: Column) -> Column:
