@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from contactweave.llm.common import table
 
 BUCKETS, WIDTH = 1 << 16, 16
+#: Languages learned at most, those with most documents; so the table of cuts that tasks look up is small at any input.
+MAX_LANGS = 1000
+PARTS = 256
 SIZES = (3, 4)
 #: Bytes as the subwords see them.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b if b >= 97 and b <= 122 or b >= 128 else 32 for b in range(256)], dtype=np.uint32)
@@ -124,9 +127,13 @@ def has_letter(text: Column) -> Column:
 def labelled_sample(df: DataFrame, per_lang: int) -> DataFrame:
     """At most ``per_lang`` (text, lang) rows a language, those of the smallest hash; the cut is found on hashes alone."""
     keyed = df.filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumn("_cw_h", F.xxhash64("doc_id", "text"))
-    order = Window.partitionBy("lang").orderBy("_cw_h")
-    cut = keyed.select("lang", "_cw_h").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang).groupBy("lang").agg(F.max("_cw_h").alias("_cw_cut"))
-    return keyed.join(cut, "lang").filter(F.col("_cw_h") <= F.col("_cw_cut")).dropDuplicates(["lang", "_cw_h"]).select("text", "lang", "_cw_h")
+    # Twice: in each of many parts of a language first, so that no task ranks what all scan tasks keep of one.
+    least = keyed.select("lang", "_cw_h", F.pmod(F.xxhash64("_cw_h"), F.lit(PARTS)).alias("part"))
+    for by in (["lang", "part"], ["lang"]):
+        least = least.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("_cw_h"))).filter(F.col("n") <= per_lang)
+    cut = least.groupBy("lang").agg(F.max("_cw_h").alias("_cw_cut"), F.count("*").alias("n"))
+    cut = cut.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).select("lang", "_cw_cut")
+    return keyed.join(F.broadcast(cut), "lang").filter(F.col("_cw_h") <= F.col("_cw_cut")).dropDuplicates(["lang", "_cw_h"]).select("text", "lang", "_cw_h")
 
 
 def fit(df: DataFrame, per_lang: int = 600) -> Model | None:
