@@ -159,3 +159,12 @@ def test_nnls():
     truth = np.where(rng.random(30) < 0.2, rng.random(30) * 9, 0)
     x = packing.nnls(a, a @ truth)
     assert (x >= 0).all() and np.abs(a @ x - a @ truth).max() < 1e-3
+
+
+def test_long_white_space():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    long = 1_200_000
+    for text in ("one" + " " * long + "two", "one" + "\n" * long, " \n" * long + "\t#", "a" + "\u3000" * 10_000 + "b" + " " * 9_999 + "c" + "\x1c" * 12_000 + " " * 10_001 + "\n7"):
+        assert document_ids(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
