@@ -12,11 +12,12 @@ family of masks, which leaves about a quarter of the bits free: with radius 2 th
 are 16 bits, and no bucket ever holds more than 65536 values. A bucket gives the
 links of a spanning forest of its near pairs, never all of them.
 
-For the pipeline's stage, copies that differ in several words are wanted, which needs
-a larger radius, and many documents then have a fingerprint near another's by chance.
-There every document has a second fingerprint from another hash. Both are covered, so
-a pair meets if either differs within the radius, and a link needs the other to be near
-too. Pairs beyond the radius that meet all the same may count (``accept``).
+For the pipeline's stage near-duplicates are texts whose sets of 5-word shingles have a
+Jaccard similarity of 0.8 or more, where fingerprints differ in 10 bits and more. There
+candidates meet in the tables of the covering or in one of ``BANDS`` further independent
+fingerprints of ``ROWS`` least hashes each (missed at 0.8: one pair in 16,000), and every
+link is confirmed by the sets themselves. Groups are told apart by their root, not by
+their smallest key, which several may share.
 
 Defined cases: a null text has no words (fingerprint 0, linked like any other); a
 null id never is a component's name unless all its ids are null; repeated rows share
@@ -40,6 +41,8 @@ from contactweave.operators.components import components
 RADIUS = 2
 #: A bucket of more distinct fingerprints is divided again.
 LARGE = 4096
+#: Keys of the pipeline's stage: so many bands of so many least hashes; sets of two blocks are compared in one task.
+BANDS, ROWS, BLOCK, TURNS = 32, 6, 256, 2
 
 
 def _product(v: int, w: int) -> bool:
@@ -164,17 +167,135 @@ def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", shing
     return joined.select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS, accept: int | None = None, check_accept: int | None = None) -> DataFrame:
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
+    split = (text or "").encode().lower().split()
+    size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    if not len(size):
+        return np.empty(0, dtype=np.uint64)
+    joined = b" ".join(split)
+    ends = np.cumsum(size + 1) - 1
+    starts = ends - size
+    last = min(words, len(split)) - 1
+    return np.unique(np.array([first_hash(joined[a:b]) for a, b in zip(starts[: len(split) - last].tolist(), ends[last:].tolist(), strict=True)], dtype=np.uint64))
+
+
+def meeting_keys(shingles: np.ndarray) -> np.ndarray:
+    """Keys of a set of shingles: SimHash covered for RADIUS bits, and BANDS of ROWS least hashes each, equal in two sets with probability J**ROWS."""
+    ones = np.unpackbits(shingles.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    print_ = int(np.packbits(2 * ones > len(shingles)).view(">u8")[0])
+    keys = [xxhash.xxh64_intdigest(f"{t} {print_ & m & (1 << 64) - 1}") for t, m in enumerate(covering_masks(RADIUS))]
+    odd = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), 4096):
+        mixed = shingles[at : at + 4096, None] * odd
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        least = np.minimum(least, mixed.min(axis=0))
+    keys += [xxhash.xxh64_intdigest(least[t * ROWS : (t + 1) * ROWS].tobytes(), t + 1) for t in range(BANDS)]
+    return np.array(keys, dtype=np.uint64).view(np.int64)
+
+
+def _set_columns(text: Column, words: int) -> Column:
+    @F.arrow_udf("struct<sid: long, keys: array<long>>")
+    def of(texts: pa.Array) -> pa.Array:
+        sets = [shingle_set(t, words) for t in texts.to_pylist()]
+        sids = pa.array([_signed(xxhash.xxh64_intdigest(s.tobytes(), 7)) for s in sets], pa.int64())
+        return pa.StructArray.from_arrays([sids, pa.array([meeting_keys(s) for s in sets], pa.list_(pa.int64()))], names=["sid", "keys"])
+
+    return of(text)
+
+
+def _set_of(text: Column, words: int) -> Column:
+    @F.arrow_udf("array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, words).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+    return of(text)
+
+
+def near_sets(sets: list[np.ndarray], labels: list[int], least: tuple[int, int]) -> list[tuple[int, int]]:
+    """Pairs (places) of sets of Jaccard similarity ``least`` (a fraction) or more that connect all labels such pairs connect."""
+    up, down = least
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(flat) + 1, dtype=np.int64)
+    label, out = np.unique(labels, return_inverse=True)[1], []
+    for k in range(len(sets)):
+        if (label == label[0]).all():
+            break
+        own = flat[begin[k] : begin[k + 1]]
+        mark[own] = 1
+        common = np.diff(np.concatenate([[0], np.cumsum(mark[flat])])[begin])
+        mark[own] = 0
+        for j in np.flatnonzero((down + up) * common >= up * (size + size[k])):
+            if label[j] != label[k]:
+                out.append((k, int(j)))
+                label[label == label[j]] = label[k]
+    return out
+
+
+def set_links(met: DataFrame, sets: DataFrame, least: tuple[int, int] = (4, 5)) -> DataFrame:
+    """(node, root) of the components of all pairs of sets that share a key (``met``: k, sid) and have Jaccard similarity ``least``.
+
+    First every set is held against one representative a key, which joins large groups of near copies at a cost that grows
+    with their size. Keys whose sets are still in several components then have all their pairs looked at, BLOCK by BLOCK sets
+    a task. The turns only save work: what is linked depends on the similarity alone.
+    """
+    up, down = least
+    links, roots = None, None
+    a, b = (sets.select(F.col("sid").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
+    for turn in range(TURNS):
+        labelled = met.withColumn("label", F.col("sid")) if roots is None else _labelled(met, roots)
+        # Aggregated with map-side combine, then joined: no window holds a key's rows.
+        heads = stored(labelled.groupBy("k").agg(F.min_by(F.struct("sid", "label"), F.xxhash64("sid", F.lit(turn))).alias("head"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("k", "head.*").withColumnsRenamed({"sid": "b", "label": "b_label"}), "heads")
+        pairs = stored(labelled.join(heads, "k").filter("label <> b_label").select(F.col("sid").alias("a"), "b").distinct(), "pairs")
+        near = pairs.join(a, "a").join(b, "b").filter((down + up) * F.size(F.array_intersect("a_set", "b_set")) >= up * (F.size("a_set") + F.size("b_set")))
+        new = stored(near.select("a", "b"), "links")
+        links = new if links is None else links.unionByName(new)
+        roots = stored(components(links), "roots")
+
+    def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.column("rows"):
+                rows = row.values
+                sids, labels = (rows.field(c).to_pylist() for c in ("sid", "label"))
+                found += [(sids[x], sids[y]) for x, y in near_sets([s.values.to_numpy() for s in rows.field("set")], labels, least)]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    labelled = _labelled(met, roots)
+    open_ = stored(labelled.groupBy("k").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("k", F.ceil(F.col("n") / BLOCK).alias("g")), "open")
+    rows = labelled.join(open_, "k").withColumn("i", F.pmod(F.xxhash64("sid", F.lit("block")), F.col("g")))
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1))).select("k", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sid", "label")
+    lists = rows.join(sets, "sid").groupBy("k", "i", "j").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct("sid", "label", "set")).alias("rows")).filter("lo <> hi")
+    return components(links.unionByName(stored(lists.select("rows").mapInArrow(block_links, "a long, b long"), "links")))
+
+
+def _labelled(met: DataFrame, roots: DataFrame) -> DataFrame:
+    return met.join(roots, met["sid"] == roots["node"], "left").select("k", "sid", F.coalesce("root", "sid").alias("label"))
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
     """``df`` with one row of each near-duplicate group: that of the smallest (key, text hash), null keys last.
 
-    ``check_accept``: links also need second fingerprints within so many bits.
+    Near-duplicates have sets of word shingles of Jaccard similarity ``least`` or more; a group is what such pairs connect.
     """
     whole = {"_cw_key": F.coalesce(F.concat(F.lit("0"), F.lpad(F.col(key).cast("string"), 20, "0")), F.lit("1")), "_cw_text": F.xxhash64(text)}
-    check = [fingerprint(F.col(text), shingle, second_hash).alias("check")] if check_accept is not None else []
-    rows = stored(df.select(*[c.alias(k) for k, c in whole.items()], fingerprint(F.col(text), shingle).alias("fingerprint"), *check), "fingerprints")
-    groups = simhash_components(rows, "_cw_key", radius, accept, 64 if check_accept is None else check_accept)
-    best = rows.join(groups, rows["fingerprint"] == groups["fp"]).groupBy("component_id").agg(F.min(F.struct("_cw_key", "_cw_text")).alias("x"))
-    best = best.select("x._cw_key", "x._cw_text").distinct()
+    rows = df.select(*[c.alias(k) for k, c in whole.items()], _set_columns(F.col(text), words).alias("x"))
+    rows = stored(rows.select("_cw_key", "_cw_text", "x.*"), "shingles")
+    keyed = rows.groupBy("sid").agg(F.first("keys").alias("keys")).select("sid", F.explode("keys").alias("k"))
+    often = stored(keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k"), "keys")
+    met = stored(keyed.join(often, "k").select("k", "sid"), "met")
+    # The sets themselves are made again, for the few texts that meet another.
+    first = rows.join(met.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("_cw_key", "_cw_text")).alias("x")).select("sid", "x.*")
+    sets = df.select(*[c.alias(k) for k, c in whole.items()], F.col(text).alias("_cw_of")).join(first, ["_cw_key", "_cw_text"]).dropDuplicates(["sid"])
+    sets = stored(sets.select("sid", _set_of(F.col("_cw_of"), words).alias("set")), "sets")
+    roots = set_links(met, sets, least)
+    named = rows.select("_cw_key", "_cw_text", "sid").join(roots, rows["sid"] == roots["node"], "left").select("_cw_key", "_cw_text", F.coalesce("root", "sid").alias("root"))
+    # A group is its root: groups of one smallest key stay apart.
+    best = named.groupBy("root").agg(F.min(F.struct("_cw_key", "_cw_text")).alias("x")).select("x._cw_key", "x._cw_text").distinct()
     kept = df.withColumns(whole).join(best, ["_cw_key", "_cw_text"], "left_semi")
     return kept.dropDuplicates(["_cw_key", "_cw_text"]).drop("_cw_key", "_cw_text").select(df.columns)
 

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from contactweave.llm import mixing, packing, quality, simhash, suffix_dedup
 from contactweave.llm.common import stored, table
 
-#: Near-duplicates: two fingerprints from different hashes; one may differ in so many bits of 64, found without a miss,
+#: Near-duplicates: Jaccard similarity of the sets of word shingles of this length, as a fraction.
+WORDS, LEAST = 5, (4, 5)
+#: The fingerprint rule used before, which the tests still compare with: two fingerprints from different hashes; one may differ in so many bits of 64, found without a miss,
 #: or up to ACCEPT where the pair meets, and the other in at most CHECK.
 NEAR_BITS, ACCEPT, CHECK = 5, 9, 16
 
@@ -40,7 +42,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest doc_id."""
-    return simhash.keep_one(docs, radius=NEAR_BITS, accept=ACCEPT, check_accept=CHECK)
+    return simhash.keep_one(docs, words=WORDS, least=LEAST)
 
 
 def suffix_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -183,3 +183,43 @@ def test_search_cases(spark, monkeypatch, scale):
     got = search.top_k(df, F.col("vec_id") % 20 == 0, 5)
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == sorted(want)
     assert search.top_k(df.limit(0), F.col("vec_id") % 20 == 0, 5).count() == 0
+
+
+def naive_set(text, n=5):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    return {b" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def alike(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def near_texts(seed, families, copies, length, most):
+    """Texts that differ from their family's in up to ``most`` words."""
+    rng, rows = random.Random(seed), []
+    for f in range(families):
+        base = [f"w{f}x{k}" for k in range(length)]
+        for c in range(copies):
+            words = list(base)
+            for at in rng.sample(range(length), rng.randint(0, most)):
+                words[at] = f"e{f}y{c}z{at}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize(("block", "turns"), [(256, 2), (3, 1)])
+def test_keep_one_by_similarity(spark, monkeypatch, block, turns):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "TURNS", turns)
+    rows = near_texts(1, 30, 5, 200, 6) + [(1000 + d, t) for d, t in near_texts(2, 2, 40, 120, 3)]
+    sets = {d: naive_set(t) for d, t in rows}
+    want = roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if alike(sets[a], sets[b])])
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(want.values()))
+
+
+def test_keep_one_tells_groups_of_one_key_apart(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (8, texts[5]), (9, texts[5])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([*(("None", t) for t in texts[:3]), ("7", texts[3]), ("7", texts[4]), ("8", texts[5])])

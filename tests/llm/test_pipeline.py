@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 from pyspark.sql import functions as F
-from test_pairs import naive_fingerprint, naive_removal, roots
+from test_pairs import alike, naive_fingerprint, naive_removal, naive_set, roots
 from test_text_models import check_packing
 
 from contactweave.functions.storage import stored
@@ -56,3 +56,11 @@ def test_odd_input(spark, sf):
     assert all(d.columns == docs.columns and d.filter("size <> 'own' OR n_words <> 'own' OR kept <> 'own'").count() == 0 for d in seen[:-1])
     assert sorted(str(r.doc_id) for r in seen[2].collect()) == ["3", "None"]
     assert all(d.count() == 0 for d in stages(spark, docs.limit(0), sf))
+
+
+def test_near_dedup_links_by_similarity(spark, sf):
+    good = stored(corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf), "good")
+    sets = {r.doc_id: naive_set(r.text) for r in good.collect()}
+    want = roots(sets, [(a, b) for a, b in itertools.combinations(sorted(sets), 2) if alike(sets[a], sets[b])])
+    single = corpus_pipeline.near_dedup(spark, good, sf)
+    assert sorted(r.doc_id for r in single.collect()) == sorted(set(want.values()))
