@@ -73,7 +73,7 @@ class Best:
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
 def _walk(ball: Ball, at: np.ndarray, queries: np.ndarray, size: np.ndarray, own: np.ndarray, vectors: np.ndarray, uid: np.ndarray, ids: np.ndarray, best: Best) -> None:

@@ -223,3 +223,10 @@ def test_keep_one_tells_groups_of_one_key_apart(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (8, texts[5]), (9, texts[5])]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([*(("None", t) for t in texts[:3]), ("7", texts[3]), ("7", texts[4]), ("8", texts[5])])
+
+
+def test_search_empty_query_vector(spark):
+    df = spark.createDataFrame([(20, []), (40, []), (41, []), (60, [1.0]), (61, [2.0])], "vec_id long, embedding array<float>")
+    got = search.top_k(df, F.col("vec_id") % 20 == 0, 2)
+    want = [(20, 1, 40, 0), (20, 2, 41, 0), (40, 1, 20, 0), (40, 2, 41, 0), (60, 1, 61, 64 * 128)]
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == want
