@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactweave.llm.common import running_total, stored, table
-from contactweave.llm.tokens import RANKS, document_ids
+from contactweave.llm.tokens import VOCABULARY, document_ids
 
 WINDOW = 1024
 GRAIN = 8
@@ -32,14 +32,14 @@ BUCKETS = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def cut_pieces(df: DataFrame, window: int = WINDOW, ranks: str = RANKS, with_ids: bool = False) -> DataFrame:
+def cut_pieces(df: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
     """The documents' pieces of at most ``window`` tokens: all full but each document's last. ``with_ids``: their ids too, little-endian 32 bit."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = document_ids(text.as_py(), ranks)
+                ids = document_ids(text.as_py(), vocabulary)
                 for at in range(0, len(ids), window):
                     raw = ids[at : at + window].tobytes()
                     for col, x in zip(cols, (doc, at, len(raw) // 4, zlib.crc32(raw), len(ids), raw if with_ids else None), strict=True):
@@ -161,8 +161,8 @@ def pack(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN) -> DataFra
     return out.select(*[c for c in pieces.columns if c not in ("sequence_id", "offset")], "sequence_id", "offset")
 
 
-def pack_documents(df: DataFrame, window: int = WINDOW, ranks: str = RANKS, with_ids: bool = False) -> DataFrame:
-    return pack(stored(cut_pieces(df, window, ranks, with_ids), "pieces"), window)
+def pack_documents(df: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
+    return pack(stored(cut_pieces(df, window, vocabulary, with_ids), "pieces"), window)
 
 
 def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactweave.llm.common import table
-from contactweave.llm.tokens import RANKS, document_ids
+from contactweave.llm.tokens import VOCABULARY, document_ids
 
 WINDOW = 1024
 POOL = 1 << 21
@@ -94,14 +94,14 @@ def _packed(task: int, first: int, pool: list[tuple[int, int, np.ndarray]], wind
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[x.split()[0] for x in ROWS.split(", ")])
 
 
-def matrices(df: DataFrame, window: int = WINDOW, ranks: str = RANKS, pool_tokens: int = POOL) -> DataFrame:
+def matrices(df: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY, pool_tokens: int = POOL) -> DataFrame:
     """Rows of the packed matrices of (doc_id, text); (task, number) names a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, first, pool, held = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = document_ids(text.as_py(), ranks)
+                ids = document_ids(text.as_py(), vocabulary)
                 for at in range(0, len(ids), window):
                     pool.append((doc, at, ids[at : at + window]))
                     held += len(pool[-1][2])

@@ -75,8 +75,8 @@ def test_ids_equal_the_tokenizer(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    for text in [*list(texts.values()), *[x or "" for _, x in ODD]]:
+    more = ["a<|endoftext|>", "<|endoftext|>" * 3, " <|endoftext|>\n<|endof", "<|endoftext|", "x" * 300_000, "7" * 300_000, "é\u0300" * 50_000]
+    for text in [*list(texts.values()), *[x or "" for _, x in ODD], *more]:
         assert document_ids(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
 
 
@@ -166,5 +166,5 @@ def test_long_white_space():
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     long = 1_200_000
-    for text in ("one" + " " * long + "two", "one" + "\n" * long, " \n" * long + "\t#", "a" + "\u3000" * 10_000 + "b" + " " * 9_999 + "c" + "\x1c" * 12_000 + " " * 10_001 + "\n7"):
+    for text in (" " * 3_000_000, "\n" * 3_000_000, "one" + " " * long + "two", "one" + "\n" * long, " \n" * long + "\t#", "a" + "\u3000" * 10_000 + "b" + " " * 9_999 + "c" + "\x1c" * 12_000 + " " * 10_001 + "\n7"):
         assert document_ids(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
