@@ -17,11 +17,14 @@ keys and their common prefixes in order. Equal keys are blocks that repeat whole
 the others the same prefixes, to the right of the anchor and to the left of it, give
 the windows that they share with some other block of the gram.
 
-Hot grams: blocks of a gram that occurs over ``HOT`` times are cut into ranges of
-offsets that double in size, and filed under the text which a match in that range must
-share. So a passage that a third of all documents hold falls into many buckets at its
-edges, and inside it into few distinct keys: a key met twice in one task is settled
-there, and only one block of it is sent on.
+Hot grams: blocks of a gram that occurs over ``HOT`` times are cut into ranges of ``STEP``
+offsets first, and only hashes of these are shuffled and counted with map-side combine. A
+range whose whole text occurs twice is settled by that (128 bits of hash). A range that
+shares with others the text which a match in it must hold, but isn't settled, straddles
+the edge of a passage: it and one block of each settled range go on window by window,
+filed under the whole window. So equal keys meet, and a key met twice in one task is
+settled there; no bucket holds the many different keys around a passage that a third of
+all documents hold.
 
 Defined cases: a null text is empty; texts shorter than ``MATCH`` keep all; matches
 never cross documents; rows equal in every column are repeats of each other; an empty
@@ -37,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_intdigest, xxh64_intdigest
 
 from contactweave.llm.common import stored, table
 
@@ -46,9 +49,12 @@ MATCH, GRAM = 200, 50
 STRETCH = 1 << 20
 #: Bytes of keys a task holds for one run; blocks a bucket should get; occurrences that make a gram hot.
 RUN_BYTES, BUCKET, HOT = 24 << 20, 8_000, 20_000
+#: Offsets in one range of a hot block.
+STEP = 13
 BASE = 0x9E3779B97F4A7C15
 RUNS = "bucket long, lcp binary, size binary, right binary, tails binary, copies binary, ids binary"
 SPANS = "k1 long, k2 long, begin long, finish long"
+RANGES = "k1 long, k2 long, anchor long, lo int, hi int, home long, h1 long, h2 long, n int"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -128,12 +134,37 @@ def shared(a: bytes, b: bytes, at: int = 0) -> int:
     return n - (x.bit_length() + 7) // 8
 
 
-def _ranges(low: int, high: int, hot: bool) -> list[tuple[int, int, int, int]]:
-    """(least, largest) offset of each part of a block's windows, and those of the whole range: cut where they double if hot."""
-    if not hot:
-        return [(low, high, 0, MATCH - GRAM)]
-    cuts = [(0, 0), *((1 << i, min((2 << i) - 1, MATCH - GRAM)) for i in range(8))]
-    return [(max(a, low), min(b, high), a, b) for a, b in cuts if a <= high and b >= low]
+def _signed(x: int) -> int:
+    x &= (1 << 64) - 1
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(k1, k2, bytes, bytes backwards, blocks) of each row; a block is (gram, anchor, least offset, largest offset, many, alike)."""
+    for batch in batches:
+        for k1, k2, text, blocks in zip(*(batch.column(c) for c in ("k1", "k2", "text", "blocks")), strict=True):
+            raw = text.as_py().encode()
+            # Columns of the block list as arrays: no Python object a field.
+            gram, where, many, alike = (blocks.values.field(c).to_numpy(zero_copy_only=False) for c in ("gram", "where", "many", "alike"))
+            high = where & 255
+            columns = (gram, (where >> 16) + high, high - (where >> 8 & 255), high, many, alike)
+            yield k1.as_py(), k2.as_py(), raw, raw[::-1], zip(*(c.tolist() for c in columns), strict=True)
+
+
+def hot_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of offsets of hot blocks: ``home``, a hash of what two blocks with a common window in the range must share; ``h1, h2``, of all the range's text."""
+    for k1, k2, raw, back, blocks in _listed(batches):
+        out = []
+        for _, anchor, low, high, _, alike in blocks:
+            for a in range(low - low % STEP, high + 1, STEP):
+                b = min(a + STEP - 1, MATCH - GRAM)
+                lo, hi = max(a, low), min(b, high)
+                whole = xxh3_128_intdigest(raw[anchor - hi : anchor - lo + MATCH])
+                home = xxh64_intdigest(raw[anchor : anchor - b + MATCH] + back[len(raw) - anchor : len(raw) - anchor + a], a)
+                out.append((k1, k2, anchor, lo, hi, _signed(home), _signed(whole), _signed(whole >> 64), 1 + alike))
+        cols = list(zip(*out, strict=True)) or [[]] * 9
+        kinds = [pa.int32() if k in (3, 4, 8) else pa.int64() for k in range(9)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in RANGES.split(", ")])
 
 
 def front_code(entries: list[tuple]) -> Iterator[tuple]:
@@ -175,27 +206,17 @@ def make_runs(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, held = [], 0
-        for batch in batches:
-            for k1, k2, text, blocks in zip(*(batch.column(c) for c in ("k1", "k2", "text", "blocks")), strict=True):
-                raw, k1, k2 = text.as_py().encode(), k1.as_py(), k2.as_py()
-                back = raw[::-1]
-                # Columns of the block list as arrays: no Python object a field.
-                grams, wheres, many, alike = (blocks.values.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("gram", "where", "many", "alike"))
-                for gram, where, hot, whole in zip(grams, wheres, many, alike, strict=True):
-                    first, span, offset = where >> 16, where >> 8 & 255, where & 255
-                    anchor = first + offset
-                    for low, high, a, b in _ranges(offset - span, offset, hot):
-                        stop = anchor - low + MATCH
-                        key = raw[anchor:stop] + back[len(raw) - anchor : len(raw) - anchor + high]
-                        home = gram
-                        if hot:  # what two blocks with a common window in this range of offsets must share
-                            home = xxh64_intdigest(raw[anchor : anchor - b + MATCH] + back[len(raw) - anchor : len(raw) - anchor + a], a)
-                        home %= buckets
-                        entries.append((home, key, stop - anchor, k1, k2, anchor, whole))
-                        held += len(key)
-                    if held >= RUN_BYTES:
-                        yield rows(entries)
-                        entries, held = [], 0
+        for k1, k2, raw, back, blocks in _listed(batches):
+            for gram, anchor, low, high, many, alike in blocks:
+                for lo, hi in [(o, o) for o in range(low, high + 1)] if many else [(low, high)]:
+                    stop = anchor - lo + MATCH
+                    key = raw[anchor:stop] + back[len(raw) - anchor : len(raw) - anchor + hi]
+                    home = xxh64_intdigest(key, lo) if many else gram
+                    entries.append((home % buckets, key, stop - anchor, k1, k2, anchor, alike))
+                    held += len(key)
+                if held >= RUN_BYTES:
+                    yield rows(entries)
+                    entries, held = [], 0
         if entries:
             yield rows(entries)
 
@@ -356,8 +377,30 @@ def _keyed(df: DataFrame, text: str) -> DataFrame:
     return df.withColumns({"_cw_k1": F.xxhash64(plain, t), "_cw_k2": F.xxhash64(t, F.lit("second"), plain)})
 
 
-def _spans(keyed: DataFrame, text: str) -> DataFrame:
-    """(k1, k2, begin, finish) of repeated places, unmerged."""
+def _with_blocks(keyed: DataFrame, text: str, found: DataFrame) -> DataFrame:
+    """Documents that have blocks in ``found``, with the list of these."""
+    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "where", "many", "alike")).alias("_cw_blocks"))
+    named = {"_cw_k1": "k1", "_cw_k2": "k2", text: "text"}
+    return _meet(keyed, lists, "inner").select(*[F.col(c).alias(named.get(c, f"_cw_{c}")) for c in keyed.columns], F.col("_cw_blocks").alias("blocks"))
+
+
+def _hot(keyed: DataFrame, text: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of blocks of hot grams: the settled places, and what goes on window by window, as blocks."""
+    key = ["home", "h1", "h2", "lo", "hi"]
+    ranges = stored(_with_blocks(keyed, text, hot).mapInArrow(hot_ranges, RANGES), "ranges")
+    # Each step is stored, so that joins have plain shuffles on both sides and a very frequent range can be split.
+    wholes = stored(ranges.groupBy(*key).agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "anchor")).alias("first")), "wholes")
+    kinds = stored(wholes.groupBy("home").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("home", F.lit(True).alias("mixed")), "kinds")
+    flags = stored(wholes.join(kinds, "home", "left").select(*key, (F.col("n") > 1).alias("met"), F.coalesce("mixed", F.lit(False)).alias("mixed"), "first").filter("met OR mixed"), "flags")
+    ranges = stored(ranges.join(flags, key), "ranges")
+    settled = ranges.filter("met").select("k1", "k2", (F.col("anchor") - F.col("hi")).alias("begin"), (F.col("anchor") - F.col("lo") + MATCH).alias("finish"))
+    open_ = ranges.filter(F.col("mixed") & (~F.col("met") | (F.col("first") == F.struct("k1", "k2", "anchor"))))
+    where = F.expr("shiftleft(anchor - hi, 16) + (hi - lo) * 256 + hi")
+    return settled, open_.select("k1", "k2", F.lit(0).cast("long").alias("gram"), where.cast("long").alias("where"), F.lit(True).alias("many"), F.col("met").alias("alike"))
+
+
+def _runs(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None]:
+    """The runs to merge, and places settled before."""
     plain = keyed.select(F.col("_cw_k1").alias("k1"), F.col("_cw_k2").alias("k2"), F.col(text).alias("text"))
     blocks = plain.mapInArrow(find_blocks, "k1 long, k2 long, gram long, where long")
     # Stored: the join below then has plain shuffles on both sides, and a very frequent gram's blocks can be split.
@@ -365,12 +408,21 @@ def _spans(keyed: DataFrame, text: str) -> DataFrame:
     # Dealt by document before blocks are grouped: grouping on top of the join would keep a gram's blocks in one task.
     found = blocks.join(grams, "gram").repartition("k1", "k2").groupBy("k1", "k2", "gram", "where").agg(F.count("*").alias("m"), F.first("n").alias("n"))
     found = stored(found.select("k1", "k2", "gram", "where", (F.col("n") > HOT).alias("many"), (F.col("m") > 1).alias("alike")), "blocks")
-    buckets = max(8, found.count() // BUCKET)
-    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "where", "many", "alike")).alias("_cw_blocks"))
-    named = {"_cw_k1": "k1", "_cw_k2": "k2", text: "text"}
-    own = _meet(keyed, lists, "inner").select(*[F.col(c).alias(named.get(c, f"_cw_{c}")) for c in keyed.columns], F.col("_cw_blocks").alias("blocks"))
-    runs = own.mapInArrow(make_runs(buckets), RUNS)
-    return runs.groupBy("bucket").applyInArrow(merge_bucket, SPANS)
+    total, hot = found.agg(F.count("*"), F.count_if("many")).first()
+    settled = None
+    if hot:
+        settled, windows = _hot(keyed, text, found.filter("many"))
+        windows = stored(windows, "windows")
+        total += STEP * windows.count() - hot
+        found = found.filter("NOT many").unionByName(windows)
+    return _with_blocks(keyed, text, found).mapInArrow(make_runs(max(8, total // BUCKET)), RUNS), settled
+
+
+def _spans(keyed: DataFrame, text: str) -> DataFrame:
+    """(k1, k2, begin, finish) of repeated places, unmerged."""
+    runs, settled = _runs(keyed, text)
+    merged = runs.groupBy("bucket").applyInArrow(merge_bucket, SPANS)
+    return merged if settled is None else merged.unionByName(settled)
 
 
 def cut(text: Column, spans: Column, as_text: bool = False) -> Column:
@@ -400,7 +452,7 @@ def cut(text: Column, spans: Column, as_text: bool = False) -> Column:
 def remove_repeats(df: DataFrame, text: str = "text", as_text: bool = False) -> DataFrame:
     """``df`` with ``kept`` (the remaining bytes, or as text without characters cut in two), ``n_bytes``, ``n_removed``, ``n_spans``."""
     keyed = _keyed(df, text)
-    spans = _spans(keyed, text).groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "finish")).alias("_cw_spans"))
+    spans = _spans(keyed, text).groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "finish")).alias("_cw_spans"))
     joined = _meet(keyed, spans, "left").drop("_cw_k1", "_cw_k2")
     out = joined.withColumn("_cw_cut", cut(F.col(text), F.col("_cw_spans"), as_text))
     return out.withColumns({c: F.col(f"_cw_cut.{c}") for c in ("kept", "n_bytes", "n_removed", "n_spans")}).drop("_cw_cut", "_cw_spans")

@@ -149,6 +149,23 @@ def test_suffix_cases(spark, monkeypatch, stretch, hot, run_bytes):
     assert removal(extra) == naive_removal(rows)
 
 
+@pytest.mark.parametrize("length", [230, 300, 1000])
+def test_passage_edges_fill_no_bucket(spark, monkeypatch, length):
+    """A passage that all documents hold between surroundings of their own: many keys differ at its edges only."""
+    for name, value in (("HOT", 100), ("BUCKET", 100)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(length)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = letters(length)
+    rows = [(k, letters(rng.randint(0, 300)) + passage + letters(rng.randint(0, 300))) for k in range(600)]
+    rows += [(1000 + k, "same start " * 20 + passage[: length - 7] + letters(40)) for k in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    runs, _ = suffix_dedup._runs(suffix_dedup._keyed(df, "text"), "text")
+    most = runs.filter("bucket >= 0").groupBy("bucket").agg(F.sum(F.octet_length("lcp") / 2).alias("n")).agg(F.max("n")).first()[0]
+    assert most <= 250
+    assert removal(df) == naive_removal(rows)
+
+
 def test_merge_orders_keys():
     rng = random.Random(4)
     keys = ["".join(rng.choice("ab") for _ in range(rng.randint(60, 70))).encode() for _ in range(300)]
