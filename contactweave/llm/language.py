@@ -4,17 +4,25 @@ A text, ASCII letters in lower case and all other ASCII as blanks, is the averag
 the embeddings of its subwords of three and four bytes, hashed into a fixed number of
 rows; a linear softmax over the average gives the language. Both are trained by
 stochastic gradient descent in numpy on at most ``per_lang`` labelled documents a
-language, those of the smallest hash. A fifth of these is kept from training to fit
-the temperature of the softmax and the score below which a prediction is rejected.
-As everything up to the softmax is linear, prediction looks up class sums directly.
+language, those of the smallest hash. Tasks turn these into bags of subwords, at most
+BUCKETS entries however long the text, and only the bags go to the driver. A fifth of
+them is kept from training to fit the temperature of the softmax and the score below
+which a prediction is rejected. As everything up to the softmax is linear, prediction
+looks up class sums directly.
+
+Bounds, as parameters: ``per_lang`` documents a language, and ``max_langs`` languages; a
+label of more values than that raises an error, none is left out silently.
 
 Defined cases: null text, or one without a letter: ``und`` with score 0, not learned
 from; a null label is not learned from; without labelled documents all is ``und``;
-repeated rows get equal rows; an empty table gives an empty table.
+very long texts are summed up slice by slice; equal scores go to the first language;
+repeated rows get equal rows; an empty table gives an empty table; columns ``lang_pred``,
+``score`` and ``rejected`` of the input are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,24 +33,29 @@ from pyspark.sql import functions as F
 from contactweave.llm.common import table
 
 BUCKETS, WIDTH = 1 << 16, 16
-#: Languages learned at most, those with most documents; so the table of cuts that tasks look up is small at any input.
-MAX_LANGS = 1000
 PARTS = 256
+#: Looked-up values held at once, for all languages.
+SLICE = 1 << 21
 SIZES = (3, 4)
 #: Bytes as the subwords see them.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b if b >= 97 and b <= 122 or b >= 128 else 32 for b in range(256)], dtype=np.uint32)
 
 
-def subwords(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each subword size, the bucket of each place in the texts laid end to end, a blank around each; where each text starts."""
-    start = np.cumsum([0] + [len(t) + 2 for t in texts])
-    folded = FOLD[np.frombuffer(b" " + b"  ".join(texts) + b" ", dtype=np.uint8)]
+def subwords(text: bytes) -> list[np.ndarray]:
+    """For each subword size, the bucket of each place of the text with a blank on both sides."""
+    folded = FOLD[np.frombuffer(b" " + text + b" ", dtype=np.uint8)]
     out, key = [], folded
     for n in range(2, max(SIZES) + 1):
         key = key[:-1] * np.uint32(0x01000193) ^ folded[n - 1 :]
         if n in SIZES:
             out.append((key * np.uint32(0x9E3779B1)) >> np.uint32(16))
-    return out, start
+    return out
+
+
+def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of the text's subwords, and the share of each."""
+    bucket, n = np.unique(np.concatenate(subwords(text)), return_counts=True)
+    return bucket.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)
 
 
 @dataclass
@@ -53,22 +66,19 @@ class Model:
     temperature: float
     reject_below: float
 
-    def logits(self, texts: list[bytes]) -> np.ndarray:
-        keys, start = subwords(texts)
-        total, count = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
-        for n, key in zip(SIZES, keys, strict=True):
-            end = np.maximum(start[:-1], start[1:] - n + 1)
-            added = self.table[key]
-            for c in range(len(self.langs)):
-                run = np.concatenate([[0.0], np.cumsum(added[:, c], dtype=np.float64)])
-                total[:, c] += run[np.minimum(end, len(key))] - run[np.minimum(start[:-1], len(key))]
-            count += end - start[:-1]
-        return total / np.maximum(count, 1)[:, None] + self.bias
+    def logits(self, text: bytes) -> np.ndarray:
+        """Class scores; a bounded slice of the text's subwords is looked up at a time."""
+        total, count, step = np.zeros(len(self.langs)), 0, max(1, SLICE // len(self.langs))
+        for key in subwords(text):
+            for at in range(0, len(key), step):
+                total += self.table[key[at : at + step]].sum(axis=0, dtype=np.float64)
+            count += len(key)
+        return total / max(count, 1) + self.bias
 
-    def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        p = softmax(self.logits(texts) / self.temperature)
-        at = p.argmax(axis=1)
-        return at, p[np.arange(len(p)), at]
+    def predict(self, text: bytes) -> tuple[str, float]:
+        p = softmax(self.logits(text) / self.temperature)
+        at = int(p.argmax())
+        return self.langs[at], float(p[at])
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -76,17 +86,27 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(texts: list[str], labels: list[str], epochs: int = 12, rate: float = 20.0, seed: int = 7, max_error: float = 0.01) -> Model:
-    """Fit the model; a pure function of its arguments."""
+def calibrate(z: np.ndarray, truth: np.ndarray, max_error: float) -> tuple[float, float]:
+    """The temperature of least log loss, and the least score down to which at most ``max_error`` of the predictions are wrong."""
+    at = np.arange(len(z))
+    heats = np.geomspace(0.05, 20, 121)
+    loss = [-np.log(np.maximum(softmax(z / t)[at, truth], 1e-12)).mean() for t in heats]
+    heat = float(heats[int(np.argmin(loss))])
+    p = softmax(z / heat)
+    score, wrong = p.max(axis=1), p.argmax(axis=1) != truth
+    order = np.argsort(-score, kind="stable")
+    fine = np.flatnonzero(np.cumsum(wrong[order]) <= max_error * np.arange(1, len(z) + 1))
+    if not len(fine):
+        return heat, 1.0
+    return heat, float(score[order[fine[-1]]]) if fine[-1] + 1 < len(z) else 0.0
+
+
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 12, rate: float = 20.0, seed: int = 7, max_error: float = 0.01) -> Model:
+    """Fit the model to bags of subwords; a pure function of its arguments."""
     rng = np.random.default_rng(seed)
     langs = sorted(set(labels))
     y = np.searchsorted(langs, labels)
-    bags = []
-    for t in texts:
-        keys, _ = subwords([t.encode()])
-        bucket, n = np.unique(np.concatenate(keys), return_counts=True)
-        bags.append((bucket, (n / n.sum()).astype(np.float32)))
-    held = np.arange(len(texts)) % 5 == 4 if len(texts) >= 25 else np.zeros(len(texts), dtype=bool)
+    held = np.arange(len(bags)) % 5 == 4 if len(bags) >= 25 else np.zeros(len(bags), dtype=bool)
     embed = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     weight, bias = rng.normal(0, 0.1, (len(langs), WIDTH)).astype(np.float32), np.zeros(len(langs), dtype=np.float32)
     fit = np.flatnonzero(~held)
@@ -104,15 +124,8 @@ def train(texts: list[str], labels: list[str], epochs: int = 12, rate: float = 2
     model = Model(langs, embed @ weight.T, bias.astype(float), 1.0, 0.0)
     at = np.flatnonzero(held)
     if len(at):
-        z, truth = model.logits([texts[k].encode() for k in at]), y[at]
-        heats = np.geomspace(0.05, 20, 121)
-        loss = [-np.log(np.maximum(softmax(z / t)[np.arange(len(at)), truth], 1e-12)).mean() for t in heats]
-        model.temperature = float(heats[int(np.argmin(loss))])
-        p = softmax(z / model.temperature)
-        score, wrong = p.max(axis=1), p.argmax(axis=1) != truth
-        order = np.argsort(-score, kind="stable")
-        fine = np.flatnonzero(np.cumsum(wrong[order]) <= max_error * np.arange(1, len(at) + 1))
-        model.reject_below = float(score[order[fine[-1]]]) if len(fine) and fine[-1] + 1 < len(at) else 0.0 if len(fine) else 1.0
+        z = np.array([bags[k][1].astype(float) @ model.table[bags[k][0]] + model.bias for k in at])
+        model.temperature, model.reject_below = calibrate(z, y[at], max_error)
     return model
 
 
@@ -124,21 +137,33 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def labelled_sample(df: DataFrame, per_lang: int) -> DataFrame:
+def labelled_sample(df: DataFrame, per_lang: int, max_langs: int = 1000) -> DataFrame:
     """At most ``per_lang`` (text, lang) rows a language, those of the smallest hash; the cut is found on hashes alone."""
     keyed = df.filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumn("_cw_h", F.xxhash64("doc_id", "text"))
     # Twice: in each of many parts of a language first, so that no task ranks what all scan tasks keep of one.
     least = keyed.select("lang", "_cw_h", F.pmod(F.xxhash64("_cw_h"), F.lit(PARTS)).alias("part"))
     for by in (["lang", "part"], ["lang"]):
         least = least.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("_cw_h"))).filter(F.col("n") <= per_lang)
-    cut = least.groupBy("lang").agg(F.max("_cw_h").alias("_cw_cut"), F.count("*").alias("n"))
-    cut = cut.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).select("lang", "_cw_cut")
-    return keyed.join(F.broadcast(cut), "lang").filter(F.col("_cw_h") <= F.col("_cw_cut")).dropDuplicates(["lang", "_cw_h"]).select("text", "lang", "_cw_h")
+    cut = least.groupBy("lang").agg(F.max("_cw_h").alias("_cw_cut")).limit(max_langs + 1).collect()
+    if len(cut) > max_langs:
+        raise ValueError(f"more than {max_langs} languages in the labels: raise max_langs, or name the languages wanted")
+    below = df.sparkSession.createDataFrame(cut, "lang string, _cw_cut long")  # at most max_langs rows
+    return keyed.join(F.broadcast(below), "lang").filter(F.col("_cw_h") <= F.col("_cw_cut")).dropDuplicates(["lang", "_cw_h"]).select("text", "lang", "_cw_h")
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [bag(t.as_py().encode()) for t in batch.column("text")]
+        columns = [batch.column("lang"), batch.column("_cw_h"), pa.array([b for b, _ in made], pa.list_(pa.int32())), pa.array([s for _, s in made], pa.list_(pa.float32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "_cw_h", "bucket", "share"])
 
 
-def fit(df: DataFrame, per_lang: int = 600) -> Model | None:
-    rows = labelled_sample(df, per_lang).toPandas().sort_values(["_cw_h", "lang"])
-    return train(rows["text"].tolist(), rows["lang"].tolist()) if len(rows) else None
+def fit(df: DataFrame, per_lang: int = 600, max_langs: int = 1000) -> Model | None:
+    """The model of (doc_id, text, lang); the driver gets at most ``per_lang * max_langs`` bags."""
+    sample = labelled_sample(df, per_lang, max_langs)
+    rows = sample.mapInArrow(_bags, "lang string, _cw_h long, bucket array<int>, share array<float>").toArrow().sort_by([("_cw_h", "ascending"), ("lang", "ascending")])
+    bags = [(b.values.to_numpy(), s.values.to_numpy()) for b, s in zip(rows["bucket"], rows["share"], strict=True)]
+    return train(bags, rows["lang"].to_pylist()) if bags else None
 
 
 def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -148,18 +173,8 @@ def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFram
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def of(texts: pa.Array) -> pa.Array:
-        plain = [(t or "").encode() for t in texts.to_pylist()]
-        langs, scores, at = [], [], 0
-        while at < len(plain):  # a bounded stretch of bytes at a time
-            end, size = at, 0
-            while end < len(plain) and (end == at or size + len(plain[end]) < 1 << 22):
-                size += len(plain[end])
-                end += 1
-            k, p = model.predict(plain[at:end])
-            langs += [model.langs[i] for i in k]
-            scores += p.tolist()
-            at = end
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
+        said = [model.predict((t.as_py() or "").encode()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([s[k] for s in said], kind) for k, kind in ((0, pa.string()), (1, pa.float64()))], names=["lang", "score"])
 
     known = has_letter(F.col(text))
     out = df.withColumn("_cw_said", of(F.col(text)))

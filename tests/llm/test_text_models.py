@@ -47,12 +47,62 @@ def test_language_cases(spark, odd):
     assert language.fit(spark.createDataFrame([], "doc_id long, text string, lang string")) is None
 
 
-def test_prediction_stands_alone(texts):
-    """A text's scores don't depend on its batch."""
-    some = [t.encode() for t in list(texts.values())[:40]] + [b"", b"a"]
-    model = language.train([t.decode() for t in some], ["a", "b"] * 21, epochs=2)
-    together = model.logits(some)
-    assert np.allclose(together, np.vstack([model.logits([t]) for t in some]), atol=1e-6)
+def naive_buckets(text):
+    """Buckets of all three- and four-byte subwords, from the definition."""
+    folded = [32, *(b + 32 if 65 <= b <= 90 else b if b >= 97 and b <= 122 or b >= 128 else 32 for b in text), 32]
+    out = []
+    for n in (3, 4):
+        for i in range(len(folded) - n + 1):
+            h = folded[i]
+            for b in folded[i + 1 : i + n]:
+                h = h * 0x01000193 % 2**32 ^ b
+            out.append((h * 0x9E3779B1 % 2**32) >> 16)
+    return out
+
+
+@pytest.mark.parametrize("size", [language.SLICE, 50])
+def test_prediction_by_definition(texts, monkeypatch, size):
+    """Average of subword values, softmax at the temperature, whatever the slices."""
+    monkeypatch.setattr(language, "SLICE", size)
+    some = [t.encode()[:700] for t in list(texts.values())[:40]] + [b"a", "é日".encode()]
+    model = language.train([language.bag(t) for t in some], ["a", "b", "c"] * 14, epochs=2)
+    assert model.temperature != 1
+    for t in [*some, b""]:
+        z = [sum(float(model.table[k, c]) for k in naive_buckets(t)) / max(1, len(naive_buckets(t))) + model.bias[c] for c in range(3)]
+        e = [np.exp((x - max(z)) / model.temperature) for x in z]
+        lang, score = model.predict(t)
+        assert np.allclose(model.logits(t), z, atol=1e-6) and lang == model.langs[int(np.argmax(e))] and abs(score - max(e) / sum(e)) < 1e-6
+
+
+def test_calibration_by_definition():
+    rng = np.random.default_rng(9)
+    truth = rng.integers(0, 3, 200)
+    z = rng.normal(0, 1, (200, 3)) + 2.5 * np.eye(3)[truth]
+    heat, least = language.calibrate(z, truth, 0.05)
+    loss = lambda t: -sum(x[k] / t - np.log(np.exp(x / t).sum()) for x, k in zip(z, truth, strict=True))
+    assert all(loss(heat) <= loss(t) + 1e-9 for t in np.geomspace(0.05, 20, 121))
+    p = np.array([np.exp(x / heat) / np.exp(x / heat).sum() for x in z])
+    score, right = p.max(axis=1), p.argmax(axis=1) == truth
+    assert 0 < least < 1 and np.mean(~right[score >= least - 1e-9]) <= 0.05
+    assert all(np.mean(~right[score >= s - 1e-9]) > 0.05 for s in score if s < least - 1e-9)
+    assert language.calibrate(z, z.argmax(axis=1), 0.05)[1] == 0 and language.calibrate(z, (z.argmax(axis=1) + 1) % 3, 0.05)[1] == 1
+
+
+def test_rejection(spark):
+    model = language.train([language.bag(t) for t in (b"with the and", b"mit der und")] * 2, ["en", "de"] * 2)
+    texts = ["the with", "der und", "xq zzt"]
+    model.reject_below = sorted(model.predict(t.encode())[1] for t in texts)[1]
+    out = {r.text: r for r in language.identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()}
+    assert all(out[t].rejected == (model.predict(t.encode())[1] < model.reject_below) and out[t].lang_pred == model.predict(t.encode())[0] for t in texts)
+    assert out["xq zzt"].rejected
+
+
+def test_languages_are_not_dropped(spark):
+    rows = [(k, f"word{k}", f"l{k % 5}") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit(df, max_langs=5).langs == [f"l{k}" for k in range(5)]
+    with pytest.raises(ValueError):
+        language.fit(df, max_langs=4)
 
 
 def test_counts_equal_the_tokenizer(texts):
