@@ -15,9 +15,6 @@ from contactweave.llm.common import stored, table
 
 #: Near-duplicates: Jaccard similarity of the sets of word shingles of this length, as a fraction.
 WORDS, LEAST = 5, (4, 5)
-#: The fingerprint rule used before, which the tests still compare with: two fingerprints from different hashes; one may differ in so many bits of 64, found without a miss,
-#: or up to ACCEPT where the pair meets, and the other in at most CHECK.
-NEAR_BITS, ACCEPT, CHECK = 5, 9, 16
 
 #: No SQL: suffix dedup and the fingerprints' hash are beyond it; the tests hold the stages against brute force.
 ORACLE_SQL = None
