@@ -19,15 +19,18 @@ fingerprints of ``ROWS`` least hashes each (missed at 0.8: one pair in 16,000),
 link is confirmed by the sets themselves. Groups are told apart by their root, not by
 their smallest key, which several may share.
 
-Defined cases: a null text has no words (fingerprint 0, linked like any other); a
-null id never is a component's name unless all its ids are null; repeated rows share
-a component; an empty table gives an empty table; columns ``fingerprint`` and
-``component_id`` of the input are replaced.
+Defined cases: a null text has no words (fingerprint 0, linked like any other; in the
+pipeline's stage the empty set, equal to itself); a null id never is a component's name
+unless all its ids are null; repeated rows share a component; rows of one id and different
+texts are told apart; very long texts are hashed whole, in slices of bounded memory; of a
+group's rows the one of the smallest (id, text hash) stays, null ids last; an empty table
+gives an empty table; columns ``fingerprint`` and ``component_id`` of the input are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+@lru_cache(maxsize=16)
 def covering_masks(radius: int, family: int = 0) -> list[int]:
     """The 2^(radius+1)-1 masks over 64 bits, as signed values; two families deal the vectors to the bits in two ways.
 
@@ -71,9 +75,6 @@ def first_hash(shingle: bytes) -> int:
     return xxhash.xxh64_intdigest(shingle, 42)
 
 
-second_hash = xxhash.xxh3_64_intdigest
-
-
 def fingerprint_of(text: str | None, shingle: int = 3, digest=first_hash) -> int:
     """Unsigned fingerprint of one text."""
     words = (text or "").encode().lower().split()
@@ -97,66 +98,52 @@ def fingerprint(text: Column, shingle: int = 3, digest=first_hash) -> Column:
     return of(text)
 
 
-def near_links(values: list[int], accept: int = RADIUS, checks: list[int] | None = None, check_accept: int = 64) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of distinct values that differ in at most ``accept`` bits.
-
-    With ``checks``, the nearer of a pair's two differences must be so small, and the other at most ``check_accept``.
-    """
-    if len(values) == 2 and checks is None:
+def near_links(values: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of distinct values that differ in at most ``radius`` bits."""
+    if len(values) == 2:
         a, b = values
-        return [(a, b)] if ((a ^ b) & (1 << 64) - 1).bit_count() <= accept else []
+        return [(a, b)] if ((a ^ b) & (1 << 64) - 1).bit_count() <= radius else []
     left = np.array(values, dtype=np.int64).view(np.uint64)
-    other = np.array(checks or values, dtype=np.int64).view(np.uint64)
     out, edge = [], []
     while edge or len(left):
         if not edge:
-            edge, left, other = [(left[-1], other[-1])], left[:-1], other[:-1]
-        at, check = edge.pop()
-        far, beside = np.bitwise_count(left ^ at), np.bitwise_count(other ^ check)
-        near = far <= accept if checks is None else (np.minimum(far, beside) <= accept) & (np.maximum(far, beside) <= check_accept)
+            edge, left = [left[-1]], left[:-1]
+        at = edge.pop()
+        near = np.bitwise_count(left ^ at) <= radius
         if near.any():
             out += [(_signed(int(at)), _signed(int(x))) for x in left[near]]
-            edge += list(zip(left[near], other[near], strict=True))
-            left, other = left[~near], other[~near]
+            edge += list(left[near])
+            left = left[~near]
     return out
 
 
-def near_pairs(prints: DataFrame, radius: int = RADIUS, accept: int | None = None, check_accept: int = 64) -> DataFrame:
-    """Links (a, b) that connect whatever the near pairs of the distinct values of column ``fp`` connect.
-
-    With a column ``check`` of second fingerprints, both are covered, and links need one within ``accept`` bits and the other within ``check_accept``.
-    """
-    checked = "check" in prints.columns
-    most = radius if accept is None else accept
+def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) that connect whatever the pairs within ``radius`` of the distinct values of column ``fp`` connect."""
 
     def bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
-            for rows in batch.column("rows").to_pylist():
-                links += near_links([r["fp"] for r in rows], most, [r["check"] for r in rows] if checked else None, check_accept)
+            links = [p for values in batch.column("fps").to_pylist() for p in near_links(values, radius)]
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    own = ["fp", "check"] if checked else ["fp"]
     first, second = (F.posexplode(F.array(*map(F.lit, covering_masks(radius, k)))).alias("t", "m") for k in (0, 1))
     # Values that share a key by chance fail the comparison.
-    keys = lambda *of: F.explode(F.array(*[F.xxhash64(*of, F.lit(side), F.col(c).bitwiseAND(F.col("m"))) for side, c in enumerate(own)])).alias("k")
-    rows = prints.select(*own, first).select(*own, keys("t"))
+    key = lambda *of: F.xxhash64(*of, F.col("fp").bitwiseAND(F.col("m"))).alias("k")
+    rows = prints.select("fp", first).select("fp", key("t"))
     met = rows.withColumn("n", F.count("*").over(Window.partitionBy("k"))).filter("n > 1")
-    large = met.filter(F.col("n") > LARGE).select(*own, "k", second).select(*own, keys("k", "t"))
-    buckets = met.filter(F.col("n") <= LARGE).select(*own, "k").unionByName(large)
-    lists = buckets.groupBy("k").agg(F.collect_list(F.struct(*own)).alias("rows")).filter("size(rows) > 1").select("rows")
+    large = met.filter(F.col("n") > LARGE).select("fp", "k", second).select("fp", key("k", "t"))
+    buckets = met.filter(F.col("n") <= LARGE).select("fp", "k").unionByName(large)
+    lists = buckets.groupBy("k").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1").select("fps")
     return lists.mapInArrow(bucket_links, "a long, b long").distinct()
 
 
-def simhash_components(rows: DataFrame, key: str = "doc_id", radius: int = RADIUS, accept: int | None = None, check_accept: int = 64) -> DataFrame:
-    """For rows of a key and a long ``fingerprint``: (fp, component_id), the smallest key its fingerprint reaches."""
-    check = [F.min("check").alias("check")] if "check" in rows.columns else []
-    prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("low"), *check), "prints")
-    roots = components(near_pairs(prints.drop("low"), radius, accept, check_accept))
+def simhash_components(rows: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """For rows of a key and a long ``fingerprint``: (fp, root, component_id); ``root`` is the component's own, ``component_id`` the smallest key it reaches."""
+    prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("low")), "prints")
+    roots = components(near_pairs(prints.select("fp"), radius))
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     # Stored: the join below then has plain shuffles on both sides, and a very large component's rows can be split.
     names = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "names")
-    return named.join(names, "root").select("fp", "component_id")
+    return named.join(names, "root").select("fp", "root", "component_id")
 
 
 def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -167,32 +154,58 @@ def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", shing
     return joined.select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+class WordHashes(dict):
+    """Hashes of words, remembered up to ``most`` of them."""
+
+    def __init__(self, most: int = 1 << 19):
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        out = first_hash(word)
+        if len(word) <= 40:
+            self[word] = out
+        return out
+
+
+@lru_cache(maxsize=4)
+def _hashing(words: int) -> tuple[WordHashes, np.ndarray, np.ndarray]:
+    """The worker's word hashes, a factor for each place in a shingle, and one for each least hash."""
+    rng = np.random.default_rng(5)
+    return WordHashes(), rng.integers(0, 1 << 63, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
+    """Sorted distinct 64-bit hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
     split = (text or "").encode().lower().split()
-    size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    if not len(size):
+    if not split:
         return np.empty(0, dtype=np.uint64)
-    joined = b" ".join(split)
-    ends = np.cumsum(size + 1) - 1
-    starts = ends - size
-    last = min(words, len(split)) - 1
-    return np.unique(np.array([first_hash(joined[a:b]) for a, b in zip(starts[: len(split) - last].tolist(), ends[last:].tolist(), strict=True)], dtype=np.uint64))
+    seen, place, _ = _hashing(words)
+    of_word = np.fromiter(map(seen.__getitem__, split), dtype=np.uint64, count=len(split))
+    size = min(words, len(split))
+    mixed = np.full(len(split) - size + 1, size, dtype=np.uint64)
+    for k in range(size):
+        mixed += of_word[k : k + len(mixed)] * place[k]
+    for _ in range(2):
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
-def meeting_keys(shingles: np.ndarray) -> np.ndarray:
+def meeting_keys(shingles: np.ndarray, words: int = 5) -> np.ndarray:
     """Keys of a set of shingles: SimHash covered for RADIUS bits, and BANDS of ROWS least hashes each, equal in two sets with probability J**ROWS."""
-    ones = np.unpackbits(shingles.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    ones = np.zeros(64, dtype=np.int64)
+    factors = _hashing(words)[2]
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    for at in range(0, len(shingles), 1024):
+        some = shingles[at : at + 1024]
+        ones += np.unpackbits(some.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        least = np.minimum(least, ((some >> np.uint64(32)).astype(np.uint32)[:, None] * factors).min(axis=0))
     print_ = int(np.packbits(2 * ones > len(shingles)).view(">u8")[0])
     keys = [xxhash.xxh64_intdigest(f"{t} {print_ & m & (1 << 64) - 1}") for t, m in enumerate(covering_masks(RADIUS))]
-    odd = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), 4096):
-        mixed = shingles[at : at + 4096, None] * odd
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        least = np.minimum(least, mixed.min(axis=0))
-    keys += [xxhash.xxh64_intdigest(least[t * ROWS : (t + 1) * ROWS].tobytes(), t + 1) for t in range(BANDS)]
+    raw = least.tobytes()
+    keys += [xxhash.xxh64_intdigest(raw[4 * t * ROWS : 4 * (t + 1) * ROWS], t + 1) for t in range(BANDS)]
     return np.array(keys, dtype=np.uint64).view(np.int64)
 
 
@@ -201,7 +214,7 @@ def _set_columns(text: Column, words: int) -> Column:
     def of(texts: pa.Array) -> pa.Array:
         sets = [shingle_set(t, words) for t in texts.to_pylist()]
         sids = pa.array([_signed(xxhash.xxh64_intdigest(s.tobytes(), 7)) for s in sets], pa.int64())
-        return pa.StructArray.from_arrays([sids, pa.array([meeting_keys(s) for s in sets], pa.list_(pa.int64()))], names=["sid", "keys"])
+        return pa.StructArray.from_arrays([sids, pa.array([meeting_keys(s, words) for s in sets], pa.list_(pa.int64()))], names=["sid", "keys"])
 
     return of(text)
 
@@ -282,7 +295,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", words: int
 
     Near-duplicates have sets of word shingles of Jaccard similarity ``least`` or more; a group is what such pairs connect.
     """
-    whole = {"_cw_key": F.coalesce(F.concat(F.lit("0"), F.lpad(F.col(key).cast("string"), 20, "0")), F.lit("1")), "_cw_text": F.xxhash64(text)}
+    whole = {"_cw_key": F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id")), "_cw_text": F.xxhash64(text)}
     rows = df.select(*[c.alias(k) for k, c in whole.items()], _set_columns(F.col(text), words).alias("x"))
     rows = stored(rows.select("_cw_key", "_cw_text", "x.*"), "shingles")
     keyed = rows.groupBy("sid").agg(F.first("keys").alias("keys")).select("sid", F.explode("keys").alias("k"))

@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -90,12 +91,6 @@ def test_masks():
     assert {(m & (1 << 64) - 1).bit_count() for m in simhash.covering_masks(6)} == {32, 64}
 
 
-def test_second_fingerprints_decide(spark):
-    rows = [(0, 0), (1, 1), (2, 1 << 20), (3, (1 << 30) - 1)]
-    links = simhash.near_pairs(spark.createDataFrame(rows, "fp long, check long"), 2, None, 3).collect()
-    assert roots(range(4), [(r.a, r.b) for r in links]) == {0: 0, 1: 0, 2: 0, 3: 3}
-
-
 def naive_removal(rows, n=200):
     raw = [(d, (t or "").encode()) for d, t in rows]
     seen = Counter(b[i : i + n] for _, b in raw for i in range(len(b) - n + 1))
@@ -242,6 +237,46 @@ def test_keep_one_tells_groups_of_one_key_apart(spark):
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([*(("None", t) for t in texts[:3]), ("7", texts[3]), ("7", texts[4]), ("8", texts[5])])
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_keep_one_orders_ids(spark, kind):
+    """Negative ids, ids of over 20 characters that share their first 20, null ids and repeated ids: groups by brute force, the smallest id of each stays."""
+    base = near_texts(7, 6, 5, 100, 3)
+    ids = {"long": [-30, -4, -4, 2, 11, 100, None, None], "string": ["x" * 25 + c for c in "dcba"] + ["x" * 20, "-7", None, None]}[kind]
+    rows = [(ids[k % len(ids)], t) for k, (_, t) in enumerate(base)] + [(None, "lone " + c) for c in "abc"] + [(ids[0], "other"), (ids[0], "other")]
+    sets = {n: naive_set(t) for n, (_, t) in enumerate(rows)}
+    group = roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if alike(sets[a], sets[b])])
+    order = lambda i: (i is None, 0 if i is None and kind == "long" else "" if i is None else i)
+    got = simhash.keep_one(spark.createDataFrame(rows, f"doc_id {kind}, text string")).collect()
+    place = {r: n for n, r in enumerate(rows)}
+    assert sorted(group[place[r.doc_id, r.text]] for r in got) == sorted(set(group.values()))
+    for r in got:
+        own = [rows[n][0] for n in rows_of(group, group[place[r.doc_id, r.text]])]
+        assert order(r.doc_id) == min(map(order, own))
+
+
+def rows_of(group, root):
+    return [n for n, g in group.items() if g == root]
+
+
+def test_two_components_of_one_smallest_id(spark):
+    """Components are told apart by their root; a first fingerprint is shared, or its smallest id is."""
+    rows = [(5, 0), (5, (1 << 40) - 1), (7, 1), (8, (1 << 40) - 2), (None, 0x55555 << 40), (None, 0x3FFFFFF << 20)]
+    got = simhash.simhash_components(spark.createDataFrame(rows, "doc_id long, fingerprint long")).collect()
+    by = {r.fp: (r.root, r.component_id) for r in got}
+    assert by[0] == by[1] == (0, 5) and by[(1 << 40) - 1] == by[(1 << 40) - 2] and by[(1 << 40) - 1][1] == 5 and by[0][0] != by[(1 << 40) - 1][0]
+    assert by[0x55555 << 40][1] is None and by[0x3FFFFFF << 20][1] is None and by[0x55555 << 40][0] != by[0x3FFFFFF << 20][0]
+
+
+def test_least_hashes_meet_as_often_as_sets_agree():
+    rng = np.random.default_rng(4)
+    met = []
+    for _ in range(600):
+        x = rng.integers(0, 1 << 64, 44, dtype=np.uint64)
+        a, b = simhash.meeting_keys(np.sort(x[:40])), simhash.meeting_keys(np.sort(x[4:]))
+        met.append((a[7:] == b[7:]).sum())
+    assert abs(np.mean(met) / 32 - (36 / 44) ** 6) < 0.02 and min(met) > 0
+
+
 def test_search_empty_query_vector(spark):
     df = spark.createDataFrame([(20, []), (40, []), (41, []), (60, [1.0]), (61, [2.0])], "vec_id long, embedding array<float>")
     got = search.top_k(df, F.col("vec_id") % 20 == 0, 2)
