@@ -117,9 +117,10 @@ def search_task(k: int):
     return run
 
 
-def _wave(rows: DataFrame, asked: DataFrame, shards: list[int], blocks: int, k: int) -> DataFrame:
-    left = rows.filter(F.col("shard").isin(shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.withColumn("shard", F.explode(F.array(*map(F.lit, shards))))
+def _wave(rows: DataFrame, asked: DataFrame, begin: int, end: int, blocks: int, k: int) -> DataFrame:
+    """Every query block against the shards from ``begin`` to before ``end``."""
+    left = rows.filter((F.col("shard") >= begin) & (F.col("shard") < end)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = asked.withColumn("shard", F.explode(F.sequence(F.lit(begin), F.lit(end - 1))))
     right = right.toDF(*right.columns)  # both sides come from one table: columns of its own
     keys = ["shard", "block", "width"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search_task(k), FOUND)
@@ -134,16 +135,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
     deal = lambda n, salt: F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(n)).cast("int")
     left = rows.select("uid", "vec_id", "v", "width", deal(shards, "shard").alias("shard"))
     right = rows.filter("asked").select("uid", "vec_id", "v", "width", deal(blocks, "block").alias("block"))
-    first = list(range(math.ceil(shards / 8)))
-    open_ = right.withColumn("floor", F.lit(int(LEAST)))
-    found = stored(_wave(left, open_, first, blocks, k), "first")
-    rest = [s for s in range(shards) if s not in first]
-    if rest:
-        reached = found.groupBy("query").agg(F.min("score").alias("low"), F.count("*").alias("n")).filter(F.col("n") >= k)
-        order = Window.partitionBy("query").orderBy(F.desc("score"))
-        kth = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") == k).select("query", F.col("score").alias("low")) if len(first) > 1 else reached.select("query", "low")
-        closed = right.join(kth, F.col("uid") == F.col("query"), "left").select("uid", "vec_id", "v", "width", "block", F.coalesce("low", F.lit(int(LEAST))).alias("floor"))
-        found = found.unionByName(_wave(left, closed, rest, blocks, k))
+    first = math.ceil(shards / 8)
+    found = stored(_wave(left, right.withColumn("floor", F.lit(LEAST)), 0, first, blocks, k), "first")
+    if first < shards:
+        # The k-th score of what the first wave found; a query that found fewer starts from the bottom.
+        nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+        kth = found.withColumn("n", nth).filter(F.col("n") == k).select("query", F.col("score").alias("low"))
+        closed = right.join(kth, F.col("uid") == F.col("query"), "left").select("uid", "vec_id", "v", "width", "block", F.coalesce("low", F.lit(LEAST)).alias("floor"))
+        found = found.unionByName(_wave(left, closed, first, shards, blocks, k))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
