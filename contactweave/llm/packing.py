@@ -10,7 +10,11 @@ totals, and the number says which repeat of which combination takes the piece.
 
 Defined cases: a null text counts as empty and is one token (the end id); repeated
 rows are packed separately; an empty table gives no pieces; a class that holds most
-pieces is numbered in many buckets.
+pieces is numbered in many buckets; pieces equal in every column are interchangeable,
+other ties go by (doc_id, start, CRC of the ids); very long texts are tokenised whole, and
+their pieces are rows of their own. Of the input only doc_id (as a long) and text are
+read: further columns, also clashing ones, don't appear in the pieces, which carry doc_id
+to join by.
 """
 
 from __future__ import annotations
@@ -28,7 +32,9 @@ from contactweave.llm.tokens import VOCABULARY, document_ids
 
 WINDOW = 1024
 GRAIN = 8
-BUCKETS = 256
+#: Pieces of a class are numbered inside buckets, at least so many, each of about so many pieces;
+#: tables of up to so many bucket sizes are broadcast.
+BUCKETS, BUCKET_PIECES, BROADCAST = 256, 1 << 16, 1 << 17
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -134,12 +140,10 @@ def places(packed: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndar
 def pack(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
     """``pieces`` (a stored table) with ``sequence_id`` and ``offset``."""
     classes = window // grain
-    rows = pieces.withColumns({
-        "_cw_class": F.ceil(F.col("length") / grain).cast("int"),
-        "_cw_bucket": F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(BUCKETS)).cast("int"),
-        "_cw_one": F.lit(1).cast("long"),
-    })
+    rows = pieces.withColumns({"_cw_class": F.ceil(F.col("length") / grain).cast("int"), "_cw_one": F.lit(1).cast("long")})
     histogram = dict(rows.groupBy("_cw_class").count().collect())  # at most ``classes`` rows
+    buckets = max(BUCKETS, -(-max(histogram.values(), default=0) // BUCKET_PIECES))
+    rows = rows.withColumn("_cw_bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
     where = places(plan(histogram, classes))
 
     @F.arrow_udf("struct<sequence_id: long, place: long>")
@@ -154,7 +158,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN) -> DataFra
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(place)], names=["sequence_id", "place"])
 
     order = ["doc_id", "start", "ids_crc32"]
-    ranked = running_total(rows, ["_cw_class"], "_cw_bucket", order, "_cw_one", "_cw_rank", bounded=True)
+    ranked = running_total(rows, ["_cw_class"], "_cw_bucket", order, "_cw_one", "_cw_rank", bounded=classes * buckets <= BROADCAST)
     out = ranked.withColumn("_cw_at", placed("_cw_class", "_cw_rank")).withColumn("sequence_id", F.col("_cw_at.sequence_id"))
     before = Window.partitionBy("sequence_id").orderBy("_cw_at.place").rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))

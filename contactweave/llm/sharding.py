@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from contactweave.llm.common import running_total, table, text_crc32
 
-#: Slots are dealt inside so many sub-buckets of a shard; the table of their sizes stays this small at any input.
-SLOT_BUCKETS = 1024
+#: Slots are dealt inside sub-buckets of a shard, at least so many, each of about so many rows;
+#: tables of up to so many sub-bucket sizes are broadcast.
+SLOT_BUCKETS, BUCKET_ROWS, BROADCAST = 1024, 1 << 16, 1 << 17
 
 
 def rendezvous(key: Column, shards: Sequence[tuple[int, float]]) -> Column:
@@ -43,15 +44,17 @@ def shard_rows(df: DataFrame, key: str, shards: Sequence[tuple[int, float]], gro
     """``df`` with ``shard``, its gapless ``slot`` there, and ``grown_shard``, the shard among ``grown``.
 
     ``text``: a column that helps to spread the rows of a very common key over the slot buckets.
+    The number of these grows with the rows, which are counted first (no column is read for that).
     """
+    buckets = max(SLOT_BUCKETS, -(-df.count() // (BUCKET_ROWS * len(shards))))
     spread = [F.col(key).cast("string")] + ([F.col(text)] if text else [])
     out = (
         df.withColumn("shard", rendezvous(F.col(key), shards))
         .withColumn("grown_shard", rendezvous(F.col(key), grown) if grown else F.lit(None).cast("int"))
-        .withColumn("_cw_bucket", F.pmod(F.xxhash64(F.lit("slot"), *spread), F.lit(SLOT_BUCKETS)).cast("int"))
+        .withColumn("_cw_bucket", F.pmod(F.xxhash64(F.lit("slot"), *spread), F.lit(buckets)).cast("int"))
         .withColumn("_cw_one", F.lit(1).cast("long"))
     )
-    return running_total(out, ["shard"], "_cw_bucket", spread, "_cw_one", "slot", bounded=len(shards) <= 1024).drop("_cw_bucket", "_cw_one")
+    return running_total(out, ["shard"], "_cw_bucket", spread, "_cw_one", "slot", bounded=len(shards) * buckets <= BROADCAST).drop("_cw_bucket", "_cw_one")
 
 
 def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
