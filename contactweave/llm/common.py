@@ -15,12 +15,14 @@ __all__ = ["BLANKS", "WORD", "running_total", "shared_dir", "stored", "table", "
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Tasks a small table is dealt to, on any cluster.
+DEAL = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table; one of fewer files than cores is dealt to all cores, as its few row groups would leave most idle."""
-    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df
+    """The table; one of fewer than ``DEAL`` files is dealt to so many tasks, as its few row groups would leave most cores idle."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.repartition(DEAL) if len(df.inputFiles()) < DEAL else df
 
 
 def text_crc32(text: Column) -> Column:

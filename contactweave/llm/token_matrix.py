@@ -6,9 +6,16 @@ room that still takes them; a segment tree over the capacities finds that row in
 logarithmic time. Rows come out as fixed-width little-endian 32-bit ids, the running
 segment lengths, and positions that start again at 0 with every segment.
 
+Which documents share a row depends on how Spark splits the input; a task takes its
+documents by (doc_id, text hash), so the same splits give the same rows.
+
 Defined cases: a null text counts as empty and is one token (the end id); repeated
-rows are packed separately; an empty table gives no rows. Reading the pieces of a
-document in the order of their starts gives its ids back without loss.
+rows are packed separately; a very long text is tokenised whole and cut into pieces, as
+many pools as it takes; pieces of one length go in the order they come, and of rows with
+equal room the last opened takes the piece; an empty table gives no rows. Of the input
+only doc_id (as a long) and text are read: further columns, also clashing ones, don't
+appear in the rows. Reading the pieces of a document in the order of their starts gives
+its ids back without loss.
 """
 
 from __future__ import annotations
@@ -111,7 +118,8 @@ def matrices(df: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY,
         if pool:
             yield _packed(task, first, pool, window)
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ROWS)
+    own = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return own.sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(run, ROWS)
 
 
 def write_matrices(rows: DataFrame, path: str) -> None:
