@@ -53,8 +53,8 @@ def expand(motifs: Iterable[str], *, keep_duplicates: bool = False) -> list[str]
     return plain if keep_duplicates else list(dict.fromkeys(plain))
 
 
-def motifs_of(enzymes: str | Iterable[str]) -> list[str]:
+def motifs_of(enzymes: str | Iterable[str], *, keep_duplicates: bool = False) -> list[str]:
     """Plain motifs of enzyme names or motifs, one or several, in any case."""
     names = {alias: motifs for aliases, motifs in ENZYMES.items() for alias in aliases}
     given = [enzymes] if isinstance(enzymes, str) else list(enzymes)
-    return expand(m for e in given for m in names.get(e.strip().upper(), [e.strip()]))
+    return expand((m for e in given for m in names.get(e.strip().upper(), [e.strip()])), keep_duplicates=keep_duplicates)

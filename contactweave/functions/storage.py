@@ -9,12 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; set here only if the session has none."""
+    """This application's folder below ``spark.checkpoint.dir``; a local session without that setting gets a temporary one.
+
+    On a cluster the setting is needed: executors don't see each other's disks.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    return f"{where.rstrip('/')}/{spark.conf.get('spark.app.id')}"
+
+
+def _path(spark: SparkSession, path: str) -> tuple:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _path(spark, path)
+    return files.exists(place)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -22,3 +37,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete this application's stored tables, once the results that read them are written."""
+    files, place = _path(spark, shared_dir(spark))
+    files.delete(place, True)

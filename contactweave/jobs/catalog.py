@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 
 from contactweave.functions.motifs import expand
 from contactweave.functions.sequence import is_nucleotides, reverse_complement
-from contactweave.functions.storage import stored
+from contactweave.functions.storage import shared_dir, stored
 from contactweave.operators import allele, build, cluster, links, order, orient, reads, sites
 from contactweave.sources import bindings as b
-from contactweave.sources import text_formats, writers
+from contactweave.sources import bam, text_formats, writers
 
 MOTIFS = expand(["GAT", "CAT", "TAG", "GATC"])
 HALF = 50
@@ -58,8 +59,8 @@ def _chromosomes(s: SparkSession, d: str) -> DataFrame:
 def _site_windows(s: SparkSession, d: str) -> DataFrame:
     """Windows on supplier contigs, around sites derived from their line items."""
     items = b.table(s, d, "lineitem").select(F.col("l_suppkey").cast("int").alias("contig_id"), F.expr("l_partkey * 7919L + l_linenumber * 104729L").alias("x"))
-    sites_ = items.join(b.contigs(s, d).select("contig_id", "length"), "contig_id").select("contig_id", F.expr("CAST(x % length AS INT)").alias("pos"))
-    return sites.site_windows(sites_, b.contigs(s, d), 300)
+    sites_ = items.join(b.contigs(s, d).select("contig_id", "length"), "contig_id").select("contig_id", F.expr("CAST(x % length AS INT)").alias("pos"), "length")
+    return sites.site_windows(sites_, 300)
 
 
 @query
@@ -117,13 +118,12 @@ def motif_weight_counts(s, d):
 
 @query
 def motif_positions(s, d):
-    return sites.site_positions(b.sequences(s, d), MOTIFS)
+    return sites.site_positions(b.sequences(s, d), MOTIFS).select("contig_id", "motif", "pos")
 
 
 @query
 def site_ranges(s, d):
-    seq = b.sequences(s, d)
-    return sites.site_windows(sites.site_positions(seq, MOTIFS), sites.site_counts(seq, MOTIFS), HALF)
+    return sites.site_windows(sites.site_positions(b.sequences(s, d), MOTIFS), HALF)
 
 
 @query
@@ -142,6 +142,18 @@ def bam_filter_no_flags(s, d):
     return reads.filter_alignments(b.alignments(s, d), None, 40, check_flags=False)
 
 
+@query
+def bam_alignments(s, d):
+    """Alignments by contig, written as files of BAM blocks, each with a dictionary of its own, and read back."""
+    rows, path = b.alignments(s, d), f"{shared_dir(s)}/bam-{uuid.uuid4().hex}"
+    for key, name, length in (("ref_id", "name", "length"), ("next_ref_id", "next_name", "next_length")):
+        rows = rows.join(b.contigs(s, d).select(F.col("contig_id").alias(key), F.col("name").alias(name), F.col("length").alias(length)), key)
+    bam.write_alignments(rows, path)
+    found = bam.decoded(s, path)
+    bound = reads.bind_references(bam.alignments(found), bam.references(found), b.contigs(s, d))
+    return bound.select("ref_id", "pos", "mapq", "flag", "l_seq", "next_ref_id", "next_pos")
+
+
 @query
 def pairs_filter(s, d):
     return reads.filter_pairs(b.reads(s, d), _site_windows(s, d), 150)
@@ -149,7 +161,7 @@ def pairs_filter(s, d):
 
 @query
 def range_semi_join(s, d):
-    return reads.in_windows(b.reads(s, d), _site_windows(s, d), F.lit(0), F.lit(0))
+    return reads.in_windows(b.reads(s, d), _site_windows(s, d), F.lit(0))
 
 
 @query

@@ -14,6 +14,10 @@ class ExtractConfig:
     check_flags: bool = True
     check_windows: bool = True
     pairs_read_length: int = 150
+    #: Search texts as they are, so that motifs in lower case aren't found.
+    case_compat: bool = False
+    #: Count a motif again for each time the ambiguity codes yield it.
+    keep_duplicates: bool = False
 
     def __post_init__(self):
         if not self.motifs or self.window < 0 or not 0 <= self.min_mapq <= 255:
@@ -45,3 +49,9 @@ class OrderingConfig:
     max_gen: int = 1_000_000
     npop: int = 100
     shuffle_population: bool = False
+
+
+@dataclass(frozen=True)
+class BuildConfig:
+    #: Ns written between contigs; the AGP declares 100-base gaps in any case.
+    fasta_gap: int = 0

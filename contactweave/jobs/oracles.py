@@ -89,6 +89,7 @@ ORACLES = {name: _sql(body) for name, body in {
     "site_ranges": _windows("SELECT DISTINCT contig_id, pos, length(seq) AS length FROM positions JOIN sequences USING (contig_id)", HALF),
     "nucleotide_check": "SELECT doc_id, regexp_full_match(upper(text), '[ACGTU]*') AS text_ok, true AS seq_ok FROM documents",
     "bam_filter": f"SELECT ref_id, pos, next_ref_id, next_pos FROM alignments WHERE mapq >= 40 AND mapq NOT IN (0, 255) AND flag & 3852 = 0 AND ref_id <> next_ref_id AND {OVERLAP.format(n='l_seq')}",
+    "bam_alignments": "SELECT ref_id, pos, mapq, flag, l_seq, next_ref_id, next_pos FROM alignments",
     "bam_filter_no_flags": "SELECT ref_id, pos, next_ref_id, next_pos FROM alignments WHERE mapq >= 40 AND mapq NOT IN (0, 255) AND ref_id <> next_ref_id",
     "pairs_filter": f"SELECT * FROM reads WHERE ref_id <> next_ref_id AND {OVERLAP.format(n=150)}",
     "range_semi_join": f"SELECT * FROM reads WHERE {OVERLAP.format(n=0)}",

@@ -23,9 +23,13 @@ def conflicts(rows: DataFrame) -> DataFrame:
 
 
 def prune_within_rows(counts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Link counts (lo, hi, pairs) without those between two contigs of one allele row."""
-    a, b = members(rows), members(rows).withColumnRenamed("contig_id", "hi")
-    shared = a.withColumnRenamed("contig_id", "lo").join(b, "row_id").filter("lo < hi").select("lo", "hi").distinct()
+    """Link counts (lo, hi, pairs) without those between two contigs of one allele row.
+
+    Driven from the links, so a row's contigs are never paired with each other.
+    """
+    m = members(rows)
+    a, b = (m.select("row_id", F.col("contig_id").alias(c)) for c in ("lo", "hi"))
+    shared = counts.select("lo", "hi").join(a, "lo").join(b, ["row_id", "hi"]).select("lo", "hi").distinct()
     return counts.join(shared, ["lo", "hi"], "left_anti")
 
 

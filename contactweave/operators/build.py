@@ -28,9 +28,22 @@ def agp(chromosomes: DataFrame, contigs: DataFrame) -> DataFrame:
     return rows.select("object", F.explode(both).alias("x")).select("object", "x.*")
 
 
-def scaffold_sequences(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0) -> DataFrame:
-    """(object, seq): the contigs' sequences in order, reversed ones complemented; ``gap`` Ns between them."""
+def _directed(chromosomes: DataFrame, sequences: DataFrame) -> DataFrame:
     rows = chromosomes.join(sequences.select("contig_id", "seq"), "contig_id")
     seq = F.when(F.col("reversed"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
-    ordered = rows.groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("ord", seq.alias("seq")))).alias("x"))
-    return ordered.select(F.concat(F.lit("Group_"), F.col("group_id")).alias("object"), F.array_join("x.seq", "N" * gap).alias("seq"))
+    return rows.select(F.concat(F.lit("Group_"), F.col("group_id")).alias("object"), "ord", seq.alias("seq"))
+
+
+def scaffold_pieces(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0) -> DataFrame:
+    """(object, ord, seq): a row a contig, reversed ones complemented, ``gap`` Ns in front of all but a scaffold's first. No row grows with its scaffold."""
+    rows = _directed(chromosomes, sequences)
+    if not gap:
+        return rows
+    first = rows.groupBy("object").agg(F.min("ord").alias("first"))
+    return rows.join(first, "object").select("object", "ord", F.when(F.col("ord") > F.col("first"), F.concat(F.lit("N" * gap), "seq")).otherwise(F.col("seq")).alias("seq"))
+
+
+def scaffold_sequences(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0) -> DataFrame:
+    """(object, seq): the pieces of each scaffold joined to one string, for scaffolds that fit a row (2 GB); ``scaffold_pieces`` has no such limit."""
+    ordered = _directed(chromosomes, sequences).groupBy("object").agg(F.sort_array(F.collect_list(F.struct("ord", "seq"))).alias("x"))
+    return ordered.select("object", F.array_join("x.seq", "N" * gap).alias("seq"))

@@ -18,19 +18,32 @@ def flags_ok(bad: int = BAD_FLAGS) -> Column:
     return F.col("flag").cast("int").bitwiseAND(F.lit(bad)) == 0
 
 
-def in_windows(reads: DataFrame, windows: DataFrame, read_length: Column, longest: Column, bin_size: int = 1 << 14) -> DataFrame:
-    """Reads whose first mate overlaps a window of its contig, both ends inclusive; ``longest``: no read is longer.
+#: Bin sizes by read length: a read goes by the first bin that is longer than it. The last holds any contig.
+BINS = (1 << 14, 1 << 20, 1 << 31)
 
-    Reads and windows meet on (contig, bin of the read's start), so a contig with many
-    windows or most of the reads is spread over its bins. A window is listed in every
-    bin where a read that reaches it may start; reads are never multiplied.
+
+def in_windows(reads: DataFrame, windows: DataFrame, read_length: Column) -> DataFrame:
+    """Reads whose first mate overlaps a window of its contig, both ends inclusive.
+
+    Reads and windows meet on (contig, bin size, bin of the read's start), so a contig with
+    many windows or most of the reads is spread over its bins. A window is listed in every
+    bin where a read that reaches it may start, a few rows a window; reads of any length are
+    read once and never multiplied.
     """
-    bins = F.sequence(F.floor((F.col("start") - F.col("_cw_longest")) / bin_size), F.floor(F.col("end") / bin_size))
-    listed = windows.withColumn("_cw_longest", F.coalesce(longest, F.lit(0))).select("contig_id", F.col("start").alias("_cw_start"), F.col("end").alias("_cw_end"), F.explode(bins).alias("_cw_bin"))
-    rows = reads.withColumn("_cw_len", read_length).withColumn("_cw_at", F.floor(F.col("pos") / bin_size))
-    same = (F.col("ref_id") == F.col("contig_id")) & (F.col("_cw_at") == F.col("_cw_bin"))
+    size = lambda k: F.lit(BINS[k]).cast("long")
+
+    def bins(k: int) -> Column:
+        inside = F.sequence(F.floor((F.col("start") - size(k)) / size(k)), F.floor(F.col("end") / size(k)))
+        return F.transform(inside, lambda x: F.struct(F.lit(k).alias("level"), x.alias("bin")))
+
+    listed = windows.select("contig_id", F.col("start").alias("_cw_start"), F.col("end").alias("_cw_end"), F.explode(F.concat(*map(bins, range(len(BINS))))).alias("_cw_at"))
+    listed = listed.select("contig_id", "_cw_start", "_cw_end", F.col("_cw_at.level").alias("_cw_level"), F.col("_cw_at.bin").alias("_cw_bin"))
+    level = F.when(F.col("_cw_len") < BINS[0], 0).when(F.col("_cw_len") < BINS[1], 1).otherwise(2)
+    width = F.element_at(F.array(*map(size, range(len(BINS)))), level + 1)
+    rows = reads.withColumn("_cw_len", read_length).withColumns({"_cw_own": level, "_cw_from": F.floor(F.col("pos") / width)})
+    same = (F.col("ref_id") == F.col("contig_id")) & (F.col("_cw_own") == F.col("_cw_level")) & (F.col("_cw_from") == F.col("_cw_bin"))
     meets = (F.col("pos") + F.col("_cw_len") >= F.col("_cw_start")) & (F.col("pos") <= F.col("_cw_end"))
-    return rows.join(listed, same & meets, "left_semi").drop("_cw_len", "_cw_at")
+    return rows.join(listed, same & meets, "left_semi").drop("_cw_len", "_cw_own", "_cw_from")
 
 
 def filter_alignments(alignments: DataFrame, windows: DataFrame | None = None, min_mapq: int = 40, check_flags: bool = True) -> DataFrame:
@@ -38,14 +51,14 @@ def filter_alignments(alignments: DataFrame, windows: DataFrame | None = None, m
     keep = quality_ok(min_mapq) & F.col("ref_id").isNotNull() & F.col("next_ref_id").isNotNull() & (F.col("ref_id") != F.col("next_ref_id"))
     rows = alignments.filter(keep & flags_ok() if check_flags else keep)
     if windows is not None:
-        rows = in_windows(rows, windows, F.col("l_seq"), alignments.agg(F.max("l_seq")).scalar())
+        rows = in_windows(rows, windows, F.col("l_seq"))
     return rows.select("ref_id", "pos", "next_ref_id", "next_pos")
 
 
 def filter_pairs(pairs: DataFrame, windows: DataFrame | None = None, read_length: int = 150) -> DataFrame:
     """Read pairs between two contigs and, with ``windows``, near a site."""
     rows = pairs.filter(F.col("ref_id") != F.col("next_ref_id"))
-    return rows if windows is None else in_windows(rows, windows, F.lit(read_length), F.lit(read_length))
+    return rows if windows is None else in_windows(rows, windows, F.lit(read_length))
 
 
 def bind_names(pairs: DataFrame, contigs: DataFrame) -> DataFrame:

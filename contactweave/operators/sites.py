@@ -8,32 +8,33 @@ from pyspark.sql import functions as F
 from contactweave.functions.sequence import motif_count
 
 
-def site_counts(sequences: DataFrame, motifs: list[str], weight_motifs: list[str] | None = None) -> DataFrame:
-    """(contig_id, length, re_count): hits of the weight motifs, else the motifs, plus one; letters of either case."""
-    seq = F.upper("seq")
+def site_counts(sequences: DataFrame, motifs: list[str], weight_motifs: list[str] | None = None, case_compat: bool = False) -> DataFrame:
+    """(contig_id, length, re_count): hits of the weight motifs, else the motifs, plus one; letters of either case, unless ``case_compat``."""
+    seq = F.col("seq") if case_compat else F.upper("seq")
     return sequences.select("contig_id", F.length("seq").cast("int").alias("length"), (motif_count(seq, weight_motifs or motifs) + 1).alias("re_count"))
 
 
-def site_positions(sequences: DataFrame, motifs: list[str]) -> DataFrame:
-    """(contig_id, motif, pos) of every hit, 0-based.
+def site_positions(sequences: DataFrame, motifs: list[str], case_compat: bool = False) -> DataFrame:
+    """(contig_id, motif, pos, length) of every hit, 0-based, with its sequence's length.
 
     A sequence split at a motif gives its hits as running sums over the pieces'
     lengths; the sums stay inside one sequence.
     """
-    each = sequences.select("contig_id", F.upper("seq").alias("seq"), F.explode(F.array(*map(F.lit, motifs))).alias("motif")).filter(F.col("seq").contains(F.col("motif")))
-    pieces = each.select("contig_id", "motif", F.posexplode(F.split("seq", F.col("motif"), -1)).alias("k", "piece"))
-    pieces = pieces.select("contig_id", "motif", "k", F.length("piece").alias("n"), F.length("motif").alias("m"))
+    seq = F.col("seq") if case_compat else F.upper("seq")
+    each = sequences.select("contig_id", seq.alias("seq"), F.explode(F.array(*map(F.lit, motifs))).alias("motif")).filter(F.col("seq").contains(F.col("motif")))
+    pieces = each.select("contig_id", "motif", F.length("seq").alias("length"), F.posexplode(F.split("seq", F.col("motif"), -1)).alias("k", "piece"))
+    pieces = pieces.select("contig_id", "motif", "length", "k", F.length("piece").alias("n"), F.length("motif").alias("m"))
     before = Window.partitionBy("contig_id", "motif").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     pos = F.sum("n").over(before) + (F.col("k") - 1) * F.col("m")
-    return pieces.withColumn("pos", pos.cast("int")).filter("k > 0").select("contig_id", "motif", "pos")
+    return pieces.withColumn("pos", pos.cast("int")).filter("k > 0").select("contig_id", "motif", "pos", "length")
 
 
-def site_windows(positions: DataFrame, contigs: DataFrame, half: int = 500) -> DataFrame:
-    """(contig_id, start, end): windows of ``half`` bases on both sides of the hits, overlapping ones merged.
+def site_windows(positions: DataFrame, half: int = 500) -> DataFrame:
+    """(contig_id, start, end): windows of ``half`` bases on both sides of the hits (contig_id, pos, length), overlapping ones merged.
 
     Two windows merge if one starts before the other ends; touching ones stay apart.
     """
-    sites = positions.select("contig_id", "pos").distinct().join(contigs.select("contig_id", "length"), "contig_id")
+    sites = positions.select("contig_id", "pos", "length").distinct()
     end = F.when(F.col("pos") > F.col("length") - half, F.col("length")).otherwise(F.col("pos") + half)
     sites = sites.select("contig_id", F.greatest(F.lit(0), F.col("pos") - half).alias("start"), end.alias("end"))
     order = Window.partitionBy("contig_id").orderBy("start", "end")

@@ -1,97 +1,270 @@
-"""BAM as a Spark data source: its reference dictionary and its alignments.
+"""BAM through Spark's own file systems: its reference dictionaries and its alignments, and BAM-like files out.
 
-A file is one partition; its blocks are inflated and decoded as a stream, so memory
-doesn't grow with the file. Many files are read in parallel.
+A BAM file is a row of small compressed blocks that all begin with the same 16 bytes.
+Spark's text source, with these as the separator of its lines, reads it as a row a block,
+from any store and split by byte ranges like any text file. Each split inflates its blocks
+and looks for the first place from which whole, plausible records follow each other. What
+stands before that place, and what is left after the split's last whole record, are
+fragments: a split's rest and the next one's front make the records in between. These are
+put together in file order and must come out even, or an error is raised; so a wrong
+start never goes unseen. The decoded rows are stored once, as fragments and records are
+both read from them.
+
+Defined cases: a header longer than a split goes on in the following ones; a record may
+span splits; empty blocks and files without alignments are fine; a file that isn't made of
+such blocks, or ends inside a record, is an error.
 """
 
 from __future__ import annotations
 
-import gzip
+import itertools
 import struct
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from contactweave.functions.storage import stored
 
-ALIGNMENTS = "file string, ref_no int, pos int, mapq short, flag int, l_seq int, next_ref_no int, next_pos int"
+COLUMNS = "ref_no int, pos int, mapq short, flag int, l_seq int, next_ref_no int, next_pos int"
+DECODED = f"file string, split long, kind int, data binary, {COLUMNS}"
 REFERENCES = "file string, ref_no int, name string, length int"
-BATCH = 1 << 16
-# The layout of an alignment's first 32 bytes.
-HEAD = struct.Struct("<iiBBHHHiiii")
+# The first bytes of every block, and the layout of an alignment's first 32 bytes after its size.
+MAGIC = bytes([0x1F, 0x8B, 8, 4, 0, 0, 0, 0, 0, 0xFF, 6, 0, 0x42, 0x43, 2, 0])
+HEAD = np.dtype([("ref_no", "<i4"), ("pos", "<i4"), ("l_name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("n_cigar", "<u2"), ("flag", "<u2"), ("l_seq", "<i4"), ("next_ref_no", "<i4"), ("next_pos", "<i4"), ("span", "<i4")])
+SIZE = struct.Struct("<i")
+#: Kinds of decoded rows: an alignment; a header; a split's bytes before its first record, after its last one, or all of them.
+RECORD, HEADER, FRONT, REST, ALL = range(5)
+#: Inflated bytes decoded at once; records in a row that make a start.
+CHUNK, CHAIN = 4 << 20, 8
+
 
+def inflate(data: bytes) -> bytes:
+    """The content of one block, given without its first 16 bytes."""
+    if len(data) < 12 or int.from_bytes(data[:2], "little") + 1 != len(data) + len(MAGIC):
+        raise ValueError("not a block of a BAM file")
+    return zlib.decompress(data[2:-8], wbits=-15)
 
-def _references(f) -> list[tuple[str, int]]:
-    if f.read(4) != b"BAM\1":
+
+def header_end(raw: bytes) -> int | None:
+    """Where the alignments begin, None if the header isn't complete."""
+    if len(raw) >= 4 and raw[:4] != b"BAM\1":
         raise ValueError("not a BAM file")
-    (n,) = struct.unpack("<i", f.read(4))
-    f.read(n)
-    (count,) = struct.unpack("<i", f.read(4))
-    out = []
-    for _ in range(count):
-        (n,) = struct.unpack("<i", f.read(4))
-        name = f.read(n)[:-1].decode()
-        out.append((name, struct.unpack("<i", f.read(4))[0]))
-    return out
+    if len(raw) < 8:
+        return None
+    at = 8 + SIZE.unpack_from(raw, 4)[0]
+    if len(raw) < at + 4:
+        return None
+    (n,), at = SIZE.unpack_from(raw, at), at + 4
+    for _ in range(n):
+        if len(raw) < at + 4:
+            return None
+        at += 8 + SIZE.unpack_from(raw, at)[0]
+    return at if len(raw) >= at else None
+
+
+def header_references(raw: bytes) -> Iterator[tuple[str, int]]:
+    at = 8 + SIZE.unpack_from(raw, 4)[0]
+    (n,), at = SIZE.unpack_from(raw, at), at + 4
+    for _ in range(n):
+        end = at + 4 + SIZE.unpack_from(raw, at)[0]
+        yield raw[at + 4 : end - 1].decode(), SIZE.unpack_from(raw, end)[0]
+        at = end + 4
+
+
+def plausible(size: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Which records' sizes and first 32 bytes agree with each other."""
+    own = 32 + head["l_name"].astype(np.int64) + 4 * head["n_cigar"].astype(np.int64) + (head["l_seq"].astype(np.int64) + 1) // 2 + head["l_seq"]
+    known = (head["ref_no"] >= -1) & (head["next_ref_no"] >= -1) & (head["pos"] >= -1) & (head["next_pos"] >= -1)
+    return known & (head["l_name"] >= 1) & (head["l_seq"] >= 0) & (size >= own)
+
+
+def heads_at(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return raw[starts[:, None] + np.arange(4, 36)].reshape(-1).view(HEAD)
+
+
+def whole_records(raw: bytes, at: int, most: int | None = None) -> tuple[np.ndarray, int]:
+    """Starts of the whole records from ``at`` on, and where the last one ends."""
+    out, n, size = [], len(raw), SIZE.unpack_from
+    while at + 36 <= n and (most is None or len(out) < most):
+        end = at + 4 + size(raw, at)[0]
+        if end > n or end < at + 36:
+            break
+        out.append(at)
+        at = end
+    return np.array(out, dtype=np.int64), at
+
+
+def first_record(raw: bytes, complete: bool) -> int | None:
+    """The first place from which ``CHAIN`` records follow each other, or fewer up to the end of a ``complete`` split."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    for begin in range(0, max(0, len(raw) - 35), 1 << 16):
+        places = np.arange(begin, min(begin + (1 << 16), len(raw) - 35))
+        size = data[places[:, None] + np.arange(4)].reshape(-1).view("<i4")
+        fine = places[(size >= 32) & plausible(size, heads_at(data, places))]
+        for at in fine.tolist():
+            starts, end = whole_records(raw, at, CHAIN)
+            if not len(starts) or len(starts) < CHAIN and not complete:
+                continue
+            head = heads_at(data, starts)
+            name_end = data[starts + 35 + head["l_name"]]
+            sizes = data[starts[:, None] + np.arange(4)].reshape(-1).view("<i4")
+            if not plausible(sizes, head).all() or name_end.any():
+                continue
+            if len(starts) == CHAIN or end + 4 > len(raw) or SIZE.unpack_from(raw, end)[0] >= 32:
+                return at
+    return None
+
+
+def _rows(file: str, split: int, kind: int, data: bytes | None = None, head: np.ndarray | None = None) -> pa.RecordBatch:
+    n = 1 if head is None else len(head)
+    names = [x.split() for x in COLUMNS.split(", ")]
+    kinds = {"int": pa.int32(), "short": pa.int16()}
+    own = [pa.nulls(n, kinds[t]) if head is None else pa.array(head[c].astype("i4" if t == "int" else "i2"), kinds[t]) for c, t in names]
+    columns = [pa.array([file] * n, pa.string()), pa.array([split] * n, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([data] * n, pa.binary()), *own]
+    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in DECODED.split(", ")])
+
+
+def decode_split(file: str, split: int, blocks: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    """Alignments and fragments of one split, from its blocks in order."""
+    raw, started, look = b"", False, CHUNK
+    ended = False
+    while not ended:
+        parts, held = [raw], len(raw)
+        while held < look:
+            data = next(blocks, None)
+            if data is None:
+                ended = True
+                break
+            if data:
+                parts.append(inflate(data))
+                held += len(parts[-1])
+            elif split:
+                raise ValueError("not a block of a BAM file")
+        raw = b"".join(parts)
+        if not started:
+            at = header_end(raw) if split == 0 else first_record(raw, ended)
+            if at is None:
+                look *= 2
+                continue
+            yield _rows(file, split, FRONT if split else HEADER, raw[:at])
+            raw, started = raw[at:], True
+        starts, end = whole_records(raw, 0)
+        if len(starts):
+            yield _rows(file, split, RECORD, None, heads_at(np.frombuffer(raw, dtype=np.uint8), starts))
+        raw = raw[end:]
+        look = len(raw) + CHUNK
+    yield _rows(file, split, REST if started else ALL, raw)
+
+
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = ((f.as_py(), s.as_py(), d.as_py()) for batch in batches for f, s, d in zip(*(batch.column(c) for c in ("file", "split", "data")), strict=True))
+    for (file, split), own in itertools.groupby(rows, key=lambda r: r[:2]):
+        yield from decode_split(file, split, (data for _, _, data in own))
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Headers and records that fragments in file order make up; nothing may be left over."""
+    for batch in batches:
+        for file, parts in zip(batch.column("file").to_pylist(), batch.column("parts").to_pylist(), strict=True):
+            raw = b"".join(p["data"] for p in parts)
+            if parts[0]["split"] == 0 and parts[0]["kind"] == ALL:
+                at = header_end(raw)
+                if at is None:
+                    raise ValueError(f"{file} ends inside its header")
+                yield _rows(file, 0, HEADER, raw[:at])
+                raw = raw[at:]
+            starts, end = whole_records(raw, 0)
+            head = heads_at(np.frombuffer(raw, dtype=np.uint8), starts) if len(starts) else np.empty(0, dtype=HEAD)
+            sizes = np.array([SIZE.unpack_from(raw, k)[0] for k in starts.tolist()], dtype=np.int64)
+            if end != len(raw) or not plausible(sizes, head).all():
+                raise ValueError(f"{file} ends inside a record, or isn't made of whole records")
+            if len(starts):
+                yield _rows(file, 0, RECORD, None, head)
+
+
+def decoded(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, split, kind, data, ...) of all files, headers and alignments whole; stored."""
+    text = spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(path)
+    blocks = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("data"))
+    rows = stored(blocks.mapInArrow(_decode, DECODED), "decoded")
+    # Two rows a split: the fragments of one file are few however large it is.
+    fragments = rows.filter(F.col("kind").isin(FRONT, REST, ALL)).select("file", "split", "kind", "data")
+    order = Window.partitionBy("file").orderBy("split", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = fragments.withColumn("part", F.count_if(F.col("kind") == REST).over(order))
+    lists = numbered.groupBy("file", "part").agg(F.sort_array(F.collect_list(F.struct("split", "kind", "data"))).alias("parts")).select("file", "parts")
+    return rows.filter(F.col("kind").isin(RECORD, HEADER)).unionByName(stored(lists.mapInArrow(_joined, DECODED), "joined"))
 
 
-def _alignments(f) -> Iterator[tuple]:
-    while size := f.read(4):
-        block = f.read(struct.unpack("<i", size)[0])
-        ref, pos, _, mapq, _, _, flag, l_seq, next_ref, next_pos, _ = HEAD.unpack_from(block)
-        yield ref, pos, mapq, flag, l_seq, next_ref, next_pos
+def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for file, raw in zip(batch.column("file"), batch.column("data"), strict=True):
+            found = list(header_references(raw.as_py()))
+            columns = [pa.array([file.as_py()] * len(found), pa.string()), pa.array(range(len(found)), pa.int32()), pa.array([n for n, _ in found], pa.string()), pa.array([n for _, n in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in REFERENCES.split(", ")])
 
 
-class BamReader(DataSourceReader):
-    def __init__(self, paths: list[str], table: str):
-        self.paths, self.table = paths, table
+def references(rows: DataFrame) -> DataFrame:
+    """(file, ref_no, name, length) of decoded files."""
+    return rows.filter(F.col("kind") == HEADER).select("file", "data").mapInArrow(_references, REFERENCES)
 
-    def partitions(self):
-        return [InputPartition(p) for p in self.paths]
 
-    def read(self, partition):
-        path = partition.value
-        with gzip.open(path) as f:
-            found = _references(f)
-            if self.table == "references":
-                rows = [(path, k, name, length) for k, (name, length) in enumerate(found)]
-                names = [x.split()[0] for x in REFERENCES.split(", ")]
-                types = [pa.string(), pa.int32(), pa.string(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
-                return
-            names = [x.split()[0] for x in ALIGNMENTS.split(", ")]
-            types = [pa.string(), pa.int32(), pa.int32(), pa.int16(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-            rows = []
-            for row in _alignments(f):
-                rows.append((path, *row))
-                if len(rows) == BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
-                    rows = []
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+def alignments(rows: DataFrame) -> DataFrame:
+    """(file, ref_no, pos, mapq, flag, l_seq, next_ref_no, next_pos) of decoded files."""
+    return rows.filter(F.col("kind") == RECORD).select("file", *[x.split()[0] for x in COLUMNS.split(", ")])
 
 
-class BamSource(DataSource):
-    """Options: ``path`` (comma-separated), ``table`` (``alignments`` or ``references``)."""
+def block(content: bytes) -> bytes:
+    """A block without its first 16 bytes."""
+    squeezed = zlib.compressobj(6, wbits=-15)
+    data = squeezed.compress(content) + squeezed.flush()
+    return struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(content), len(content))
 
-    @classmethod
-    def name(cls) -> str:
-        return "bam"
 
-    def schema(self) -> str:
-        return REFERENCES if self.options.get("table") == "references" else ALIGNMENTS
+def bam_bytes(names: list[tuple[str, int]], records: Iterator[tuple]) -> Iterator[bytes]:
+    """Header and records (ref_no, pos, mapq, flag, l_seq, next_ref_no, next_pos), as pieces; sequences and qualities are left blank."""
+    yield b"BAM\1" + struct.pack("<ii", 0, len(names)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in names)
+    for ref, pos, mapq, flag, l_seq, next_ref, next_pos in records:
+        body = struct.pack("<iiBBHHHiiii", ref, pos, 2, mapq, 0, 0, flag, l_seq, next_ref, next_pos, 0) + b"r\0" + b"\xff" * ((l_seq + 1) // 2 + l_seq)
+        yield struct.pack("<i", len(body)) + body
 
-    def reader(self, schema) -> BamReader:
-        return BamReader(self.options["path"].split(","), self.options.get("table", "alignments"))
 
+def blocks_of(pieces: Iterator[bytes], size: int = 60_000) -> Iterator[bytes]:
+    """The pieces in blocks of ``size`` bytes; records run across blocks."""
+    held = b""
+    for piece in pieces:
+        held += piece
+        while len(held) >= size:
+            yield block(held[:size])
+            held = held[size:]
+    yield block(held)
 
-def _read(spark: SparkSession, path: str, table: str) -> DataFrame:
-    spark.dataSource.register(BamSource)
-    return spark.read.format("bam").option("table", table).load(path)
 
+def write_alignments(rows: DataFrame, path: str) -> None:
+    """Files of blocks, one a task, from (name, length, pos, mapq, flag, l_seq, next_name, next_length, next_pos).
 
-def read_alignments(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, "alignments")
+    A file's dictionary has the contigs of its own alignments, so a contig has another number in every file.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
+            return
+        number: dict[str, int] = {}
+        names = []
+        for a, b in (("name", "length"), ("next_name", "next_length")):
+            for name, length in zip(table[a].to_pylist(), table[b].to_pylist(), strict=True):
+                if name not in number:
+                    number[name] = len(names)
+                    names.append((name, length))
+        ref, next_ref = ([number[n] for n in table[c].to_pylist()] for c in ("name", "next_name"))
+        pos, mapq, flag, l_seq, next_pos = (table[c].to_pylist() for c in ("pos", "mapq", "flag", "l_seq", "next_pos"))
+        records = zip(ref, pos, mapq, flag, l_seq, next_ref, next_pos, strict=True)
+        for data in itertools.chain([b""], blocks_of(bam_bytes(names, records))):
+            yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["value"])
 
-def read_references(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, "references")
+    out = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    out.write.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(path)

@@ -62,14 +62,15 @@ def read_allele_rows(spark: SparkSession, path: str, contigs: DataFrame) -> Data
 def read_mappings(spark: SparkSession, paths: list[str], contigs: DataFrame, windows: DataFrame | None = None, min_mapq: int = 40, check_flags: bool = True, read_length: int = 150) -> DataFrame:
     """Filtered read pairs of all files together, each read by its suffix."""
     from contactweave.operators.reads import bind_names, bind_references, filter_alignments, filter_pairs
-    from contactweave.sources.bam import read_alignments, read_references
+    from contactweave.sources import bam
 
     parts = []
     for path in paths:
         if path.endswith((".pairs", ".pairs.gz")):
             parts.append(filter_pairs(bind_names(read_pairs(spark, path), contigs), windows, read_length))
         elif path.endswith(".bam"):
-            bound = bind_references(read_alignments(spark, path), read_references(spark, path), contigs)
+            rows = bam.decoded(spark, path)
+            bound = bind_references(bam.alignments(rows), bam.references(rows), contigs)
             parts.append(filter_alignments(bound, windows, min_mapq, check_flags))
         else:
             raise ValueError(f"neither .bam nor .pairs: {path}")

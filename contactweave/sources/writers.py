@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 AGP_COLUMNS = ["object", "object_beg", "object_end", "part_number", "component_type", "component_id", "component_beg", "component_end", "orientation"]
 
 
-def write_fasta(scaffolds: DataFrame, path: str) -> None:
-    scaffolds.select(F.concat(F.lit(">"), "object", F.lit("\n"), "seq").alias("value")).write.text(path)
+def write_fasta(pieces: DataFrame, path: str) -> None:
+    """Records of (object, ord, seq): a header line, then a line a piece; a scaffold is sorted on its way out, not put together."""
+    heads = pieces.groupBy("object").agg(F.min("ord").alias("ord")).select("object", (F.col("ord") - 1).alias("ord"), F.concat(F.lit(">"), "object").alias("value"))
+    lines = heads.unionByName(pieces.select("object", "ord", F.col("seq").alias("value")))
+    lines.repartition("object").sortWithinPartitions("object", "ord").select("value").write.text(path)
 
 
 def write_agp(rows: DataFrame, path: str) -> None:

@@ -3,22 +3,36 @@
 import gzip
 import random
 import struct
+import zlib
 
-from contactweave.jobs.config import DraftConfig, ExtractConfig, OrderingConfig, PartitionConfig
+import pytest
+
+from contactweave.functions import storage
+from contactweave.jobs.config import BuildConfig, DraftConfig, ExtractConfig, OrderingConfig, PartitionConfig
 from contactweave.jobs.scaffold import Pipeline
 from contactweave.operators.links import link_counts
-from contactweave.sources import bam, text_formats
+from contactweave.sources import bam, text_formats, writers
 from contactweave.streaming.link_stream import count_stream, write_counts
 
 
-def _write_bam(path, names, rows):
-    with gzip.open(path, "wb") as f:
-        f.write(b"BAM\1" + struct.pack("<i", 3) + b"@HD" + struct.pack("<i", len(names)))
-        for name, length in names:
-            f.write(struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", length))
-        for ref, pos, mapq, flag, size, next_ref, next_pos in rows:
-            body = struct.pack("<iiBBHHHiiii", ref, pos, 2, mapq, 0, 0, flag, size, next_ref, next_pos, 0) + b"r\0"
-            f.write(struct.pack("<i", len(body)) + body)
+def _blocks(raw, size):
+    """The bytes in compressed blocks as the format describes them, and the empty one at the end."""
+    for part in [raw[k : k + size] for k in range(0, len(raw), size)] + [b""]:
+        deflate = zlib.compressobj(wbits=-15)
+        data = deflate.compress(part) + deflate.flush()
+        head = b"\x1f\x8b\x08\x04" + b"\0" * 5 + b"\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(data) + 25)
+        yield head + data + struct.pack("<II", zlib.crc32(part), len(part))
+
+
+def _write_bam(path, names, rows, size=60_000, rest=lambda k: b""):
+    raw = b"BAM\1" + struct.pack("<i", 3) + b"@HD" + struct.pack("<i", len(names))
+    for name, length in names:
+        raw += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", length)
+    parts = [raw]
+    for k, (ref, pos, mapq, flag, n, next_ref, next_pos) in enumerate(rows):
+        body = struct.pack("<iiBBHHHiiii", ref, pos, 2, mapq, 0, 0, flag, n, next_ref, next_pos, 0) + b"r\0" + b"\x11" * ((n + 1) // 2) + b"\x20" * n + rest(k)
+        parts.append(struct.pack("<i", len(body)) + body)
+    path.write_bytes(b"".join(_blocks(b"".join(parts), size)))
 
 
 def _inputs(tmp_path):
@@ -38,11 +52,43 @@ def _inputs(tmp_path):
     return seqs
 
 
+def _decoded(spark, path):
+    rows = bam.decoded(spark, str(path))
+    return sorted(tuple(r)[1:] for r in bam.references(rows).collect()), sorted(tuple(r)[1:] for r in bam.alignments(rows).collect())
+
+
 def test_bam(spark, tmp_path):
-    _write_bam(tmp_path / "x.bam", [("a", 10), ("b", 20)], [(0, 5, 60, 99, 150, 1, 7), (-1, -1, 0, 4, 0, -1, -1)])
-    path = str(tmp_path / "x.bam")
-    assert [tuple(r)[1:] for r in bam.read_references(spark, path).orderBy("ref_no").collect()] == [(0, "a", 10), (1, "b", 20)]
-    assert sorted(tuple(r)[1:] for r in bam.read_alignments(spark, path).collect()) == [(-1, -1, 0, 4, 0, -1, -1), (0, 5, 60, 99, 150, 1, 7)]
+    rows = [(0, 5, 60, 99, 150, 1, 7), (-1, -1, 0, 4, 0, -1, -1)]
+    _write_bam(tmp_path / "x.bam", [("a", 10), ("b", 20)], rows)
+    assert _decoded(spark, tmp_path / "x.bam") == ([(0, "a", 10), (1, "b", 20)], sorted(rows))
+    with gzip.open(tmp_path / "y.bam", "wb") as f:
+        f.write(b"BAM\1")
+    with pytest.raises(Exception, match="not a block"):
+        _decoded(spark, tmp_path / "y.bam")
+    _write_bam(tmp_path / "z.bam", [], [])
+    assert _decoded(spark, tmp_path / "z.bam") == ([], [])
+
+
+@pytest.mark.parametrize(("names", "count", "block", "most", "long"), [(3, 3000, 900, 1 << 13, 0), (4000, 500, 5000, 1 << 12, 0), (2, 40, 700, 1 << 11, 40000), (3, 3000, 60_000, 1 << 30, 0)])
+def test_bam_splits(spark, tmp_path, names, count, block, most, long):
+    """A file over many splits, with records and headers that span blocks and splits, equals what was written."""
+    rng = random.Random(count)
+    dictionary = [(f"contig{k}" + "x" * rng.randrange(30), rng.randrange(1, 1 << 30)) for k in range(names)]
+    rows = [(rng.randrange(-1, names), rng.randrange(-1, 1 << 28), rng.randrange(256), rng.randrange(4096), rng.randrange(200), rng.randrange(-1, names), rng.randrange(-1, 1 << 28)) for _ in range(count)]
+    noise = lambda k: rng.randbytes(rng.randrange(long) if long and k % 7 == 0 else rng.randrange(60))
+    _write_bam(tmp_path / "x.bam", dictionary, rows, block, noise)
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c in old:
+            spark.conf.set(c, most)
+        assert spark.read.text(str(tmp_path / "x.bam")).rdd.getNumPartitions() > (3 if most < 1 << 20 else 0)
+        assert _decoded(spark, tmp_path / "x.bam") == (sorted((k, *d) for k, d in enumerate(dictionary)), sorted(rows))
+        (tmp_path / "x.bam").write_bytes(b"".join(list(_blocks(b"BAM\1" + struct.pack("<ii", 0, 0) + struct.pack("<i", 90) + bytes(50), 40))))
+        with pytest.raises(Exception, match="ends inside"):
+            _decoded(spark, tmp_path / "x.bam")
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
 
 
 def test_pipeline(spark, tmp_path):
@@ -53,8 +99,9 @@ def test_pipeline(spark, tmp_path):
     for r in got["groups"].collect():
         groups.setdefault(r.group_id, set()).add(r.contig_id)
     assert sorted(map(sorted, groups.values())) == [[0, 1, 2, 3], [4, 5, 6, 7]]
-    assert sorted(len(r.seq) for r in got["scaffolds"].collect()) == [12000, 12000]
+    assert sorted(r.n for r in got["scaffolds"].groupBy("object").agg({"seq": "count"}).toDF("object", "n").collect()) == [4, 4]
     text = "".join(r.seq for r in got["scaffolds"].collect())
+    assert len(text) == 24000
     turned = str.maketrans("ACGT", "TGCA")
     assert all(s in text or s[::-1].translate(turned) in text for s in seqs)
     for key in ("Group_1", "Group_2"):
@@ -63,12 +110,81 @@ def test_pipeline(spark, tmp_path):
         assert all(a.object_end + 1 == b.object_beg for a, b in zip(parts, parts[1:], strict=False))
     job.write(got)
     assert spark.read.text(str(tmp_path / "out/scaffolds.agp")).count() == 14
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out/scaffolds.fasta")).collect()]
+    assert sorted(x for x in lines if x[0] == ">") == [">Group_1", ">Group_2"] and sum(len(x) for x in lines if x[0] != ">") == 24000
     # A second run finds every stage complete and doesn't need its input.
     (tmp_path / "r.pairs").unlink()
     again = job(str(tmp_path / "c.fasta"), [str(tmp_path / "r.pairs"), str(tmp_path / "r.bam")])
     assert sorted(again["agp"].collect()) == sorted(got["agp"].collect())
 
 
+def test_stages_alone(spark, tmp_path):
+    """One stage makes what it needs and no more; a changed parameter makes only what depends on it anew."""
+    _inputs(tmp_path)
+    files = str(tmp_path / "c.fasta"), [str(tmp_path / "r.pairs")]
+    made = lambda: {p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir()}
+    job = lambda **more: Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("AT",)), PartitionConfig(2), **{"draft": DraftConfig(min_re=1, max_density=9.0), **more}).inputs(*files)
+    assert set(job().stage("draft")) == {"links", "weighted", "factors", "edges", "invalid"}
+    assert made() == {"sequences", "contigs", "windows", "reads", "links", "weighted", "factors", "edges", "invalid"}
+    before = {p.name for p in (tmp_path / "out").iterdir()}
+    job(draft=DraftConfig(min_re=1, max_density=0.5)).stage("draft")
+    assert {p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir() if p.name not in before} == {"invalid"}
+    job().dump("edges", str(tmp_path / "edges"))
+    rows = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "edges"))
+    assert rows.columns == ["start_name", "end_name", "pairs", "weight"] and rows.count() == job().table("edges").count() > 0
+
+
+def test_fasta_gap(spark, tmp_path):
+    _inputs(tmp_path)
+    job = Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("AT",), check_windows=False), PartitionConfig(2), DraftConfig(min_re=1, max_density=9.0), OrderingConfig(ngen=3, max_gen=5, npop=8), BuildConfig(fasta_gap=7))
+    got = job(str(tmp_path / "c.fasta"), [str(tmp_path / "r.pairs")])["scaffolds"].collect()
+    assert sorted(len(r.seq) for r in got) == [3000] * 2 + [3007] * 6
+
+
+def test_storage(spark, tmp_path, monkeypatch):
+    rows = storage.stored(spark.range(5), "five")
+    assert storage.shared_dir(spark).endswith(spark.sparkContext.applicationId) and rows.count() == 5
+    storage.cleanup(spark)
+    assert not storage.exists(spark, storage.shared_dir(spark))
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077", "spark.app.id": "a"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session)
+    Session.conf["spark.checkpoint.dir"] = "hdfs://x/y/"
+    assert storage.shared_dir(Session) == "hdfs://x/y/a"
+
+
+DUMPED = {
+    "nodes": ("contig_id int, name string, re_count int, length int", [(0, "A", 3, 100)], "0 A 3 100"),
+    "edges": ("start int, end int, pairs long, weight double", [(0, 1, 5, 2.0)], "A B 5 2.0"),
+    "reads": ("ref_id int, pos int, next_ref_id int, next_pos int", [(1, 7, 0, 9)], "B 7 A 9"),
+    "group": ("group_id int, contig_id int", [(2, 1)], "2 1 B 50"),
+    "chromosomes": ("group_id int, ord int, contig_id int, reversed boolean", [(2, 0, 1, True)], "2 0 B 50 -"),
+    "alleles": ("row_id int, contig_ids array<int>", [(4, [1, 0])], None),
+    "alignments": ("ref_id int, pos int, mapq int, flag int, l_seq int, next_ref_id int, next_pos int", [(0, 1, 60, 99, 150, 1, 8)], "A 1 60 99 150 B 8"),
+}
+
+
+@pytest.mark.parametrize("kind", writers.DUMPS)
+def test_dumps_as_text(spark, tmp_path, kind):
+    schema, data, want = DUMPED[kind]
+    contigs = spark.createDataFrame([(0, "A", 3, 100), (1, "B", 4, 50)], "contig_id int, name string, re_count int, length int")
+    rows = spark.createDataFrame(data, schema)
+    dumped = writers.DUMPS[kind](rows) if kind == "nodes" else writers.DUMPS[kind](rows, contigs)
+    writers.write_tsv(dumped, str(tmp_path / kind))
+    back = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / kind))
+    assert back.columns == dumped.columns
+    if want:
+        assert [" ".join(r) for r in back.collect()] == [want]
+    else:
+        assert [(r.row_id, r.names) for r in back.collect()] == [("4", "B\tA")]
+
+
 def test_allele_job(spark, tmp_path):
     _inputs(tmp_path)
     (tmp_path / "alleles").write_text("Chr1\t1\tc0\tc4\t\nChr1\t2\tc1\tc5\t\nChr1\t3\tc1\n")

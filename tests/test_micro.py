@@ -1,5 +1,7 @@
 """Small cases worked out by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,16 +47,27 @@ def test_pairs_and_alleles(spark):
 
 def test_sites(spark):
     seq = spark.createDataFrame([(0, "AAGATCGATCTT"), (1, "AAAA"), (2, "gatc"), (3, "")], "contig_id int, seq string")
-    assert rows(sites.site_positions(seq, ["GATC"])) == [(0, "GATC", 2), (0, "GATC", 6), (2, "GATC", 0)]
+    assert rows(sites.site_positions(seq, ["GATC"])) == [(0, "GATC", 2, 12), (0, "GATC", 6, 12), (2, "GATC", 0, 4)]
+    assert rows(sites.site_positions(seq, ["GATC"], case_compat=True)) == [(0, "GATC", 2, 12), (0, "GATC", 6, 12)]
+    assert rows(sites.site_counts(seq, ["GATC"], None, True))[2] == (2, 4, 1)
     assert rows(sites.site_counts(seq, ["GATC"])) == [(0, 12, 3), (1, 4, 1), (2, 4, 2), (3, 0, 1)]
-    assert rows(sites.site_positions(seq, ["AA"]))[-2:] == [(1, "AA", 0), (1, "AA", 2)]
-    hits = spark.createDataFrame([(0, p) for p in (100, 900, 3000, 4800)], "contig_id int, pos int")
-    contigs = spark.createDataFrame([(0, 5000)], "contig_id int, length int")
-    windows = sites.site_windows(hits, contigs, 500)
+    assert rows(sites.site_positions(seq, ["AA"]))[-2:] == [(1, "AA", 0, 4), (1, "AA", 2, 4)]
+    hits = spark.createDataFrame([(0, p, 5000) for p in (100, 900, 3000, 4800)], "contig_id int, pos int, length int")
+    windows = sites.site_windows(hits, 500)
     assert rows(windows) == [(0, 0, 1400), (0, 2500, 3500), (0, 4300, 5000)]
     found = spark.createDataFrame([(0, p, 1, 0) for p in (1400, 1401, 2349, 2350)], "ref_id int, pos int, next_ref_id int, next_pos int")
     assert [r.pos for r in reads.filter_pairs(found, windows, 150).orderBy("pos").collect()] == [1400, 2350]
-    assert [r.pos for r in reads.in_windows(found, windows, F.lit(150), F.lit(150), bin_size=64).orderBy("pos").collect()] == [1400, 2350]
+
+
+def test_windows_meet_reads_of_any_length(spark, monkeypatch):
+    monkeypatch.setattr(reads, "BINS", (64, 1024, 1 << 31))
+    rng = random.Random(2)
+    windows = [(rng.randrange(3), a, a + rng.randrange(1, 300)) for a in rng.sample(range(20000), 25)]
+    found = [(rng.randrange(4), rng.randrange(-1, 20000), k, rng.choice([0, 1, 63, 64, 150, 1023, 1024, 5000])) for k in range(600)]
+    df = spark.createDataFrame(found, "ref_id int, pos int, k int, n int")
+    got = reads.in_windows(df, spark.createDataFrame(windows, "contig_id int, start int, end int"), F.col("n"))
+    assert got.columns == df.columns
+    assert sorted(r.k for r in got.collect()) == sorted(k for c, p, k, n in found if any(c == w and p + n >= a and p <= b for w, a, b in windows))
 
 
 def test_alignment_filter(spark):
@@ -147,6 +160,8 @@ def test_build(spark):
     seqs = spark.createDataFrame([(0, "AAC"), (1, "GT")], "contig_id int, seq string")
     assert rows(build.scaffold_sequences(chromosomes, seqs)) == [("Group_1", "AACAC")]
     assert rows(build.scaffold_sequences(chromosomes, seqs, gap=2)) == [("Group_1", "AACNNAC")]
+    assert rows(build.scaffold_pieces(chromosomes, seqs)) == [("Group_1", 0, "AAC"), ("Group_1", 1, "AC")]
+    assert rows(build.scaffold_pieces(chromosomes, seqs, gap=2)) == [("Group_1", 0, "AAC"), ("Group_1", 1, "NNAC")]
 
 
 def test_config():

@@ -23,6 +23,18 @@ def test_scan_reads_only_needed_columns(spark, sf):
     assert scans and all("l_extendedprice" not in line for line in scans)
 
 
+@pytest.mark.parametrize(("name", "table", "scans"), [("site_ranges", "documents", 1), ("bam_filter", "orders", 0), ("motif_positions", "documents", 1)])
+def test_tables_are_read_once(spark, sf, name, table, scans):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in line and f"/{table}.parquet" in line for line in plan.splitlines()) == scans
+
+
+def test_alignments_are_decoded_once(spark, sf):
+    """The read filter adds no scan to those of its alignments and its windows."""
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert scans(QUERIES["bam_filter"](spark, sf)) == scans(QUERIES["range_semi_join"](spark, sf))
+
+
 def test_entry(spark):
     import __spark_entry__
 
