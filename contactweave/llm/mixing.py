@@ -22,10 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactweave.llm.common import running_total, table, word_count
+from contactweave.llm.common import running_total, stored, table, word_count
 
 UNIT = 1 << 20
-SALTS = 16
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
@@ -63,25 +62,33 @@ def size_class(size: Column) -> Column:
     return F.when(size < 64, size).otherwise(64 + (octave - 6) * 16 + fine).cast("int")
 
 
-def mix(df: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
-    """``df`` with ``size``, ``source_size``, ``target`` and ``copies``, the times the mix takes the document."""
-    rows = (
-        df.withColumn("size", word_count(F.col("text")))
-        .withColumn("_cw_source", F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1")))
-        .withColumn("_cw_id", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-        .withColumn("_cw_bucket", size_class(F.col("size")) * SALTS + F.conv(F.substring("_cw_id", 1, 1), 16, 10).cast("int"))
-    )
+def salt_digits(rows: int) -> int:
+    """Hexadecimal digits of an id's digest that part rows of one size: one up to 2**24 rows, one more for each 16 times as many."""
+    return len(f"{rows >> 20:x}")
+
+
+def mix(df: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = 3, keep_text: bool = True) -> DataFrame:
+    """``df`` with ``size``, ``source_size``, ``target`` and ``copies``, the times the mix takes the document.
+
+    Words are counted once: rows are stored with their sizes, without the text if ``keep_text`` is false.
+    """
+    sized = df.withColumns({
+        "size": word_count(F.col("text")), "_cw_source": F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1")),
+        "_cw_id": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), "_cw_hash": F.xxhash64("text"), "_cw_one": F.lit(1).cast("long"),
+    })
+    rows = stored(sized if keep_text else sized.drop("text"), "sized")
+    digits = salt_digits(rows.count())
+    salt = F.conv(F.substring("_cw_id", 1, digits), 16, 10).cast("long")
+    rows = rows.withColumn("_cw_bucket", size_class(F.col("size")).cast("long") * 16**digits + salt)
     targets = source_targets(rows.select("_cw_source", "size"), weights, max_repeat)
     step = F.when(F.col("source_size") > 0, F.round(F.col("target") / F.col("source_size") * UNIT)).otherwise(0).cast("long")
     start = _digest(F.col("_cw_source"), F.lit(f"/{seed}"), digits=5)
     targets = targets.select("_cw_source", "source_size", "target", step.alias("_cw_step"), start.alias("_cw_start"))
-    rows = rows.withColumn("_cw_one", F.lit(1).cast("long"))
-    order = ["size", "_cw_id", F.xxhash64("text")]
-    ranked = running_total(rows, ["_cw_source"], "_cw_bucket", order, "_cw_one", "_cw_rank").join(targets, "_cw_source")
+    ranked = running_total(rows, ["_cw_source"], "_cw_bucket", ["size", "_cw_id", "_cw_hash"], "_cw_one", "_cw_rank").join(targets, "_cw_source")
     # Every document of a source expects the same number of copies: the running sum before it is rank * step.
     low = F.expr(f"(_cw_start + _cw_rank * _cw_step) div {UNIT}")
     high = F.expr(f"(_cw_start + (_cw_rank + 1) * _cw_step) div {UNIT}")
-    return ranked.withColumn("copies", (high - low).cast("int")).drop("_cw_source", "_cw_id", "_cw_bucket", "_cw_one", "_cw_rank", "_cw_step", "_cw_start")
+    return ranked.withColumn("copies", (high - low).cast("int")).drop("_cw_source", "_cw_id", "_cw_hash", "_cw_bucket", "_cw_one", "_cw_rank", "_cw_step", "_cw_start")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
@@ -90,15 +97,16 @@ def emit(mixed: DataFrame) -> DataFrame:
 
 
 def op10_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep_text=False)
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
 
 
 OP10_SQL = rf"""
 WITH r AS (SELECT doc_id, coalesce('0' || source, '1') AS s, md5(coalesce(doc_id::varchar, 'null')) AS m,
         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint AS size FROM documents),
-b AS (SELECT *, (CASE WHEN size < 64 THEN size ELSE 64 + (length(bin(size)) - 7) * 16 + ((size >> (length(bin(size)) - 5)) & 15) END) * {SALTS}
-        + ('0x' || m[1])::int AS bucket FROM r),
+d AS (SELECT length(hex(count(*) >> 20)) AS d FROM r),
+b AS (SELECT *, (CASE WHEN size < 64 THEN size ELSE 64 + (length(bin(size)) - 7) * 16 + ((size >> (length(bin(size)) - 5)) & 15) END) * (1::bigint << (4 * d)::int)
+        + ('0x' || substr(m, 1, d))::bigint AS bucket FROM r, d),
 k AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY bucket, size, m) - 1 AS rank FROM b),
 a AS (SELECT s, sum(size)::bigint AS source_size, row_number() OVER (ORDER BY s) - 1 AS place FROM r GROUP BY s),
 c AS (SELECT s, source_size, place % 3 + 1 AS w, 3 * source_size AS cap FROM a),
