@@ -268,7 +268,7 @@ def order_score(s, d):
 def ordering(s, d):
     g = _graph(s, d)
     inside = stored(order.group_edges(g.edges, b.groups(s, d)), "inside")
-    return order.order_groups(inside, b.groups(s, d), g.contigs, ngen=60, max_gen=400)
+    return order.order_groups(inside, b.groups(s, d), g.contigs)
 
 
 @query

@@ -1,13 +1,17 @@
 """Sequential operators against naive restatements, and invariants."""
 
+import math
+
 import numpy as np
 import pytest
 
+from contactweave.jobs import catalog
 from contactweave.operators import allele, cluster, components, order
+from contactweave.sources import bindings
 
 
-def naive_partition(weights, n, k, veto):
-    clusters = [[c] for c in range(n)]
+def naive_partition(weights, nodes, k, veto):
+    clusters, n = [[c] for c in nodes], len(nodes)
     score = lambda g, m: sum(weights.get((i, j), 0.0) for i in g for j in m) / len(g) / len(m)
     ops = [(w, a, b) for (a, b), w in weights.items() if a < b]
     ops = [(w, [a], [b]) for w, a, b in ops]
@@ -50,7 +54,7 @@ def test_partition(spark, seed):
     groups = {}
     for r in got:
         groups.setdefault(r.group_id, []).append(r.contig_id)
-    assert [groups[g] for g in sorted(groups)] == naive_partition(weights, n, k, veto)
+    assert [groups[g] for g in sorted(groups)] == naive_partition(weights, range(n), k, veto)
 
 
 def naive_match(pairs, table):
@@ -106,3 +110,59 @@ def test_ordering(spark):
     mids = order.midpoints(spark.createDataFrame([(r.group_id, r.ord, r.contig_id) for r in got], "group_id int, ord int, contig_id int"), contigs)
     scores = {r.group_id: r.score for r in order.order_scores(links, mids).collect()}
     assert all(abs(scores[r.group_id] - r.score) < 1e-9 for r in got)
+
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_partition_query(spark):
+    """The registered query on its whole tables, with vetoes, against the naive loop."""
+    g = catalog._graph(spark, SF)
+    bad = {r.contig_id for r in g.invalid.collect()}
+    nodes = sorted(r.contig_id for r in g.contigs.collect() if r.contig_id not in bad)
+    weights = {(r.start, r.end): r.weight for r in g.edges.collect() if r.start not in bad and r.end not in bad}
+    veto = {(r.contig_id, c) for r in allele.conflicts(bindings.allele_rows(spark, SF)).collect() for c in r.other_ids}
+    groups = {}
+    for r in catalog.QUERIES["partition_groups"](spark, SF).collect():
+        groups.setdefault(r.group_id, []).append(r.contig_id)
+    assert len(nodes) > 50 and [sorted(groups[k]) for k in sorted(groups)] == naive_partition(weights, nodes, catalog.GROUPS, veto)
+
+
+def test_matching_query(spark):
+    """The registered query on its whole tables against the naive loop."""
+    pairs = {(r.lo, r.hi): r.pairs for r in catalog.QUERIES["link_counts"](spark, SF).collect()}
+    table = [r.contig_ids for r in bindings.allele_rows(spark, SF).orderBy("row_id").collect()]
+    got = catalog.QUERIES["allele_greedy_match"](spark, SF).collect()
+    assert sorted((r.lo, r.hi) for r in got) == naive_match(pairs, table) and all(pairs[r.lo, r.hi] == r.pairs for r in got)
+
+
+def test_ordering_query(spark, sf):
+    """The registered query orders every contig once, and its score is that of the order."""
+    links = {(r.group_id, r.lo, r.hi): r.pairs for r in catalog.QUERIES["group_edges"](spark, sf).collect()}
+    length = {r.contig_id: r.length for r in bindings.contigs(spark, sf).collect()}
+    group = {r.contig_id: r.group_id for r in bindings.groups(spark, sf).collect()}
+    got = sorted(catalog.QUERIES["ordering"](spark, sf).collect(), key=lambda r: (r.group_id, r.ord))
+    assert sorted(r.contig_id for r in got) == sorted(length)
+    for k in set(group.values()):
+        own = [r for r in got if r.group_id == k]
+        assert [r.ord for r in own] == list(range(len(own))) and all(group[r.contig_id] == k for r in own)
+        at, mid = 0, {}
+        for r in own:
+            mid[r.contig_id], at = at + length[r.contig_id] / 2, at + length[r.contig_id]
+        score = lambda m: -sum(n / abs(m[a] - m[b]) for (g, a, b), n in links.items() if g == k and abs(m[a] - m[b]) <= order.LIMIT)
+        assert abs(score(mid) - own[0].score) < 1e-9 and own[0].score <= own[0].start_score
+
+
+@pytest.mark.parametrize(("n", "k"), [(5, 3), (3, 3), (2, 2), (1, 1)])
+def test_distinct_draws(n, k):
+    seen = order._distinct(np.random.default_rng(n), n, k, 3000)
+    every, times = np.unique(seen, axis=0, return_counts=True)
+    assert all(len(set(r)) == k for r in seen.tolist()) and seen.min() >= 0 and seen.max() < n
+    assert len(every) == math.comb(n, k) and times.min() > 0.7 * 3000 / len(every)
+
+
+@pytest.mark.parametrize("kind", [0.1, 0.3, 0.5, 0.9])
+def test_mutations(kind):
+    start = np.arange(6)
+    want = {0.1: [[0, 4, 2, 3, 1, 5]], 0.3: [[4, 5, 0, 1, 2, 3]], 0.5: [[0, 2, 3, 4, 1, 5], [0, 4, 1, 2, 3, 5]], 0.9: [[0, 4, 3, 2, 1, 5]]}[kind]
+    assert [order._mutate(start.copy(), kind, 1, 4, back).tolist() for back in (False, True)][: len(want)] == want
