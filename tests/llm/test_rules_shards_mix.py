@@ -1,9 +1,11 @@
 """Sharding, quality rules and mixing."""
 
+import math
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from contactweave.llm import mixing, quality, registry, sharding
@@ -32,6 +34,42 @@ def test_shards(spark, sf):
     assert 5 < sum(r.grown_shard == 8 for r in got) < 50
 
 
+def naive_shard(key, shards):
+    """The shard of the largest weight / -ln(u), u from 53 bits of a chained 64-bit hash of the shard's name and the key."""
+    text = "\0null" if key is None else str(key)
+    best = None
+    for s, w in shards:
+        seed = xxhash.xxh64_intdigest(f"shard {s}".encode(), 42)
+        u = ((xxhash.xxh64_intdigest(text.encode(), seed) >> 11) + 0.5) / 2**53
+        bid = w / -math.log(u)
+        if best is None or bid > best[0]:
+            best = bid, s
+    return best[1]
+
+
+@pytest.mark.parametrize("shards", [[(k, 1.0) for k in range(8)], [(k, 1.0) for k in range(9)], [(3, 0.5), (7, 2.0), (1, 1.0)], [(4, 1.0)]])
+def test_shards_by_definition(spark, shards):
+    keys = [None, -5, *range(2000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = {r.k: r.s for r in df.select("k", sharding.rendezvous(F.col("k"), shards).alias("s")).collect()}
+    assert got == {k: naive_shard(k, shards) for k in keys}
+
+
+def test_shard_query_by_definition(spark, sf):
+    eight = [(k, 1.0) for k in range(8)]
+    for r in sharding.op1_rendezvous_shards(spark, sf).collect():
+        assert (r.shard, r.grown_shard) == (naive_shard(r.doc_id, eight), naive_shard(r.doc_id, [*eight, (8, 1.0)]))
+
+
+@pytest.mark.parametrize(("rows", "broadcast"), [(1 << 16, 1 << 17), (3, 1 << 17), (3, 0)])
+def test_slots_whatever_the_buckets(spark, monkeypatch, rows, broadcast):
+    for name, value in (("SLOT_BUCKETS", 2), ("BUCKET_ROWS", rows), ("BROADCAST", broadcast)):
+        monkeypatch.setattr(sharding, name, value)
+    out = sharding.shard_rows(spark.range(500), "id", [(0, 1.0), (1, 2.0)]).collect()
+    for s in (0, 1):
+        assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+
+
 def test_weighted_shards(spark):
     keys = spark.range(20000).select(F.col("id").alias("k"))
     share = Counter(r.s for r in keys.select(sharding.rendezvous(F.col("k"), [(0, 1.0), (1, 3.0)]).alias("s")).collect())
@@ -113,6 +151,10 @@ def test_mix(spark, sf):
         assert abs(sum(r.taken for r in own) - own[0].target) <= 1.5 * max(r["size"] for r in own)
 
 
+def test_salt_digits():
+    assert [mixing.salt_digits(n) for n in (0, 1 << 20, (1 << 24) - 1, 1 << 24, (1 << 28) - 1, 1 << 28, 1 << 36)] == [1, 1, 1, 2, 2, 3, 5]
+
+
 def test_mix_cases(spark, odd):
     frame = odd.withColumns({"target": F.lit("own"), "copies": F.lit("own")})
     got = mixing.mix(frame)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contactweave.llm import language, packing, token_counts, token_matrix
+from contactweave.llm.common import table
 from contactweave.llm.tokens import document_ids
 
 ODD = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "wörd " * 3000), (7, "日本語 \U0001f600\n\n  x"), (8, "1 2 3 !?"), (9, "a <|endoftext|> b")]
@@ -148,6 +149,35 @@ def test_matrices(spark, sf, odd, texts, pool):
         assert {d: sorted(p) for d, p in parts.items()} == {d: sorted(p) for d, p in expect.items()}
 
 
+def test_matrix_query_and_files(spark, sf, texts, tmp_path):
+    """The registered query's rows are those of the written matrices, and these give every document's ids back."""
+    got = sorted(token_matrix.op7_best_fit_matrices(spark, sf).collect(), key=lambda r: (r.task, r.number))
+    token_matrix.write_matrices(token_matrix.matrices(table(spark, sf, "documents")), str(tmp_path / "m"))
+    rows = sorted(spark.read.parquet(str(tmp_path / "m")).collect(), key=lambda r: (r.task, r.number))
+    assert [(r.task, r.number, r.doc_ids, r.starts, r.cu_lengths, r.n_tokens, zlib.crc32(r.ids), zlib.crc32(r.positions)) for r in rows] == [tuple(r) for r in got]
+    parts = defaultdict(dict)
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4")
+        for d, s, a, b in zip(r.doc_ids, r.starts, r.cu_lengths, r.cu_lengths[1:], strict=False):
+            parts[d][s] = ids[a:b].tolist()
+    assert {d: [x for s in sorted(p) for x in p[s]] for d, p in parts.items()} == {d: document_ids(t).tolist() for d, t in texts.items()}
+    assert sum(r.n_tokens for r in rows) / 1024 / len(rows) > 0.6
+
+
+def test_count_query(spark, sf, texts):
+    from tokenizers import models
+
+    model = models.Unigram(token_counts.vocabulary(token_counts.MODEL), 0, True)
+    score = dict(token_counts.vocabulary(token_counts.MODEL))
+    got = {r.doc_id: r for r in token_counts.op6_viterbi_counts(spark, sf).collect()}
+    assert set(got) == set(texts)
+    for d, t in texts.items():
+        pieces = [p.value for p in model.tokenize(token_counts.normal(t or ""))]
+        assert got[d].n_tokens == len(pieces)
+        if all(p in score for p in pieces) and not any(p.startswith("<0x") for p in pieces):
+            assert got[d].score == sum(score[p] for p in pieces)
+
+
 def test_best_fit_is_best_fit():
     rng = np.random.default_rng(2)
     for _ in range(150):
