@@ -34,28 +34,29 @@ from contactweave.llm.common import table
 
 BUCKETS, WIDTH = 1 << 16, 16
 PARTS = 256
-#: Looked-up values held at once, for all languages.
-SLICE = 1 << 21
+#: Bytes of a text whose subwords are held at once, and looked-up values for all languages.
+STRETCH, SLICE = 1 << 20, 1 << 21
 SIZES = (3, 4)
 #: Bytes as the subwords see them.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b if b >= 97 and b <= 122 or b >= 128 else 32 for b in range(256)], dtype=np.uint32)
 
 
-def subwords(text: bytes) -> list[np.ndarray]:
-    """For each subword size, the bucket of each place of the text with a blank on both sides."""
-    folded = FOLD[np.frombuffer(b" " + text + b" ", dtype=np.uint8)]
-    out, key = [], folded
-    for n in range(2, max(SIZES) + 1):
-        key = key[:-1] * np.uint32(0x01000193) ^ folded[n - 1 :]
-        if n in SIZES:
-            out.append((key * np.uint32(0x9E3779B1)) >> np.uint32(16))
-    return out
+def subwords(text: bytes) -> Iterator[np.ndarray]:
+    """The buckets of all the subwords of the text with a blank on both sides, a bounded stretch at a time."""
+    padded = b" " + text + b" "
+    for at in range(0, len(padded), STRETCH):
+        key = folded = FOLD[np.frombuffer(padded[at : at + STRETCH + max(SIZES) - 1], dtype=np.uint8)]
+        for n in range(2, max(SIZES) + 1):
+            key = key[:-1] * np.uint32(0x01000193) ^ folded[n - 1 :]
+            if n in SIZES:
+                yield (key[:STRETCH] * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of the text's subwords, and the share of each."""
-    bucket, n = np.unique(np.concatenate(subwords(text)), return_counts=True)
-    return bucket.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)
+    n = sum(np.bincount(key, minlength=BUCKETS) for key in subwords(text))
+    bucket = np.flatnonzero(n)
+    return bucket.astype(np.int32), (n[bucket] / max(1, n.sum())).astype(np.float32)
 
 
 @dataclass

@@ -29,6 +29,7 @@ gives an empty table; columns ``fingerprint`` and ``component_id`` of the input
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,6 +43,9 @@ from contactweave.llm.common import stored, table
 from contactweave.operators.components import components
 
 RADIUS = 2
+#: Bytes of a text whose words are held at once.
+STRETCH = 1 << 20
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: A bucket of more distinct fingerprints is divided again.
 LARGE = 4096
 #: Keys of the pipeline's stage: so many bands of so many least hashes; sets of two blocks are compared in one task.
@@ -75,25 +79,48 @@ def first_hash(shingle: bytes) -> int:
     return xxhash.xxh64_intdigest(shingle, 42)
 
 
-def fingerprint_of(text: str | None, shingle: int = 3, digest=first_hash) -> int:
+def word_lists(text: str | None, size: int) -> Iterator[list[bytes]]:
+    """The text's words, A-Z in lower case, in lists that hold every run of ``size`` words once; a shorter text is one list, one without words none.
+
+    A list comes from about ``STRETCH`` bytes, however long the text.
+    """
+    raw, at, carry, whole = (text or "").encode().lower(), 0, [], True
+    while at < len(raw):
+        blank = BLANK.search(raw, at + STRETCH) if at + STRETCH < len(raw) else None
+        end = blank.start() if blank else len(raw)
+        carry += raw[at:end].split()
+        at = end
+        if len(carry) >= size:
+            yield carry
+            carry, whole = carry[len(carry) - size + 1 :], False
+    if whole and carry:
+        yield carry
+
+
+def _set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, the highest first."""
+    return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def fingerprint_of(text: str | None, shingle: int = 3) -> int:
     """Unsigned fingerprint of one text."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    joined = b" ".join(words)
-    ends = np.cumsum(size + 1) - 1
-    starts = ends - size
-    last = min(shingle, len(words)) - 1
-    hashes = np.array([digest(joined[a:b]) for a, b in zip(starts[: len(words) - last].tolist(), ends[last:].tolist(), strict=True)], dtype=">u8")
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes)).view(">u8")[0])
-
-
-def fingerprint(text: Column, shingle: int = 3, digest=first_hash) -> Column:
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for words in word_lists(text, shingle):
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        joined = b" ".join(words)
+        ends = np.cumsum(size + 1) - 1
+        starts = ends - size
+        last = min(shingle, len(words)) - 1
+        hashes = [first_hash(joined[a:b]) for a, b in zip(starts[: len(words) - last].tolist(), ends[last:].tolist(), strict=True)]
+        ones += _set_bits(np.array(hashes, dtype=np.uint64))
+        n += len(hashes)
+    return int(np.packbits(2 * ones > n).view(">u8")[0])
+
+
+def fingerprint(text: Column, shingle: int = 3) -> Column:
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([_signed(fingerprint_of(t, shingle, digest)) for t in texts.to_pylist()], pa.int64())
+        return pa.array([_signed(fingerprint_of(t, shingle)) for t in texts.to_pylist()], pa.int64())
 
     return of(text)
 
@@ -178,19 +205,19 @@ def _hashing(words: int) -> tuple[WordHashes, np.ndarray, np.ndarray]:
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
-    split = (text or "").encode().lower().split()
-    if not split:
-        return np.empty(0, dtype=np.uint64)
     seen, place, _ = _hashing(words)
-    of_word = np.fromiter(map(seen.__getitem__, split), dtype=np.uint64, count=len(split))
-    size = min(words, len(split))
-    mixed = np.full(len(split) - size + 1, size, dtype=np.uint64)
-    for k in range(size):
-        mixed += of_word[k : k + len(mixed)] * place[k]
-    for _ in range(2):
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return np.unique(mixed ^ (mixed >> np.uint64(32)))
+    parts = [np.empty(0, dtype=np.uint64)]
+    for own in word_lists(text, words):
+        of_word = np.fromiter(map(seen.__getitem__, own), dtype=np.uint64, count=len(own))
+        size = min(words, len(own))
+        mixed = np.full(len(own) - size + 1, size, dtype=np.uint64)
+        for k in range(size):
+            mixed += of_word[k : k + len(mixed)] * place[k]
+        for _ in range(2):
+            mixed ^= mixed >> np.uint64(32)
+            mixed *= np.uint64(0xD6E8FEB86659FD93)
+        parts.append(mixed ^ (mixed >> np.uint64(32)))
+    return np.unique(np.concatenate(parts))
 
 
 def meeting_keys(shingles: np.ndarray, words: int = 5) -> np.ndarray:
@@ -200,7 +227,7 @@ def meeting_keys(shingles: np.ndarray, words: int = 5) -> np.ndarray:
     least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
     for at in range(0, len(shingles), 1024):
         some = shingles[at : at + 1024]
-        ones += np.unpackbits(some.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        ones += _set_bits(some)
         least = np.minimum(least, ((some >> np.uint64(32)).astype(np.uint32)[:, None] * factors).min(axis=0))
     print_ = int(np.packbits(2 * ones > len(shingles)).view(">u8")[0])
     keys = [xxhash.xxh64_intdigest(f"{t} {print_ & m & (1 << 64) - 1}") for t, m in enumerate(covering_masks(RADIUS))]

@@ -32,6 +32,7 @@ BLANK = "▁"
 PENALTY = 10.0
 #: Stretches remembered a worker, and the longest that is.
 KEPT, LONGEST = 1 << 19, 48
+LONG = 1 << 20
 STRETCH = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
 
 
@@ -85,7 +86,9 @@ class Counter:
     def text(self, text: str | None) -> tuple[int, float]:
         n, score = 0, 0.0
         seen = self.seen
-        for stretch in STRETCH.findall(normal(text or "")):
+        whole = normal(text or "")
+        # A very long text's stretches are not listed all at once.
+        for stretch in STRETCH.findall(whole) if len(whole) < LONG else (m.group() for m in STRETCH.finditer(whole)):
             got = seen.get(stretch)
             if got is None:
                 got = self.solve(stretch)

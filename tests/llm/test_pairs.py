@@ -45,6 +45,17 @@ def test_simhash(spark, sf):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {d: (f"{prints[d]:016x}", want[d]) for d in docs}
 
 
+@pytest.mark.parametrize("stretch", [1, 2, 9, 40])
+def test_long_texts_in_stretches(monkeypatch, stretch):
+    """Fingerprints and shingle sets don't depend on how a text is cut for hashing."""
+    rng = random.Random(stretch)
+    texts = ["", "one", "one two", "a b c", "  a\tb  ", *(" ".join(rng.choice(["é", "bb", "Ccc", "dd\n", "\x0b"]) for _ in range(rng.randrange(60))) for _ in range(40))]
+    sets = [simhash.shingle_set(t).tolist() for t in texts]
+    monkeypatch.setattr(simhash, "STRETCH", stretch)
+    assert [simhash.fingerprint_of(t) for t in texts] == [naive_fingerprint(t) for t in texts]
+    assert [simhash.shingle_set(t).tolist() for t in texts] == sets and [len(x) for x in sets] == [len(naive_set(t)) for t in texts]
+
+
 def test_simhash_equals_spark_hash(spark):
     text = "one two three"
     assert spark.range(1).select(F.hex(F.xxhash64(F.lit(text)))).first()[0].lower() == f"{simhash.fingerprint_of(text):016x}"

@@ -61,14 +61,18 @@ def naive_buckets(text):
     return out
 
 
-@pytest.mark.parametrize("size", [language.SLICE, 50])
-def test_prediction_by_definition(texts, monkeypatch, size):
+@pytest.mark.parametrize(("size", "stretch"), [(language.SLICE, language.STRETCH), (50, 7), (6, 200)])
+def test_prediction_by_definition(texts, monkeypatch, size, stretch):
     """Average of subword values, softmax at the temperature, whatever the slices."""
     monkeypatch.setattr(language, "SLICE", size)
+    monkeypatch.setattr(language, "STRETCH", stretch)
     some = [t.encode()[:700] for t in list(texts.values())[:40]] + [b"a", "é日".encode()]
     model = language.train([language.bag(t) for t in some], ["a", "b", "c"] * 14, epochs=2)
     assert model.temperature != 1
     for t in [*some, b""]:
+        assert sorted(naive_buckets(t)) == sorted(k for part in language.subwords(t) for k in part.tolist())
+        bucket, share = language.bag(t)
+        assert dict(zip(bucket.tolist(), share.tolist(), strict=True)) == pytest.approx({k: n / max(1, len(naive_buckets(t))) for k, n in Counter(naive_buckets(t)).items()})
         z = [sum(float(model.table[k, c]) for k in naive_buckets(t)) / max(1, len(naive_buckets(t))) + model.bias[c] for c in range(3)]
         e = [np.exp((x - max(z)) / model.temperature) for x in z]
         lang, score = model.predict(t)
@@ -106,7 +110,7 @@ def test_languages_are_not_dropped(spark):
         language.fit(df, max_langs=4)
 
 
-def test_counts_equal_the_tokenizer(texts):
+def test_counts_equal_the_tokenizer(texts, monkeypatch):
     from tokenizers import models
 
     model = models.Unigram(token_counts.vocabulary(token_counts.MODEL), 0, True)
@@ -114,6 +118,9 @@ def test_counts_equal_the_tokenizer(texts):
     more = ["a  b\n\n c", "   ", "\n", " a", "a ", "<s> <0x0A>", "aaaaaaaaaaaaaaaaaaaaa", "\t\tx", "日本語テキスト \U0001f600é"]
     for text in [*texts.values(), *more]:
         assert counter.text(text)[0] == len(model.tokenize(token_counts.normal(text)))
+    monkeypatch.setattr(token_counts, "LONG", 5)
+    for text in more:
+        assert counter.text(text)[0] == len(model.tokenize(token_counts.normal(text)))
 
 
 def test_count_cases(spark, odd):
