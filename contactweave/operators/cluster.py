@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactweave.operators.components import components
+from contactweave.operators.running import ranked
 
 MERGES = "root int, step int, a int, b int, low double, singles int"
 
@@ -106,9 +107,8 @@ def partition(edges: DataFrame, invalid: DataFrame, contigs: DataFrame, groups:
         return out.assign(root=group.root.iloc[0])[["root", "step", "a", "b", "low", "singles"]]
 
     merged = rows.groupBy("root").applyInPandas(merges, MERGES)
-    # One row a merge, fewer than contigs: small beside the reads and edges they stand for.
-    order = Window.orderBy(F.desc("low"), "root", "step")
-    done = merged.withColumn("n", F.row_number().over(order)).withColumn("plain", F.sum(F.col("singles") - 1).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # One row a merge, fewer than contigs.
+    done = ranked(merged.withColumn("fewer", F.col("singles") - 1), [F.desc("low"), F.col("root"), F.col("step")], "fewer", "n", "plain")
     start = contigs.join(invalid, "contig_id", "left_anti").agg(F.count("*")).scalar()
     last = done.withColumn("n0", start).filter((F.col("n") > F.expr("n0 div 2")) & (F.col("plain") == groups)).agg(F.min("n")).scalar()
     taken = done.withColumn("n0", start).withColumn("last", last).filter((F.col("n") <= F.col("n0") - groups) & (F.col("last").isNull() | (F.col("n") <= F.col("last"))))

@@ -4,9 +4,10 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from contactweave.jobs import catalog
-from contactweave.operators import allele, cluster, components, order
+from contactweave.operators import allele, cluster, components, order, running
 from contactweave.sources import bindings
 
 
@@ -153,6 +154,18 @@ def test_ordering_query(spark, sf):
         assert abs(score(mid) - own[0].score) < 1e-9 and own[0].score <= own[0].start_score
 
 
+@pytest.mark.parametrize("n", [0, 1, 400])
+def test_ranked(spark, n):
+    rng = np.random.default_rng(n)
+    data = [(float(x), k, int(v)) for k, (x, v) in enumerate(zip(rng.integers(0, 9, n), rng.integers(-3, 4, n), strict=True))]
+    df = spark.createDataFrame(data, "x double, k int, v int").repartition(5)
+    want, total = [], 0
+    for at, (x, k, v) in enumerate(sorted(data, key=lambda r: (-r[0], r[1]))):
+        total += v
+        want.append((x, k, v, at + 1, total))
+    assert sorted(map(tuple, running.ranked(df, [F.desc("x"), F.col("k")], "v").select("x", "k", "v", "n", "running").collect()), key=lambda r: r[3]) == want
+
+
 @pytest.mark.parametrize(("n", "k"), [(5, 3), (3, 3), (2, 2), (1, 1)])
 def test_distinct_draws(n, k):
     seen = order._distinct(np.random.default_rng(n), n, k, 3000)
