@@ -1,6 +1,7 @@
 """Queries of the training-data operators and, where SQL can say the same, their SQL."""
 
 from contactweave.llm.language import op4_subword_language
+from contactweave.llm.line_dedup import OP11_SQL, op11_first_lines
 from contactweave.llm.mixing import OP10_SQL, op10_systematic_mix
 from contactweave.llm.packing import op8_nnls_packing
 from contactweave.llm.quality import OP3_SQL, op3_rule_ledger
@@ -22,5 +23,6 @@ QUERIES = {
     "op8_nnls_packing": op8_nnls_packing,
     "op9_ball_tree_search": op9_ball_tree_search,
     "op10_systematic_mix": op10_systematic_mix,
+    "op11_first_lines": op11_first_lines,
 }
-ORACLES = {"op3_rule_ledger": OP3_SQL, "op9_ball_tree_search": OP9_SQL, "op10_systematic_mix": OP10_SQL}
+ORACLES = {"op3_rule_ledger": OP3_SQL, "op9_ball_tree_search": OP9_SQL, "op10_systematic_mix": OP10_SQL, "op11_first_lines": OP11_SQL}
