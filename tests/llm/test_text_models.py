@@ -1,5 +1,6 @@
 """Language ID, token counts, packed matrices and packing."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -256,3 +257,21 @@ def test_long_white_space():
     long = 1_200_000
     for text in (" " * 3_000_000, "\n" * 3_000_000, "one" + " " * long + "two", "one" + "\n" * long, " \n" * long + "\t#", "a" + "\u3000" * 10_000 + "b" + " " * 9_999 + "c" + "\x1c" * 12_000 + " " * 10_001 + "\n7"):
         assert document_ids(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_white_space_before_added_tokens(monkeypatch):
+    """20,000 random texts whose runs of four and more are split off, and two with runs as long as in production."""
+    from tokenizers import Tokenizer
+
+    from contactweave.llm import tokens
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    for text in ("x" + "\n" * 10_000 + end, "\n" * 20_000 + end, "\n" * 10_001 + end[:-1], " " * 10_000 + end + "\t" * 10_000):
+        assert document_ids(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
+    monkeypatch.setattr(tokens, "LONG_RUN", tokens.long_run(4))
+    rng = random.Random(16)
+    pieces = [end, end[:-1], "|>", "a", " b", "é", "'s", "7", "#", " ", "\n", "\t", "　", " " * 4, "\n" * 5, " \n" * 4, "\n" * 3 + " "]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 14))) for _ in range(20_000)]
+    for text, want in zip(texts, t.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert document_ids(text).tolist() == [*want.ids, 0], repr(text)
