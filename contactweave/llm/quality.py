@@ -9,18 +9,25 @@ Defined cases: a null text counts as empty (no words, fails ``few_words``);
 repeated rows get equal ledger rows; an empty table gives an empty ledger; other
 columns of the input are passed on, those named like a ledger column are replaced.
 Windows of words are compared by their 64-bit hash inside one document.
+
+Very long texts: a text's words are an array of its row, many times its size, so texts of
+more than ``LONG`` bytes are measured as rows instead: cut into pieces that end where a
+word (or a line) does, their words and lines hashed, and counted by aggregation and windows.
+Both ways give the same figures; a long text needs memory for itself and one piece's words.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactweave.llm.common import BLANKS, WORD, table
+from contactweave.llm.common import BLANKS, WORD, stored, table
 
 WINDOW = 5
+#: Bytes of a text that is measured as rows; characters of its pieces.
+LONG, PIECE = 1 << 22, 1 << 21
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals"]
 
 
@@ -53,6 +60,23 @@ def mask(policy: str) -> int:
 
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the measurements of its text, all from built-in functions."""
+    size = F.coalesce(F.octet_length(text), F.lit(0))
+    long = stored(df.filter(size > LONG).withColumn("_cw_id", F.monotonically_increasing_id()), "long")
+    if long.isEmpty():
+        return _measured(df, text)
+    return _measured(df.filter(size <= LONG), text).unionByName(_measured_long(long, text).select(*[c for c in df.columns if c not in MEASURES], *MEASURES))
+
+
+def _symbols(t: Column) -> Column:
+    return F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", ""))
+
+
+def _capitals(t: Column) -> Column:
+    return F.length(F.regexp_replace(t, r"[^A-Z]+", ""))
+
+
+def _measured(df: DataFrame, text: str) -> DataFrame:
+    """Texts whose words fit their row."""
     t = F.coalesce(F.col(text), F.lit(""))
     n = f"size(_cw_words) - {WINDOW} + 1"
     window = ", ".join(f"_cw_words[i + {k}]" for k in range(WINDOW))
@@ -71,11 +95,11 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     values = {
         "n_words": F.size("_cw_words"),
         "word_chars": F.length(F.regexp_replace(t, BLANKS, "")),
-        "n_symbols": F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")),
+        "n_symbols": _symbols(t),
         "n_lines": F.size("_cw_lines"),
         "n_dup_lines": F.size("_cw_lines") - F.size(F.array_distinct("_cw_lines")),
         "n_repeat_words": F.expr(covered),
-        "n_capitals": F.length(F.regexp_replace(t, r"[^A-Z]+", "")),
+        "n_capitals": _capitals(t),
     }
     # A generated row stands between the measurements and their readers: a filter on them must not be
     # pushed below, where each of its references would measure the text again.
@@ -84,6 +108,49 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns({k: F.col("_cw_measured")[k] for k in values}).drop("_cw_words", "_cw_lines", "_cw_windows", "_cw_sorted", "_cw_found", "_cw_measured")
 
 
+def _whole_parts(pieces: DataFrame, inside: str) -> DataFrame:
+    """(id, g, part): the texts of pieces (id, k, piece) in parts that cut no run of the characters ``inside``; ``g`` is their order.
+
+    What a piece begins with, up to the first other character, goes to the part before.
+    """
+    rows = pieces.withColumn("head", F.regexp_extract("piece", f"^{inside}*", 0))
+    rows = rows.withColumn("opens", (F.length("head") < F.length("piece")).cast("int"))
+    rows = rows.withColumn("g", F.sum("opens").over(Window.partitionBy("id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
+    rest = F.when(F.col("opens") == 1, F.expr("substring(piece, length(head) + 1)")).otherwise("")
+    both = F.array(F.struct((F.col("g") - F.col("opens")).alias("g"), F.col("k"), F.lit(0).alias("side"), F.col("head").alias("part")), F.struct("g", "k", F.lit(1).alias("side"), rest.alias("part")))
+    parts = rows.select("id", F.explode(both).alias("x")).groupBy("id", F.col("x.g").alias("g")).agg(F.array_sort(F.collect_list(F.struct("x.k", "x.side", "x.part"))).alias("x"))
+    return parts.select("id", "g", F.array_join("x.part", "").alias("part"))
+
+
+def _measured_long(long: DataFrame, text: str) -> DataFrame:
+    """Texts whose words are rows; ``_cw_id`` tells the texts apart."""
+    last = F.floor((F.length("t") - 1) / PIECE).cast("int")
+    at = long.select(F.col("_cw_id").alias("id"), F.col(text).alias("t")).select("id", "t", F.explode(F.sequence(F.lit(0), last)).alias("k"))
+    pieces = stored(at.select("id", "k", F.substring("t", F.col("k") * PIECE + 1, F.lit(PIECE)).alias("piece")), "pieces")
+    plain = pieces.groupBy("id").agg(F.sum(F.length(F.regexp_replace("piece", BLANKS, ""))).alias("word_chars"), F.sum(_symbols(F.col("piece"))).alias("n_symbols"), F.sum(_capitals(F.col("piece"))).alias("n_capitals"))
+
+    lines = _whole_parts(pieces, r"[^\n]").select("id", F.explode(F.split("part", "\n", -1)).alias("line")).filter(F.col("line").rlike(WORD))
+    alike = lines.groupBy("id", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")).agg(F.count("*").alias("n"))
+    by_line = alike.groupBy("id").agg(F.sum("n").alias("n_lines"), F.sum(F.col("n") - 1).alias("n_dup_lines"))
+
+    words = _whole_parts(pieces, WORD[:-1]).select("id", "g", F.posexplode(F.regexp_extract_all("part", F.lit(WORD), F.lit(0))).alias("i", "word")).select("id", "g", "i", F.xxhash64("word").alias("h"))
+    along = Window.partitionBy("id").orderBy("g", "i")
+    ahead = [F.lead("h", k).over(along).alias(f"h{k}") for k in range(1, WINDOW)]
+    words = words.select("id", "h", *ahead, F.row_number().over(along).alias("place"))
+    window = F.when(F.col(f"h{WINDOW - 1}").isNotNull(), F.xxhash64("h", *[f"h{k}" for k in range(1, WINDOW)]))
+    words = stored(words.select("id", "place", window.alias("window")), "words")
+    often = stored(words.filter("window IS NOT NULL").groupBy("id", "window").agg(F.count("*").alias("n")).filter("n > 1").select("id", "window"), "often")
+    next_ = F.lead("place").over(Window.partitionBy("id").orderBy("place"))
+    covered = words.join(often, ["id", "window"], "left_semi").select("id", F.least(F.lit(WINDOW), F.coalesce(next_ - F.col("place"), F.lit(WINDOW))).alias("n"))
+    by_word = words.groupBy("id").agg(F.count("*").alias("n_words")).join(covered.groupBy("id").agg(F.sum("n").alias("n_repeat_words")), "id", "left")
+
+    out = long.drop(*MEASURES)
+    for found in (plain, by_line, by_word):
+        found = found.withColumnsRenamed({c: f"_cw_of_{c}" for c in found.columns})
+        out = out.join(found, F.col("_cw_id") == F.col("_cw_of_id"), "left").drop("_cw_of_id")
+    return out.withColumns({c: F.coalesce(f"_cw_of_{c}", F.lit(0)).cast("long") for c in MEASURES})
+
+
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the measurements and ``fail_bits``: bit b is set where rule b fails."""
     bits: Column = F.lit(0).cast("long")

@@ -1,6 +1,8 @@
 """Sharding, quality rules and mixing."""
 
 import math
+import random
+import re
 import zlib
 from collections import Counter
 
@@ -162,3 +164,28 @@ def test_mix_cases(spark, odd):
     assert sorted(map(str, mixing.mix(frame.repartition(5)).collect())) == sorted(map(str, got.collect()))
     assert mixing.emit(got).count() == sum(r.copies for r in got.collect())
     assert mixing.mix(frame.limit(0)).count() == 0
+
+
+def plain_measures(text):
+    """The ledger's measurements, by definition."""
+    blanks = "\t\n\x0b\x0c\r "
+    words = re.findall(f"[^{blanks}]+", text or "")
+    lines = [x for x in (text or "").split("\n") if x.strip(blanks)]
+    windows = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+    covered = {k + j for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for j in range(5)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines), len(lines) - len(set(lines)), len(covered), sum("A" <= c <= "Z" for c in text or ""))
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_long_texts_as_rows(spark, monkeypatch, piece):
+    """Texts measured as rows, cut into pieces of any size, have the figures of the definition; short and long ones stand together."""
+    monkeypatch.setattr(quality, "LONG", 30)
+    monkeypatch.setattr(quality, "PIECE", piece)
+    rng = random.Random(piece)
+    parts = ["a", "b", "Éa", "#", "word" * 9, " ", "\n", "\t", "\x0b", "　", "same line here\n", "one two three four five "]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(80))) for _ in range(40)] + ["a b " * 40, "x" * 200, "\n" * 200, " " * 50, "", None, "é\n" * 60]
+    rows = [(k % 9, t) for k, t in enumerate(texts + texts[:5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n_words": F.lit("own"), "id": F.lit(1), "piece": F.lit(2)}).repartition(3)
+    got = quality.measure(df)
+    assert got.columns == [*[c for c in df.columns if c != "n_words"], *quality.MEASURES] or set(got.columns) == {*df.columns, *quality.MEASURES}
+    assert Counter((r.text, *(r[c] for c in quality.MEASURES)) for r in got.collect()) == Counter((t, *plain_measures(t)) for _, t in rows)
