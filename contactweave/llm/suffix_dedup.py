@@ -26,6 +26,11 @@ filed under the whole window. So equal keys meet, and a key met twice in one tas
 settled there; no bucket holds the many different keys around a passage that a third of
 all documents hold.
 
+Periodic texts: where a text repeats itself every few bytes each window has the same gram,
+so the anchors of a stretch of period p stand p bytes apart. A window that lies in such a
+stretch p bytes behind another one repeats it, so the stretch is settled as one span, all
+but its first p windows, which stay as a block that is known to occur twice.
+
 Defined cases: a null text is empty; texts shorter than ``MATCH`` keep all; matches
 never cross documents; rows equal in every column are repeats of each other; an empty
 table gives an empty table. Rows are told apart by 128 bits of hashes of their columns.
@@ -94,6 +99,28 @@ class Anchors:
         return at[opens], last, anchor[opens], gram[anchor[opens]].view(np.int64)
 
 
+def settle_periods(data: np.ndarray, first: np.ndarray, last: np.ndarray, anchor: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Which blocks stay, how many times each is known to occur, and the places (begin, finish) of the windows of those that go.
+
+    Four and more blocks of one gram at equal distances of GRAM and less are a periodic stretch, if its bytes say so.
+    """
+    stay, times, spans = np.ones(len(anchor), dtype=bool), np.ones(len(anchor), dtype=np.int32), []
+    step = np.diff(anchor)
+    link = (gram[1:] == gram[:-1]) & (first[1:] == last[:-1] + 1) & (step > 0) & (step <= GRAM)
+    goes_on = np.concatenate([[False], link[1:] & link[:-1] & (step[1:] == step[:-1])]) if len(step) else link
+    opens = np.flatnonzero(link & ~goes_on)
+    closes = np.flatnonzero(link & ~np.concatenate([goes_on[1:], [False]]))
+    for k, end in zip(opens.tolist(), (closes + 1).tolist(), strict=True):
+        p, stop = int(step[k]), int(anchor[end]) + GRAM
+        # The last block whose windows all end inside the stretch.
+        done = k + (int(anchor[end]) - (MATCH - GRAM) - int(anchor[k])) // p
+        if done >= k + 2 and np.array_equal(data[anchor[k] : stop - p], data[anchor[k] + p : stop]):
+            stay[k + 2 : done + 1] = False
+            times[k + 1] = 2
+            spans.append((int(first[k + 2]), int(last[done]) + MATCH))
+    return stay, times, spans
+
+
 def _stretches(raw: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes]]:
     """Texts in stretches that hold every window once: (text number, place in the text) of each part, and the bytes."""
     which, place, parts, held = [], [], [], 0
@@ -112,19 +139,30 @@ def _stretches(raw: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes]]
 
 
 def find_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k1, k2, gram, where) of every block; ``where``: first window << 16 | last - first << 8 | anchor - first."""
+    """(k1, k2, gram, where, times) of every block; ``where``: first window << 16 | last - first << 8 | anchor - first.
+
+    Rows of ``times`` 0 are settled places instead, ``where``: begin << 21 | length; their ``gram`` only deals them out.
+    """
     anchors = Anchors()
     for batch in batches:
         raw = [(t or "").encode() for t in batch.column("text").to_pylist()]
         keys = [batch.column(c).to_numpy() for c in ("k1", "k2")]
         for which, place, parts in _stretches(raw):
             sizes = np.array([len(p) for p in parts])
-            first, last, anchor, gram = anchors.blocks(np.frombuffer(b"".join(parts), dtype=np.uint8), sizes)
+            data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+            first, last, anchor, gram = anchors.blocks(data, sizes)
+            stay, times, spans = settle_periods(data, first, last, anchor, gram)
+            first, last, anchor, gram, times = (x[stay] for x in (first, last, anchor, gram, times))
+            opens, closes = np.array(spans, dtype=np.int64).reshape(-1, 2).T
             begin = np.cumsum(sizes) - sizes
-            part = np.searchsorted(begin, first, side="right") - 1
-            where = (first - begin[part] + np.array(place)[part]) << 16 | (last - first) << 8 | anchor - first
+            part = np.searchsorted(begin, np.concatenate([first, opens]), side="right") - 1
+            at = np.concatenate([first, opens]) - begin[part] + np.array(place)[part]
+            n = len(first)
+            where = np.concatenate([at[:n] << 16 | (last - first) << 8 | anchor - first, at[n:] << 21 | closes - opens])
             text = np.array(which)[part]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[0][text], keys[1][text], gram, where)], names=["k1", "k2", "gram", "where"])
+            gram = np.concatenate([gram, keys[0][text[n:]] + at[n:]])
+            columns = (keys[0][text], keys[1][text], gram, where, np.concatenate([times, np.zeros(len(opens), dtype=np.int32)]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k1", "k2", "gram", "where", "times"])
 
 
 def shared(a: bytes, b: bytes, at: int = 0) -> int:
@@ -399,19 +437,23 @@ def _hot(keyed: DataFrame, text: str, hot: DataFrame) -> tuple[DataFrame, DataFr
     return settled, open_.select("k1", "k2", F.lit(0).cast("long").alias("gram"), where.cast("long").alias("where"), F.lit(True).alias("many"), F.col("met").alias("alike"))
 
 
-def _runs(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None]:
+def _runs(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """The runs to merge, and places settled before."""
     plain = keyed.select(F.col("_cw_k1").alias("k1"), F.col("_cw_k2").alias("k2"), F.col(text).alias("text"))
-    blocks = plain.mapInArrow(find_blocks, "k1 long, k2 long, gram long, where long")
+    blocks = plain.mapInArrow(find_blocks, "k1 long, k2 long, gram long, where long, times int")
     # Stored: the join below then has plain shuffles on both sides, and a very frequent gram's blocks can be split.
-    grams = stored(blocks.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
+    grams = stored(blocks.filter("times > 0").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
     # Dealt by document before blocks are grouped: grouping on top of the join would keep a gram's blocks in one task.
-    found = blocks.join(grams, "gram").repartition("k1", "k2").groupBy("k1", "k2", "gram", "where").agg(F.count("*").alias("m"), F.first("n").alias("n"))
-    found = stored(found.select("k1", "k2", "gram", "where", (F.col("n") > HOT).alias("many"), (F.col("m") > 1).alias("alike")), "blocks")
+    met = blocks.join(grams, "gram", "left").filter("n IS NOT NULL OR times = 0")
+    found = met.repartition("k1", "k2").groupBy("k1", "k2", "gram", "where").agg(F.sum("times").alias("m"), F.first("n").alias("n"))
+    found = stored(found.select("k1", "k2", "gram", "where", F.coalesce(F.col("n") > HOT, F.lit(False)).alias("many"), (F.col("m") > 1).alias("alike"), (F.col("m") == 0).alias("span")), "blocks")
+    begin = F.shiftright("where", 21)
+    settled = found.filter("span").select("k1", "k2", begin.alias("begin"), (begin + F.col("where").bitwiseAND(F.lit((1 << 21) - 1))).alias("finish"))
+    found = found.filter("NOT span").drop("span")
     total, hot = found.agg(F.count("*"), F.count_if("many")).first()
-    settled = None
     if hot:
-        settled, windows = _hot(keyed, text, found.filter("many"))
+        ranges, windows = _hot(keyed, text, found.filter("many"))
+        settled = settled.unionByName(ranges)
         windows = stored(windows, "windows")
         total += STEP * windows.count() - hot
         found = found.filter("NOT many").unionByName(windows)
@@ -421,8 +463,7 @@ def _runs(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None]:
 def _spans(keyed: DataFrame, text: str) -> DataFrame:
     """(k1, k2, begin, finish) of repeated places, unmerged."""
     runs, settled = _runs(keyed, text)
-    merged = runs.groupBy("bucket").applyInArrow(merge_bucket, SPANS)
-    return merged if settled is None else merged.unionByName(settled)
+    return runs.groupBy("bucket").applyInArrow(merge_bucket, SPANS).unionByName(settled)
 
 
 def cut(text: Column, spans: Column, as_text: bool = False) -> Column:
