@@ -20,7 +20,7 @@ DEAL = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table; one of fewer than ``DEAL`` files is dealt to so many tasks, as its few row groups would leave most cores idle."""
+    """The table; one of fewer than ``DEAL`` files is dealt to so many tasks, as its few row groups would leave most cores idle. No result depends on it."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.repartition(DEAL) if len(df.inputFiles()) < DEAL else df
 

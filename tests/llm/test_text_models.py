@@ -160,10 +160,10 @@ def test_matrices(spark, sf, odd, texts, pool):
 
 def test_matrix_query_and_files(spark, sf, texts, tmp_path):
     """The registered query's rows are those of the written matrices, and these give every document's ids back."""
-    got = sorted(token_matrix.op7_best_fit_matrices(spark, sf).collect(), key=lambda r: (r.task, r.number))
+    got = sorted(token_matrix.op7_best_fit_matrices(spark, sf).collect(), key=lambda r: (r.bucket, r.number))
     token_matrix.write_matrices(token_matrix.matrices(table(spark, sf, "documents")), str(tmp_path / "m"))
-    rows = sorted(spark.read.parquet(str(tmp_path / "m")).collect(), key=lambda r: (r.task, r.number))
-    assert [(r.task, r.number, r.doc_ids, r.starts, r.cu_lengths, r.n_tokens, zlib.crc32(r.ids), zlib.crc32(r.positions)) for r in rows] == [tuple(r) for r in got]
+    rows = sorted(spark.read.parquet(str(tmp_path / "m")).collect(), key=lambda r: (r.bucket, r.number))
+    assert [(r.bucket, r.number, r.doc_ids, r.starts, r.cu_lengths, r.n_tokens, zlib.crc32(r.ids), zlib.crc32(r.positions)) for r in rows] == [tuple(r) for r in got]
     parts = defaultdict(dict)
     for r in rows:
         ids = np.frombuffer(r.ids, "<u4")
@@ -275,3 +275,13 @@ def test_white_space_before_added_tokens(monkeypatch):
     texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 14))) for _ in range(20_000)]
     for text, want in zip(texts, t.encode_batch(texts, add_special_tokens=False), strict=True):
         assert document_ids(text).tolist() == [*want.ids, 0], repr(text)
+
+
+def test_matrices_do_not_depend_on_files(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = []
+    for n in (1, 7, 40):
+        docs.repartition(n).write.parquet(str(tmp_path / str(n)))
+        found = token_matrix.matrices(spark.read.parquet(str(tmp_path / str(n))), per_bucket=64)
+        rows.append(sorted(map(tuple, found.collect())))
+    assert rows[0] == rows[1] == rows[2] and len({r[0] for r in rows[0]}) > 2
