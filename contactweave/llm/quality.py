@@ -108,18 +108,21 @@ def _measured(df: DataFrame, text: str) -> DataFrame:
     return out.withColumns({k: F.col("_cw_measured")[k] for k in values}).drop("_cw_words", "_cw_lines", "_cw_windows", "_cw_sorted", "_cw_found", "_cw_measured")
 
 
-def _whole_parts(pieces: DataFrame, inside: str) -> DataFrame:
-    """(id, g, part): the texts of pieces (id, k, piece) in parts that cut no run of the characters ``inside``; ``g`` is their order.
+def _parts(pieces: DataFrame, inside: str) -> tuple[DataFrame, DataFrame]:
+    """What pieces (id, k, piece) hold between their first and last characters other than ``inside``, as (id, g, inner), and the runs of ``inside`` that pieces begin or end with, put together, as (id, g, whole, said).
 
-    What a piece begins with, up to the first other character, goes to the part before.
+    ``g`` is the order of both; the run g follows what is inside of g. ``said``: a word character is in it.
     """
-    rows = pieces.withColumn("head", F.regexp_extract("piece", f"^{inside}*", 0))
-    rows = rows.withColumn("opens", (F.length("head") < F.length("piece")).cast("int"))
+    head = F.regexp_extract("piece", f"^{inside}*", 0)
+    # From the end: a pattern that has to end there would be tried at every place.
+    tail = F.reverse(F.regexp_extract(F.reverse("piece"), f"^{inside}*", 0))
+    rows = pieces.withColumns({"head": head, "tail": tail}).withColumn("opens", (F.length("head") < F.length("piece")).cast("int"))
     rows = rows.withColumn("g", F.sum("opens").over(Window.partitionBy("id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
-    rest = F.when(F.col("opens") == 1, F.expr("substring(piece, length(head) + 1)")).otherwise("")
-    both = F.array(F.struct((F.col("g") - F.col("opens")).alias("g"), F.col("k"), F.lit(0).alias("side"), F.col("head").alias("part")), F.struct("g", "k", F.lit(1).alias("side"), rest.alias("part")))
-    parts = rows.select("id", F.explode(both).alias("x")).groupBy("id", F.col("x.g").alias("g")).agg(F.array_sort(F.collect_list(F.struct("x.k", "x.side", "x.part"))).alias("x"))
-    return parts.select("id", "g", F.array_join("x.part", "").alias("part"))
+    inner = rows.filter("opens = 1").select("id", "g", F.expr("substring(piece, length(head) + 1, length(piece) - length(head) - length(tail))").alias("inner"))
+    ends = F.array(F.struct((F.col("g") - F.col("opens")).alias("g"), "k", F.lit(0).alias("side"), F.col("head").alias("part")), F.struct("g", "k", F.lit(1).alias("side"), F.when(F.col("opens") == 1, F.col("tail")).otherwise("").alias("part")))
+    ends = rows.select("id", F.explode(ends).alias("x")).select("id", "x.*").filter("part <> ''")
+    runs = ends.groupBy("id", "g").agg(F.array_sort(F.collect_list(F.struct("k", "side", "part"))).alias("x"), F.max(F.col("part").rlike(WORD)).alias("said"))
+    return inner, runs.select("id", "g", F.array_join("x.part", "").alias("whole"), "said")
 
 
 def _measured_long(long: DataFrame, text: str) -> DataFrame:
@@ -129,12 +132,16 @@ def _measured_long(long: DataFrame, text: str) -> DataFrame:
     pieces = stored(at.select("id", "k", F.substring("t", F.col("k") * PIECE + 1, F.lit(PIECE)).alias("piece")), "pieces")
     plain = pieces.groupBy("id").agg(F.sum(F.length(F.regexp_replace("piece", BLANKS, ""))).alias("word_chars"), F.sum(_symbols(F.col("piece"))).alias("n_symbols"), F.sum(_capitals(F.col("piece"))).alias("n_capitals"))
 
-    lines = _whole_parts(pieces, r"[^\n]").select("id", F.explode(F.split("part", "\n", -1)).alias("line")).filter(F.col("line").rlike(WORD))
-    alike = lines.groupBy("id", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")).agg(F.count("*").alias("n"))
+    hashes = lambda of: (F.xxhash64(of).alias("h1"), F.xxhash64(F.lit("second"), of).alias("h2"))
+    inner, runs = _parts(pieces, r"[^\n]")
+    lines = inner.select("id", F.explode(F.split("inner", "\n", -1)).alias("line")).filter(F.col("line").rlike(WORD)).select("id", *hashes("line"))
+    alike = lines.unionByName(runs.filter("said").select("id", *hashes("whole"))).groupBy("id", "h1", "h2").agg(F.count("*").alias("n"))
     by_line = alike.groupBy("id").agg(F.sum("n").alias("n_lines"), F.sum(F.col("n") - 1).alias("n_dup_lines"))
 
-    words = _whole_parts(pieces, WORD[:-1]).select("id", "g", F.posexplode(F.regexp_extract_all("part", F.lit(WORD), F.lit(0))).alias("i", "word")).select("id", "g", "i", F.xxhash64("word").alias("h"))
-    along = Window.partitionBy("id").orderBy("g", "i")
+    inner, runs = _parts(pieces, WORD[:-1])
+    words = inner.select("id", "g", F.lit(0).alias("side"), F.posexplode(F.regexp_extract_all("inner", F.lit(WORD), F.lit(0))).alias("i", "word")).select("id", "g", "side", "i", F.xxhash64("word").alias("h"))
+    words = words.unionByName(runs.select("id", "g", F.lit(1).alias("side"), F.lit(0).alias("i"), F.xxhash64("whole").alias("h")))
+    along = Window.partitionBy("id").orderBy("g", "side", "i")
     ahead = [F.lead("h", k).over(along).alias(f"h{k}") for k in range(1, WINDOW)]
     words = words.select("id", "h", *ahead, F.row_number().over(along).alias("place"))
     window = F.when(F.col(f"h{WINDOW - 1}").isNotNull(), F.xxhash64("h", *[f"h{k}" for k in range(1, WINDOW)]))
@@ -142,12 +149,12 @@ def _measured_long(long: DataFrame, text: str) -> DataFrame:
     often = stored(words.filter("window IS NOT NULL").groupBy("id", "window").agg(F.count("*").alias("n")).filter("n > 1").select("id", "window"), "often")
     next_ = F.lead("place").over(Window.partitionBy("id").orderBy("place"))
     covered = words.join(often, ["id", "window"], "left_semi").select("id", F.least(F.lit(WINDOW), F.coalesce(next_ - F.col("place"), F.lit(WINDOW))).alias("n"))
-    by_word = words.groupBy("id").agg(F.count("*").alias("n_words")).join(covered.groupBy("id").agg(F.sum("n").alias("n_repeat_words")), "id", "left")
+    by_word = words.groupBy("id").agg(F.count("*").alias("n_words"))
 
-    out = long.drop(*MEASURES)
-    for found in (plain, by_line, by_word):
-        found = found.withColumnsRenamed({c: f"_cw_of_{c}" for c in found.columns})
-        out = out.join(found, F.col("_cw_id") == F.col("_cw_of_id"), "left").drop("_cw_of_id")
+    # Every long text has pieces, so the others join theirs; stored, so that the texts themselves are joined once, to a table of known size.
+    found = plain.join(by_line, "id", "left").join(by_word, "id", "left").join(covered.groupBy("id").agg(F.sum("n").alias("n_repeat_words")), "id", "left")
+    found = stored(found.withColumnsRenamed({c: f"_cw_of_{c}" for c in found.columns}), "measures")
+    out = long.drop(*MEASURES).join(found, F.col("_cw_id") == F.col("_cw_of_id"), "left")
     return out.withColumns({c: F.coalesce(f"_cw_of_{c}", F.lit(0)).cast("long") for c in MEASURES})
 
 
