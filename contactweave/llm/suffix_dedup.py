@@ -26,7 +26,7 @@ filed under the whole window. So equal keys meet, and a key met twice in one tas
 settled there; no bucket holds the many different keys around a passage that a third of
 all documents hold.
 
-Periodic texts: where a text repeats itself every few bytes each window has the same gram,
+Periodic texts: where a text repeats itself every few bytes all windows have the same gram,
 so the anchors of a stretch of period p stand p bytes apart. A window that lies in such a
 stretch p bytes behind another one repeats it, so the stretch is settled as one span, all
 but its first p windows, which stay as a block that is known to occur twice.
@@ -102,25 +102,32 @@ class Anchors:
 def settle_periods(data: np.ndarray, first: np.ndarray, last: np.ndarray, anchor: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Which blocks stay, how many times each is known to occur, and the places (begin, finish) of the windows of those that go.
 
-    Four and more blocks of one gram at equal distances of GRAM and less are a periodic stretch, if its bytes say so.
+    Anchors of one gram at equal distances are a periodic stretch as far as the bytes between them say so.
     """
     stay, times, spans = np.ones(len(anchor), dtype=bool), np.ones(len(anchor), dtype=np.int32), []
     step = np.diff(anchor)
-    link = (gram[1:] == gram[:-1]) & (first[1:] == last[:-1] + 1) & (step > 0) & (step <= GRAM)
-    goes_on = np.concatenate([[False], link[1:] & link[:-1] & (step[1:] == step[:-1])]) if len(step) else link
-    opens = np.flatnonzero(link & ~goes_on)
-    closes = np.flatnonzero(link & ~np.concatenate([goes_on[1:], [False]]))
-    for k, end in zip(opens.tolist(), (closes + 1).tolist(), strict=True):
-        p, stop = int(step[k]), int(anchor[end]) + GRAM
-        # The last block whose windows all end inside the stretch.
-        done = k + (int(anchor[end]) - (MATCH - GRAM) - int(anchor[k])) // p
-        if done >= k + 2 and np.array_equal(data[anchor[k] : stop - p], data[anchor[k] + p : stop]):
-            stay[k + 2 : done + 1] = False
-            times[k + 1] = 2
-            spans.append((int(first[k + 2]), int(last[done]) + MATCH))
+    link = (gram[1:] == gram[:-1]) & (first[1:] == last[:-1] + 1) & (step > 0) & (step <= MATCH - GRAM)
+    for k, end in _runs_of(link, step):
+        p = int(step[k])
+        a, n = int(anchor[k]), end - k
+        same = (data[a : a + n * p] == data[a + p : a + n * p + p]).reshape(n, p).all(axis=1)
+        for i, j in _runs_of(same, np.zeros(n)):
+            i, j = k + i, k + j
+            # The last block whose windows all end inside the stretch.
+            done = i + (int(anchor[j]) + p - MATCH - int(anchor[i])) // p
+            if done >= i + 2:
+                stay[i + 2 : done + 1] = False
+                times[i + 1] = 2
+                spans.append((int(first[i + 2]), int(last[done]) + MATCH))
     return stay, times, spans
 
 
+def _runs_of(true: np.ndarray, value: np.ndarray) -> list[tuple[int, int]]:
+    """(first, behind the last) of the runs of three and more true places of one value."""
+    edge = np.flatnonzero(np.concatenate([[True], (true[1:] != true[:-1]) | (value[1:] != value[:-1]), [True]])) if len(true) else np.zeros(1, dtype=int)
+    return [(a, b) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if b - a >= 3 and true[a]]
+
+
 def _stretches(raw: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes]]:
     """Texts in stretches that hold every window once: (text number, place in the text) of each part, and the bytes."""
     which, place, parts, held = [], [], [], 0

@@ -297,18 +297,20 @@ def test_search_empty_query_vector(spark):
 
 @pytest.mark.parametrize("stretch", [1 << 20, 1500])
 def test_periodic_texts(spark, monkeypatch, stretch):
-    """Periods from 1 to 60, whole, cut short, out of phase, between other text, and held by a second document."""
+    """Periods from 1 to 60 and some more, with and without a slip, whole, cut short, out of phase, between other text, and held by a second document."""
     monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
     rng = random.Random(stretch)
     rows = []
-    for p in range(1, 61):
+    for p in [*range(1, 61), 99, 100, 149, 150, 151, 199, 200]:
         unit = "".join(rng.choice("abcd é") for _ in range(p))[:p]
         many = unit * (2200 // p)
         for text in (many[: rng.randint(190, 2000)], "".join(rng.choice("wxyz") for _ in range(90)) + many[rng.randint(0, p) : 600] + rng.choice(["", "q", many[3:500]]) + "tail" * 30, many[rng.randint(0, p) :][: rng.choice([199, 200, 201, 210, 260])]):
             rows.append((len(rows), text))
+        slip = rng.randrange(300, 1500)
+        rows.append((len(rows), many[:slip] + "!" + many[slip + 1 :]))
     rows += [(len(rows), " " * 3000), (len(rows) + 1, "-" * 200), (len(rows) + 2, "x" + "-" * 199), (7, rows[7][1]), (7, rows[7][1])]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert removal(df) == naive_removal(rows)
     plain = df.select(F.col("doc_id").alias("k1"), F.col("doc_id").alias("k2"), "text")
-    blocks = plain.filter("doc_id = 183 - 3").mapInArrow(suffix_dedup.find_blocks, "k1 long, k2 long, gram long, where long, times int")
+    blocks = plain.filter(F.col("text") == " " * 3000).mapInArrow(suffix_dedup.find_blocks, "k1 long, k2 long, gram long, where long, times int")
     assert blocks.count() < 400 * (3000 // stretch + 1)
