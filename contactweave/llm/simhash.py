@@ -23,7 +23,7 @@ Defined cases: a null text has no words (fingerprint 0, linked like any other; i
 pipeline's stage the empty set, equal to itself); a null id never is a component's name
 unless all its ids are null; repeated rows share a component; rows of one id and different
 texts are told apart; very long texts are hashed whole, in slices of bounded memory; of a
-group's rows the one of the smallest (id, text hash) stays, null ids last; an empty table
+group's rows the one of the smallest (id, text hash, hash of all columns) stays, null ids last; an empty table
 gives an empty table; columns ``fingerprint`` and ``component_id`` of the input are replaced.
 """
 
@@ -50,6 +50,8 @@ BLANK = re.compile(rb"[\x20\x09-\x0D]")
 LARGE = 4096
 #: Keys of the pipeline's stage: so many bands of so many least hashes; sets of two blocks are compared in one task.
 BANDS, ROWS, BLOCK, TURNS = 32, 6, 256, 2
+#: Keys of more sets that stay apart go by their rarest shingles.
+MANY = 512
 
 
 def _product(v: int, w: int) -> bool:
@@ -276,12 +278,50 @@ def near_sets(sets: list[np.ndarray], labels: list[int], least: tuple[int, int])
     return out
 
 
+def _open_keys(labelled: DataFrame) -> DataFrame:
+    """(k, n) of the keys whose sets (k, sid, label) are in several components; counted with map-side combine."""
+    return stored(labelled.groupBy("k").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("k", "n"), "open")
+
+
+def _block_links(labelled: DataFrame, keys: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of the sets of each key (k, n), BLOCK by BLOCK sets a task."""
+
+    def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.column("rows"):
+                rows = row.values
+                sids, labels = (rows.field(c).to_pylist() for c in ("sid", "label"))
+                found += [(sids[x], sids[y]) for x, y in near_sets([s.values.to_numpy() for s in rows.field("set")], labels, least)]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    rows = labelled.join(keys.select("k", F.ceil(F.col("n") / BLOCK).alias("g")), "k").withColumn("i", F.pmod(F.xxhash64("sid", F.lit("block")), F.col("g")))
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1))).select("k", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sid", "label")
+    lists = rows.join(sets, "sid").groupBy("k", "i", "j").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct("sid", "label", "set")).alias("rows")).filter("lo <> hi")
+    return stored(lists.select("rows").mapInArrow(block_links, "a long, b long"), "links")
+
+
+def rare_shingles(labelled: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(k, sid, label): each set under its rarest shingles, so many that two sets of similarity ``least`` have one of them in common.
+
+    Of a set of m shingles these are the first m - ceil(least * m) + 1 in one order of all shingles: of two similar
+    sets' common shingles, the first is among both's. Shingles of one set only come first and need no row.
+    """
+    up, down = least
+    own = labelled.select("sid", "label").distinct().join(sets, "sid").select("sid", "label", F.size("set").alias("m"), F.explode("set").alias("s"))
+    often = stored(own.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    lists = own.join(often, "s").groupBy("sid", "label", "m").agg(F.array_sort(F.collect_list(F.struct("n", "s"))).alias("x"))
+    first = F.greatest(F.lit(0), F.expr(f"m - ({up} * m + {down} - 1) div {down} + 1 - (m - size(x))")).cast("int")
+    return stored(lists.select("sid", "label", F.explode(F.slice("x", F.lit(1), first)).alias("y")).select(F.col("y.s").alias("k"), "sid", "label"), "rare")
+
+
 def set_links(met: DataFrame, sets: DataFrame, least: tuple[int, int] = (4, 5)) -> DataFrame:
     """(node, root) of the components of all pairs of sets that share a key (``met``: k, sid) and have Jaccard similarity ``least``.
 
     First every set is held against one representative a key, which joins large groups of near copies at a cost that grows
-    with their size. Keys whose sets are still in several components then have all their pairs looked at, BLOCK by BLOCK sets
-    a task. The turns only save work: what is linked depends on the similarity alone.
+    with their size; these turns only save work. Keys whose sets are still in several components then have all their pairs
+    looked at, BLOCK by BLOCK sets a task. Keys of more than MANY such sets, say of texts that share a long passage, would
+    cost their square: their sets meet again under their rarest shingles instead, which loses no pair.
     """
     up, down = least
     links, roots = None, None
@@ -296,21 +336,14 @@ def set_links(met: DataFrame, sets: DataFrame, least: tuple[int, int] = (4, 5))
         links = new if links is None else links.unionByName(new)
         roots = stored(components(links), "roots")
 
-    def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for row in batch.column("rows"):
-                rows = row.values
-                sids, labels = (rows.field(c).to_pylist() for c in ("sid", "label"))
-                found += [(sids[x], sids[y]) for x, y in near_sets([s.values.to_numpy() for s in rows.field("set")], labels, least)]
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
     labelled = _labelled(met, roots)
-    open_ = stored(labelled.groupBy("k").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("k", F.ceil(F.col("n") / BLOCK).alias("g")), "open")
-    rows = labelled.join(open_, "k").withColumn("i", F.pmod(F.xxhash64("sid", F.lit("block")), F.col("g")))
-    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1))).select("k", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sid", "label")
-    lists = rows.join(sets, "sid").groupBy("k", "i", "j").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct("sid", "label", "set")).alias("rows")).filter("lo <> hi")
-    return components(links.unionByName(stored(lists.select("rows").mapInArrow(block_links, "a long, b long"), "links")))
+    keys = _open_keys(labelled)
+    links = links.unionByName(_block_links(labelled, keys.filter(F.col("n") <= MANY), sets, least))
+    large = keys.filter(F.col("n") > MANY)
+    if not large.isEmpty():
+        rare = rare_shingles(labelled.join(large, "k"), sets, least)
+        links = links.unionByName(_block_links(rare, _open_keys(rare), sets, least))
+    return components(links)
 
 
 def _labelled(met: DataFrame, roots: DataFrame) -> DataFrame:
@@ -318,13 +351,14 @@ def _labelled(met: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
-    """``df`` with one row of each near-duplicate group: that of the smallest (key, text hash), null keys last.
+    """``df`` with one row of each near-duplicate group: that of the smallest (key, text hash, hash of all columns), null keys last.
 
     Near-duplicates have sets of word shingles of Jaccard similarity ``least`` or more; a group is what such pairs connect.
     """
-    whole = {"_cw_key": F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id")), "_cw_text": F.xxhash64(text)}
+    whole = {"_cw_key": F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id")), "_cw_text": F.xxhash64(text), "_cw_row": F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns if c != text])))}
+    names = list(whole)
     rows = df.select(*[c.alias(k) for k, c in whole.items()], _set_columns(F.col(text), words).alias("x"))
-    rows = stored(rows.select("_cw_key", "_cw_text", "x.*"), "shingles")
+    rows = stored(rows.select(*names, "x.*"), "shingles")
     keyed = rows.groupBy("sid").agg(F.first("keys").alias("keys")).select("sid", F.explode("keys").alias("k"))
     often = stored(keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k"), "keys")
     met = stored(keyed.join(often, "k").select("k", "sid"), "met")
@@ -333,11 +367,11 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", words: int
     sets = df.select(*[c.alias(k) for k, c in whole.items()], F.col(text).alias("_cw_of")).join(first, ["_cw_key", "_cw_text"]).dropDuplicates(["sid"])
     sets = stored(sets.select("sid", _set_of(F.col("_cw_of"), words).alias("set")), "sets")
     roots = set_links(met, sets, least)
-    named = rows.select("_cw_key", "_cw_text", "sid").join(roots, rows["sid"] == roots["node"], "left").select("_cw_key", "_cw_text", F.coalesce("root", "sid").alias("root"))
+    named = rows.select(*names, "sid").join(roots, rows["sid"] == roots["node"], "left").select(*names, F.coalesce("root", "sid").alias("root"))
     # A group is its root: groups of one smallest key stay apart.
-    best = named.groupBy("root").agg(F.min(F.struct("_cw_key", "_cw_text")).alias("x")).select("x._cw_key", "x._cw_text").distinct()
-    kept = df.withColumns(whole).join(best, ["_cw_key", "_cw_text"], "left_semi")
-    return kept.dropDuplicates(["_cw_key", "_cw_text"]).drop("_cw_key", "_cw_text").select(df.columns)
+    best = named.groupBy("root").agg(F.min(F.struct(*names)).alias("x")).select(*[f"x.{c}" for c in names]).distinct()
+    kept = df.withColumns(whole).join(best, names, "left_semi")
+    return kept.dropDuplicates(names).select(df.columns)
 
 
 def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

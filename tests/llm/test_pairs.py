@@ -230,10 +230,10 @@ def near_texts(seed, families, copies, length, most):
     return rows
 
 
-@pytest.mark.parametrize(("block", "turns"), [(256, 2), (3, 1)])
-def test_keep_one_by_similarity(spark, monkeypatch, block, turns):
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    monkeypatch.setattr(simhash, "TURNS", turns)
+@pytest.mark.parametrize(("block", "turns", "many"), [(256, 2, 512), (3, 1, 512), (3, 1, 2)])
+def test_keep_one_by_similarity(spark, monkeypatch, block, turns, many):
+    for name, value in (("BLOCK", block), ("TURNS", turns), ("MANY", many)):
+        monkeypatch.setattr(simhash, name, value)
     rows = near_texts(1, 30, 5, 200, 6) + [(1000 + d, t) for d, t in near_texts(2, 2, 40, 120, 3)]
     sets = {d: naive_set(t) for d, t in rows}
     want = roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if alike(sets[a], sets[b])])
@@ -241,6 +241,37 @@ def test_keep_one_by_similarity(spark, monkeypatch, block, turns):
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("shared", [60, 100])
+def test_texts_that_share_a_passage(spark, monkeypatch, shared):
+    """All texts under one key: near copies are found by their rarest shingles, and texts that only share the passage stay apart."""
+    monkeypatch.setattr(simhash, "MANY", 10)
+    rng = random.Random(shared)
+    passage = [f"p{k}" for k in range(shared)]
+    rows = []
+    for k in range(150):
+        words = passage + [f"v{rng.randrange(60)}" for _ in range(40)]
+        rows.append((len(rows), words))
+        if k % 5 == 0:
+            rows.append((len(rows), [f"c{k}" if rng.random() < 0.02 else w for w in words]))
+    sets = {d: naive_set(" ".join(w)) for d, w in rows}
+    want = roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if alike(sets[a], sets[b])])
+    # Every set under one key beside its own ones.
+    shingles = {d: simhash.shingle_set(" ".join(w)).view(np.int64).tolist() for d, w in rows}
+    met = spark.createDataFrame([(7, d) for d in shingles], "k long, sid long")
+    links = simhash.set_links(met, spark.createDataFrame(list(shingles.items()), "sid long, set array<long>")).collect()
+    got = {d: d for d in shingles} | {r.node: r.root for r in links}
+    assert got == want and len(set(want.values())) < len(rows) and (shared < 100 or len(set(want.values())) > 1)
+    rare = simhash.rare_shingles(met.withColumn("label", F.col("sid")), spark.createDataFrame(list(shingles.items()), "sid long, set array<long>"), (4, 5))
+    assert rare.groupBy("k").count().agg(F.max("count")).first()[0] < len(rows)
+
+
+def test_rows_that_differ_in_other_columns(spark):
+    """Of rows of one id and text the same stays whatever their order."""
+    rows = [(1, "one two three four five six", s) for s in "badc"] + [(1, "one two three four five six", None)]
+    kept = {tuple(map(tuple, simhash.keep_one(spark.createDataFrame(x, "doc_id long, text string, source string").repartition(n)).collect())) for n, x in ((1, rows), (3, rows[::-1]))}
+    assert len(kept) == 1 and len(next(iter(kept))) == 1
+
+
 def test_keep_one_tells_groups_of_one_key_apart(spark):
     texts = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (8, texts[5]), (9, texts[5])]
