@@ -10,8 +10,9 @@ them is kept from training to fit the temperature of the softmax and the score b
 which a prediction is rejected. As everything up to the softmax is linear, prediction
 looks up class sums directly.
 
-Bounds, as parameters: ``per_lang`` documents a language, and ``max_langs`` languages; a
-label of more values than that raises an error, none is left out silently.
+Bounds, as parameters: ``per_lang`` documents a language, ``max_langs`` languages, and
+``max_entries`` distinct subwords of all these documents together; more than that raises an
+error, nothing is left out silently.
 
 Defined cases: null text, or one without a letter: ``und`` with score 0, not learned
 from; a null label is not learned from; without labelled documents all is ``und``;
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactweave.llm.common import table
+from contactweave.llm.common import stored, table
 
 BUCKETS, WIDTH = 1 << 16, 16
 PARTS = 256
@@ -159,10 +160,13 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "_cw_h", "bucket", "share"])
 
 
-def fit(df: DataFrame, per_lang: int = 600, max_langs: int = 1000) -> Model | None:
-    """The model of (doc_id, text, lang); the driver gets at most ``per_lang * max_langs`` bags."""
-    sample = labelled_sample(df, per_lang, max_langs)
-    rows = sample.mapInArrow(_bags, "lang string, _cw_h long, bucket array<int>, share array<float>").toArrow().sort_by([("_cw_h", "ascending"), ("lang", "ascending")])
+def fit(df: DataFrame, per_lang: int = 600, max_langs: int = 1000, max_entries: int = 1 << 25) -> Model | None:
+    """The model of (doc_id, text, lang); the driver gets at most ``per_lang * max_langs`` bags, and ``max_entries`` subwords of 8 bytes in them."""
+    bags = stored(labelled_sample(df, per_lang, max_langs).mapInArrow(_bags, "lang string, _cw_h long, bucket array<int>, share array<float>"), "bags")
+    entries = bags.agg(F.sum(F.size("bucket"))).first()[0] or 0
+    if entries > max_entries:
+        raise ValueError(f"the sample has {entries} subwords, more than {max_entries}: lower per_lang, or raise max_entries with the driver's memory")
+    rows = bags.toArrow().sort_by([("_cw_h", "ascending"), ("lang", "ascending")])
     bags = [(b.values.to_numpy(), s.values.to_numpy()) for b, s in zip(rows["bucket"], rows["share"], strict=True)]
     return train(bags, rows["lang"].to_pylist()) if bags else None
 

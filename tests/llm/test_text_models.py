@@ -110,6 +110,8 @@ def test_languages_are_not_dropped(spark):
     assert language.fit(df, max_langs=5).langs == [f"l{k}" for k in range(5)]
     with pytest.raises(ValueError):
         language.fit(df, max_langs=4)
+    with pytest.raises(ValueError, match="lower per_lang"):
+        language.fit(df, max_langs=5, max_entries=3)
 
 
 def test_counts_equal_the_tokenizer(texts, monkeypatch):
