@@ -15,7 +15,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        # ``local-cluster[...]`` has executors of their own.
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", where)

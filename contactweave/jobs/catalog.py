@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from contactweave.functions.motifs import expand
 from contactweave.functions.sequence import is_nucleotides, reverse_complement
 from contactweave.functions.storage import shared_dir, stored
+from contactweave.functions.watch import Watch
 from contactweave.operators import allele, build, cluster, links, order, orient, reads, sites
 from contactweave.sources import bindings as b
 from contactweave.sources import bam, text_formats, writers
@@ -108,22 +109,23 @@ def draft_edges(s, d):
 
 @query
 def motif_counts(s, d):
-    return sites.site_counts(b.sequences(s, d), MOTIFS)
+    return sites.site_counts(b.sequences(s, d), MOTIFS).withColumn("length", F.col("length").cast("int"))
 
 
 @query
 def motif_weight_counts(s, d):
-    return sites.site_counts(b.sequences(s, d), MOTIFS, expand(["GANT"]))
+    return sites.site_counts(b.sequences(s, d), MOTIFS, expand(["GANT"])).withColumn("length", F.col("length").cast("int"))
 
 
 @query
 def motif_positions(s, d):
-    return sites.site_positions(b.sequences(s, d), MOTIFS).select("contig_id", "motif", "pos")
+    return sites.motif_hits(b.sequences(s, d), MOTIFS).withColumn("pos", F.col("pos").cast("int"))
 
 
 @query
 def site_ranges(s, d):
-    return sites.site_windows(sites.site_positions(b.sequences(s, d), MOTIFS), HALF)
+    found = sites.site_windows(sites.site_positions(b.sequences(s, d), MOTIFS), HALF)
+    return found.select("contig_id", *[F.col(c).cast("int").alias(c) for c in ("start", "end")])
 
 
 @query
@@ -137,6 +139,14 @@ def bam_filter(s, d):
     return reads.filter_alignments(b.alignments(s, d), _site_windows(s, d))
 
 
+@query
+def filter_counts(s, d):
+    """Alignments read, dropped by reason and kept, counted while the filtered reads are written: no scan of its own."""
+    watch = Watch()
+    stored(reads.filter_alignments(b.alignments(s, d), _site_windows(s, d), watch=watch), "filtered")
+    return s.createDataFrame(watch.take(), "label string, what string, n long")  # a row a reason
+
+
 @query
 def bam_filter_no_flags(s, d):
     return reads.filter_alignments(b.alignments(s, d), None, 40, check_flags=False)
@@ -230,7 +240,7 @@ def cluster_conflicts(s, d):
 @query
 def partition_groups(s, d):
     g = _graph(s, d)
-    return cluster.partition(stored(g.edges, "edges"), stored(g.invalid, "invalid"), g.contigs, GROUPS, allele.conflicts(b.allele_rows(s, d)))
+    return cluster.partition(stored(g.edges, "edges"), stored(g.invalid, "invalid"), g.contigs, GROUPS, b.allele_rows(s, d))
 
 
 @query
@@ -295,7 +305,7 @@ def agp(s, d):
 def scaffold_fasta(s, d):
     seq = b.sequences(s, d)
     chromosomes = seq.select((F.col("contig_id") % 16).alias("group_id"), F.floor(F.col("contig_id") / 16).cast("int").alias("ord"), "contig_id", (F.col("contig_id") % 3 == 0).alias("reversed"))
-    return build.scaffold_sequences(chromosomes, seq)
+    return build.scaffold_pieces(chromosomes, seq)
 
 
 @query

@@ -67,7 +67,7 @@ def _sql(body: str) -> str:
                 need.add(name)
                 todo.append(CTES[name])
     order = [n for n in (*[k for k in CTES if k != "item_windows"], "item_windows") if n in need]
-    return ("WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in order) + " " if order else "") + body
+    return ("WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in order) + (", " + body[5:] if body.startswith("WITH ") else " " + body)) if order else body
 
 
 def _count(motifs: list[str]) -> str:
@@ -90,6 +90,11 @@ ORACLES = {name: _sql(body) for name, body in {
     "nucleotide_check": "SELECT doc_id, regexp_full_match(upper(text), '[ACGTU]*') AS text_ok, true AS seq_ok FROM documents",
     "bam_filter": f"SELECT ref_id, pos, next_ref_id, next_pos FROM alignments WHERE mapq >= 40 AND mapq NOT IN (0, 255) AND flag & 3852 = 0 AND ref_id <> next_ref_id AND {OVERLAP.format(n='l_seq')}",
     "bam_alignments": "SELECT ref_id, pos, mapq, flag, l_seq, next_ref_id, next_pos FROM alignments",
+    "filter_counts": f"""WITH a AS (SELECT *, ref_id = next_ref_id AS same, mapq < 40 OR mapq IN (0, 255) AS low, flag & 3852 <> 0 AS bad FROM alignments)
+        SELECT 'alignments' AS label, 'rows' AS what, count(*) AS n FROM a UNION ALL SELECT 'alignments', 'unknown_contig', count_if(ref_id IS NULL OR next_ref_id IS NULL)::bigint FROM a
+        UNION ALL SELECT 'alignments', 'same_contig', count_if(same)::bigint FROM a UNION ALL SELECT 'alignments', 'mapping_quality', count_if(low AND NOT same)::bigint FROM a
+        UNION ALL SELECT 'alignments', 'flags', count_if(bad AND NOT low AND NOT same)::bigint FROM a
+        UNION ALL SELECT 'alignments kept', 'rows', count(*) FROM a WHERE NOT same AND NOT low AND NOT bad AND {OVERLAP.format(n='l_seq')}""",
     "bam_filter_no_flags": "SELECT ref_id, pos, next_ref_id, next_pos FROM alignments WHERE mapq >= 40 AND mapq NOT IN (0, 255) AND ref_id <> next_ref_id",
     "pairs_filter": f"SELECT * FROM reads WHERE ref_id <> next_ref_id AND {OVERLAP.format(n=150)}",
     "range_semi_join": f"SELECT * FROM reads WHERE {OVERLAP.format(n=0)}",
@@ -120,7 +125,9 @@ ORACLES = {name: _sql(body) for name, body in {
     "agp": """SELECT 'Group_' || group_id AS object, object_beg, object_end, part_number, component_type, component_id, component_beg, component_end, orientation FROM (
         SELECT group_id, o + 1 AS object_beg, o + length AS object_end, (2 * k - 1)::int AS part_number, 'W' AS component_type, name AS component_id, '1' AS component_beg, length::varchar AS component_end, CASE WHEN reversed THEN '-' ELSE '+' END AS orientation FROM laid
         UNION ALL SELECT group_id, o - 99, o, (2 * k - 2)::int, 'U', '100', 'contig', 'yes', 'map' FROM laid WHERE k > 1)""",
-    "scaffold_fasta": "SELECT 'Group_' || (contig_id % 16) AS object, string_agg(CASE WHEN contig_id % 3 = 0 THEN translate(reverse(seq), 'ACGT', 'TGCA') ELSE seq END, '' ORDER BY contig_id) AS seq FROM sequences GROUP BY contig_id % 16",
+    "scaffold_fasta": """SELECT 'Group_' || (contig_id % 16) AS object, (contig_id // 16)::int AS ord, (CASE WHEN contig_id % 3 = 0 THEN -k ELSE k END)::int AS part,
+        CASE WHEN contig_id % 3 = 0 THEN translate(reverse(piece), 'ACGT', 'TGCA') ELSE piece END AS seq
+        FROM (SELECT contig_id, k, seq[k * 1048576 + 1:(k + 1) * 1048576] AS piece FROM (SELECT *, unnest(range(greatest(1, (length(seq) + 1048575) // 1048576))) AS k FROM sequences))""",
     "dump_edges": 'SELECT a.name AS start_name, b.name AS end_name, pairs, weight FROM edges JOIN contigs a ON "start" = a.contig_id JOIN contigs b ON "end" = b.contig_id',
     "dump_reads": "SELECT a.name AS name, pos, b.name AS next_name, next_pos FROM reads JOIN contigs a ON ref_id = a.contig_id JOIN contigs b ON next_ref_id = b.contig_id",
     "dump_alignments": "SELECT a.name AS name, pos, mapq::smallint AS mapq, flag, l_seq, b.name AS next_name, next_pos FROM alignments JOIN contigs a ON ref_id = a.contig_id JOIN contigs b ON next_ref_id = b.contig_id",

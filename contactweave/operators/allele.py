@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contactweave.operators.components import components
+from contactweave.functions.storage import stored
 
 
 def members(rows: DataFrame) -> DataFrame:
@@ -48,36 +49,63 @@ def row_candidates(counts: DataFrame, rows: DataFrame) -> DataFrame:
     return met.select("row_i", "row_j", "contig_i", "contig_j", "pairs")
 
 
-def _greedy(group: pd.DataFrame) -> pd.DataFrame:
-    """Links dropped when rows are matched pair by pair, each by its strongest links between free contigs."""
+#: Links left below which one task settles the rest; each is a row of nine numbers.
+REST = 50_000
+
+
+def _greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links dropped when the links left are gone through in order."""
+    parts = list(batches)
+    if not parts:
+        return
+    left = pd.concat(parts, ignore_index=True).sort_values(["row_i", "row_j", "pairs", "lo", "hi"], ascending=[True, True, False, True, True])
     gone: set[tuple[int, int]] = set()
-    group = group.assign(lo=group[["contig_i", "contig_j"]].min(axis=1), hi=group[["contig_i", "contig_j"]].max(axis=1))
-    group = group.sort_values(["row_i", "row_j", "pairs", "lo", "hi"], ascending=[True, True, False, True, True])
-    for _, rows in group.groupby(["row_i", "row_j"], sort=True):
-        used_i: set[int] = set()
-        used_j: set[int] = set()
-        live = [r for r in zip(rows.contig_i, rows.contig_j, rows.lo, rows.hi, strict=True) if (r[2], r[3]) not in gone]
-        for i, j, lo, hi in live:
-            if i in used_i or j in used_j:
-                gone.add((lo, hi))
-            else:
-                used_i.add(i)
-                used_j.add(j)
-    return pd.DataFrame(sorted(gone), columns=["lo", "hi"])
-
-
-def match_rows(counts: DataFrame, rows: DataFrame) -> DataFrame:
+    used: set[tuple[int, int, int]] = set()
+    for i, j, x, y, lo, hi, blocked in left[["row_i", "row_j", "contig_i", "contig_j", "lo", "hi", "blocked"]].itertuples(index=False):
+        if (lo, hi) in gone:
+            continue
+        # The two sides of a pair of rows have no contig in common.
+        if blocked or (i, j, x) in used or (i, j, y) in used:
+            gone.add((lo, hi))
+        else:
+            used |= {(i, j, x), (i, j, y)}
+    yield pd.DataFrame(sorted(gone), columns=["lo", "hi"])
+
+
+def _settled(left: DataFrame) -> DataFrame:
+    """``left`` with ``matched`` and ``dropped``, and whether the row shares a contig of its rows with a matched one (``hit``) or its link with a dropped one (``out``)."""
+    sides = [Window.partitionBy("row_i", "row_j", f"contig_{s}") for s in "ij"]
+    link = Window.partitionBy("lo", "hi")
+    live = F.when(~F.col("blocked"), F.col("at"))
+    rows = left.withColumn("first", F.min("at").over(link)).withColumns({f"first_{k}": F.min(live).over(w) for k, w in enumerate(sides)})
+    now = F.col("at") == F.col("first")
+    rows = rows.withColumns({"matched": now & ~F.col("blocked") & (F.col("at") == F.col("first_0")) & (F.col("at") == F.col("first_1")), "dropped": now & F.col("blocked")})
+    hit = F.greatest(*[F.max("matched").over(w) for w in sides])
+    return rows.withColumn("hit", hit).withColumn("out", F.max("dropped").over(link)).drop("first", "first_0", "first_1")
+
+
+def match_rows(counts: DataFrame, rows: DataFrame, rest: int = REST) -> DataFrame:
     """Link counts after pruning within rows and greedy matching between rows.
 
-    Row pairs are settled in order, each seeing what earlier ones dropped; rows that no
-    chain of links connects can't influence each other and run as separate groups.
+    Two rows at a time, in their order, take their strongest links between contigs that are still free and
+    drop the others; what is dropped isn't seen by later pairs of rows. It is done in rounds over all links
+    at once: a link is matched where it is the first left of both its contigs and of its own places in the
+    order. That blocks the other links of these contigs in this pair of rows; a blocked link is dropped, with
+    all its later places, once its earlier places are settled. The first link left is always settled, so the
+    rounds end; when at most ``rest`` are left one task goes through them.
     """
     left = prune_within_rows(counts, rows)
-    found = row_candidates(left, rows)
-    roots = components(found.select(F.col("row_i").alias("a"), F.col("row_j").alias("b")).distinct())
-    grouped = found.join(roots.select(F.col("node").alias("row_i"), "root"), "row_i")
-    gone = grouped.groupBy("root").applyInPandas(lambda g: _greedy(g), "lo int, hi int").distinct()
-    return left.join(gone, ["lo", "hi"], "left_anti")
+    ends = {"lo": F.least("contig_i", "contig_j"), "hi": F.greatest("contig_i", "contig_j")}
+    found = row_candidates(left, rows).withColumns(ends).withColumns({"at": F.struct("row_i", "row_j", (-F.col("pairs")).alias("less"), "lo", "hi"), "blocked": F.lit(False)})
+    open_, gone = stored(found, "open"), None
+    while open_.count() > rest:
+        done = stored(_settled(open_), "settled")
+        new = done.filter("dropped").select("lo", "hi")
+        gone = new if gone is None else gone.unionByName(new)
+        open_ = stored(done.filter("NOT matched AND NOT out").withColumn("blocked", F.col("blocked") | F.col("hit")).select(open_.columns), "open")
+    last = open_.drop("at").repartition(1).mapInPandas(_greedy, "lo int, hi int")
+    gone = last if gone is None else gone.unionByName(last)
+    return left.join(gone.distinct(), ["lo", "hi"], "left_anti")
 
 
 __all__ = ["conflicts", "match_rows", "members", "prune_within_rows", "row_candidates"]

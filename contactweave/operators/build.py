@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactweave.functions.sequence import reverse_complement
+from contactweave.operators.sites import as_chunks
+from contactweave.sources.chunks import own_bases
 
 GAP = 100
 
@@ -28,22 +30,26 @@ def agp(chromosomes: DataFrame, contigs: DataFrame) -> DataFrame:
     return rows.select("object", F.explode(both).alias("x")).select("object", "x.*")
 
 
-def _directed(chromosomes: DataFrame, sequences: DataFrame) -> DataFrame:
-    rows = chromosomes.join(sequences.select("contig_id", "seq"), "contig_id")
-    seq = F.when(F.col("reversed"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
-    return rows.select(F.concat(F.lit("Group_"), F.col("group_id")).alias("object"), "ord", seq.alias("seq"))
-
-
 def scaffold_pieces(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0) -> DataFrame:
-    """(object, ord, seq): a row a contig, reversed ones complemented, ``gap`` Ns in front of all but a scaffold's first. No row grows with its scaffold."""
-    rows = _directed(chromosomes, sequences)
+    """(object, ord, part, seq): a row a chunk of a contig in the scaffold's order, reversed contigs complemented, ``gap`` Ns in front of all contigs but a scaffold's first.
+
+    No row grows with its scaffold or its contig.
+    """
+    chunks = own_bases(as_chunks(sequences)).select("contig_id", "chunk", "seq")
+    rows = chromosomes.join(chunks, "contig_id")
+    seq = F.when(F.col("reversed"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    part = F.when(F.col("reversed"), -F.col("chunk")).otherwise(F.col("chunk"))
+    rows = rows.select(F.concat(F.lit("Group_"), F.col("group_id")).alias("object"), "ord", part.alias("part"), seq.alias("seq"))
     if not gap:
         return rows
-    first = rows.groupBy("object").agg(F.min("ord").alias("first"))
-    return rows.join(first, "object").select("object", "ord", F.when(F.col("ord") > F.col("first"), F.concat(F.lit("N" * gap), "seq")).otherwise(F.col("seq")).alias("seq"))
+    ends = rows.groupBy("object", "ord").agg(F.min("part").alias("part"))
+    ends = ends.withColumn("inner", F.lag("ord").over(Window.partitionBy("object").orderBy("ord")).isNotNull())
+    rows = rows.join(ends, ["object", "ord", "part"], "left")
+    return rows.select("object", "ord", "part", F.when(F.col("inner"), F.concat(F.lit("N" * gap), "seq")).otherwise(F.col("seq")).alias("seq"))
 
 
 def scaffold_sequences(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0) -> DataFrame:
     """(object, seq): the pieces of each scaffold joined to one string, for scaffolds that fit a row (2 GB); ``scaffold_pieces`` has no such limit."""
-    ordered = _directed(chromosomes, sequences).groupBy("object").agg(F.sort_array(F.collect_list(F.struct("ord", "seq"))).alias("x"))
-    return ordered.select("object", F.array_join("x.seq", "N" * gap).alias("seq"))
+    pieces = scaffold_pieces(chromosomes, sequences, gap)
+    ordered = pieces.groupBy("object").agg(F.sort_array(F.collect_list(F.struct("ord", "part", "seq"))).alias("x"))
+    return ordered.select("object", F.array_join("x.seq", "").alias("seq"))

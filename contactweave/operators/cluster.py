@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactweave.operators.allele import members
 from contactweave.operators.components import components
 from contactweave.operators.running import ranked
 
@@ -32,9 +33,11 @@ def merge_ops(edges: DataFrame, invalid: DataFrame) -> DataFrame:
     return rows.select("a", "b", "score")
 
 
-def component_merges(edges: list[tuple[int, int, float]], veto: dict[int, set[int]]) -> list[tuple[int, int, float, int]]:
+def component_merges(edges: list[tuple[int, int, float]], rows_of: dict[int, set[int]]) -> list[tuple[int, int, float, int]]:
     """All merges of one component: (kept cluster, taken cluster, lowest score so far, singletons used up).
 
+    ``rows_of``: a contig's allele rows; clusters that have contigs of one row must not merge.
+
     A cluster is named by its smallest contig. Sums of the weights from one cluster to another
     add up when clusters merge, so a candidate's score is a sum over sizes and never a new scan.
     """
@@ -50,20 +53,18 @@ def component_merges(edges: list[tuple[int, int, float]], veto: dict[int, set[in
             heap.append((-w, a, b, 0, 0))
     heapq.heapify(heap)
     size, version = dict.fromkeys(names, 1), dict.fromkeys(names, 0)
-    inside = {n: {n} for n in names}
-    barred = {n: set(veto.get(n, ())) for n in names}
+    barred = {n: set(rows_of.get(n, ())) for n in names}
     out, low = [], float("inf")
     while heap:
         score, a, b, va, vb = heapq.heappop(heap)
         if version.get(a) != va or version.get(b) != vb:
             continue
         low = min(low, -score)
-        if barred[a] & inside[b] or barred[b] & inside[a]:
+        if not barred[a].isdisjoint(barred[b]):
             continue
         keep, gone = min(a, b), max(a, b)
         out.append((keep, gone, low, (size[a] == 1) + (size[b] == 1)))
-        for table in (inside, barred):
-            table[keep] |= table.pop(gone)
+        barred[keep] |= barred.pop(gone)
         size[keep] += size.pop(gone)
         version.pop(gone)
         version[keep] += 1
@@ -84,25 +85,28 @@ def component_merges(edges: list[tuple[int, int, float]], veto: dict[int, set[in
     return out
 
 
-def partition(edges: DataFrame, invalid: DataFrame, contigs: DataFrame, groups: int, conflicts: DataFrame | None = None) -> DataFrame:
-    """(group_id, contig_id): clusters of two and more contigs, numbered from 1 by their last merge."""
+def partition(edges: DataFrame, invalid: DataFrame, contigs: DataFrame, groups: int, allele_rows: DataFrame | None = None) -> DataFrame:
+    """(group_id, contig_id): clusters of two and more contigs, numbered from 1 by their last merge.
+
+    Allele rows (row_id, contig_ids) bar merges by their members, a row a contig and allele row; their contigs are never paired.
+    """
     ends = [F.col(c).alias("contig_id") for c in ("start", "end")]
     valid = edges
     for end in ends:
         valid = valid.join(invalid.select(F.col("contig_id").alias("_cw_no")), end == F.col("_cw_no"), "left_anti")
     roots = components(valid.select(F.col("start").alias("a"), F.col("end").alias("b")))
     rows = valid.join(roots.select(F.col("node").alias("start"), "root"), "start").select("root", F.col("start").alias("x"), F.col("end").alias("y"), "weight")
-    if conflicts is not None:
-        barred = conflicts.select(F.col("contig_id").alias("x"), F.explode("other_ids").alias("y"))
+    if allele_rows is not None:
+        barred = members(allele_rows).select(F.col("contig_id").alias("x"), F.col("row_id").cast("long").alias("y"))
         barred = barred.join(roots.select(F.col("node").alias("x"), "root"), "x").select("root", "x", "y", F.lit(None).cast("double").alias("weight"))
         rows = rows.unionByName(barred)
 
     def merges(group: pd.DataFrame) -> pd.DataFrame:
         links, bars = group[group.weight.notna()], group[group.weight.isna()]
-        veto: dict[int, set[int]] = defaultdict(set)
+        rows_of: dict[int, set[int]] = defaultdict(set)
         for x, y in zip(bars.x.tolist(), bars.y.tolist(), strict=True):
-            veto[x].add(y)
-        found = component_merges(list(zip(links.x.tolist(), links.y.tolist(), links.weight.tolist(), strict=True)), veto)
+            rows_of[x].add(y)
+        found = component_merges(list(zip(links.x.tolist(), links.y.tolist(), links.weight.tolist(), strict=True)), rows_of)
         out = pd.DataFrame(found, columns=["a", "b", "low", "singles"]).reset_index(names="step")
         return out.assign(root=group.root.iloc[0])[["root", "step", "a", "b", "low", "singles"]]
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactweave.functions.storage import stored
+from contactweave.functions.watch import Watch
 
 
 def link_counts(reads: DataFrame) -> DataFrame:
@@ -14,6 +17,11 @@ def link_counts(reads: DataFrame) -> DataFrame:
     return ends.groupBy("lo", "hi").agg(F.count("*").alias("pairs"))
 
 
+def add_counts(*parts: DataFrame) -> DataFrame:
+    """Link counts of several inputs as those of all."""
+    return reduce(DataFrame.unionByName, parts).groupBy("lo", "hi").agg(F.sum("pairs").alias("pairs"))
+
+
 def both_ways(edges: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Each undirected row as two directed ones (start, end, ...), without a second scan."""
     rest = [c for c in edges.columns if c not in (lo, hi)]
@@ -21,11 +29,12 @@ def both_ways(edges: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
     return edges.select(F.explode(ways).alias("x"), *rest).select("x.start", "x.end", *rest)
 
 
-def edge_weights(counts: DataFrame, contigs: DataFrame, min_links: int = 3) -> DataFrame:
-    """(lo, hi, pairs, weight) of the pairs with enough links: max_re^2 * pairs / re_lo / re_hi, cut to whole numbers."""
+def edge_weights(counts: DataFrame, contigs: DataFrame, min_links: int = 3, watch: Watch | None = None) -> DataFrame:
+    """(lo, hi, pairs, weight) of the pairs with enough links: max_re^2 * pairs / re_lo / re_hi, cut to whole numbers; ``watch`` counts the pairs, and those with too few."""
     re = contigs.select("contig_id", F.col("re_count").cast("long").alias("re"))
     top = contigs.agg(F.max("re_count").cast("long")).scalar()
-    rows = counts.filter(F.col("pairs") >= min_links)
+    rows = counts if watch is None else watch(counts, "links", too_few=F.col("pairs") < min_links)
+    rows = rows.filter(F.col("pairs") >= min_links)
     rows = rows.join(re.select(F.col("contig_id").alias("lo"), F.col("re").alias("re_lo")), "lo").join(re.select(F.col("contig_id").alias("hi"), F.col("re").alias("re_hi")), "hi")
     rows = rows.withColumn("top", top)
     return rows.select("lo", "hi", "pairs", F.expr("(top * top * pairs) div (re_lo * re_hi)").cast("double").alias("weight"))
@@ -39,9 +48,11 @@ def node_factors(weighted: DataFrame, contigs: DataFrame) -> DataFrame:
     return rows.withColumn("factor", F.try_divide(F.col("degree"), mean))
 
 
-def invalid_nodes(factors: DataFrame, min_re: int = 10, max_density: float = 2.0) -> DataFrame:
-    """Contigs with too few sites or too many links."""
-    return factors.filter((F.col("re_count") < min_re) | (F.coalesce(F.col("factor"), F.lit(0.0)) >= max_density)).select("contig_id")
+def invalid_nodes(factors: DataFrame, min_re: int = 10, max_density: float = 2.0, watch: Watch | None = None) -> DataFrame:
+    """Contigs with too few sites or too many links; ``watch`` counts the contigs and both kinds."""
+    few, dense = F.col("re_count") < min_re, F.coalesce(F.col("factor"), F.lit(0.0)) >= max_density
+    rows = factors if watch is None else watch(factors, "contigs", few_sites=few, too_dense=~few & dense)
+    return rows.filter(few | dense).select("contig_id")
 
 
 def draft_edges(weighted: DataFrame, factors: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contactweave.functions.watch import Watch
+
 #: Unmapped, mate unmapped, secondary, failed quality, duplicate, supplementary.
 BAD_FLAGS = 4 + 8 + 256 + 512 + 1024 + 2048
 
@@ -46,19 +48,38 @@ def in_windows(reads: DataFrame, windows: DataFrame, read_length: Column) -> Dat
     return rows.join(listed, same & meets, "left_semi").drop("_cw_len", "_cw_own", "_cw_from")
 
 
-def filter_alignments(alignments: DataFrame, windows: DataFrame | None = None, min_mapq: int = 40, check_flags: bool = True) -> DataFrame:
-    """Read pairs of the alignments that are known, good, between two contigs and, with ``windows``, near a site."""
-    keep = quality_ok(min_mapq) & F.col("ref_id").isNotNull() & F.col("next_ref_id").isNotNull() & (F.col("ref_id") != F.col("next_ref_id"))
-    rows = alignments.filter(keep & flags_ok() if check_flags else keep)
+def drop_reasons(min_mapq: int = 40, check_flags: bool = True) -> dict[str, Column]:
+    """Why an alignment is dropped, as conditions of which at most one holds: the first in this order."""
+    each = {
+        "unknown_contig": F.col("ref_id").isNull() | F.col("next_ref_id").isNull(),
+        "same_contig": F.col("ref_id") == F.col("next_ref_id"),
+        "mapping_quality": ~quality_ok(min_mapq),
+    } | ({"flags": ~flags_ok()} if check_flags else {})
+    out, before = {}, F.lit(False)
+    for name, holds in each.items():
+        holds = F.coalesce(holds, F.lit(True))
+        out[name], before = holds & ~before, before | holds
+    return out
+
+
+def _near_sites(rows: DataFrame, windows: DataFrame | None, read_length: Column, label: str, watch: Watch | None) -> DataFrame:
     if windows is not None:
-        rows = in_windows(rows, windows, F.col("l_seq"))
-    return rows.select("ref_id", "pos", "next_ref_id", "next_pos")
+        rows = in_windows(rows, windows, read_length)
+    return rows if watch is None else watch(rows, f"{label} kept")
+
+
+def filter_alignments(alignments: DataFrame, windows: DataFrame | None = None, min_mapq: int = 40, check_flags: bool = True, watch: Watch | None = None, label: str = "alignments") -> DataFrame:
+    """Read pairs of the alignments that are known, good, between two contigs and, with ``windows``, near a site; ``watch`` counts them all, by the reason they go, and those kept."""
+    rows = alignments if watch is None else watch(alignments, label, **drop_reasons(min_mapq, check_flags))
+    keep = quality_ok(min_mapq) & F.col("ref_id").isNotNull() & F.col("next_ref_id").isNotNull() & (F.col("ref_id") != F.col("next_ref_id"))
+    rows = rows.filter(keep & flags_ok() if check_flags else keep)
+    return _near_sites(rows, windows, F.col("l_seq"), label, watch).select("ref_id", "pos", "next_ref_id", "next_pos")
 
 
-def filter_pairs(pairs: DataFrame, windows: DataFrame | None = None, read_length: int = 150) -> DataFrame:
-    """Read pairs between two contigs and, with ``windows``, near a site."""
-    rows = pairs.filter(F.col("ref_id") != F.col("next_ref_id"))
-    return rows if windows is None else in_windows(rows, windows, F.lit(read_length))
+def filter_pairs(pairs: DataFrame, windows: DataFrame | None = None, read_length: int = 150, watch: Watch | None = None, label: str = "pairs") -> DataFrame:
+    """Read pairs between two contigs and, with ``windows``, near a site; ``watch`` counts them all, those within a contig, and those kept."""
+    rows = pairs if watch is None else watch(pairs, label, same_contig=F.col("ref_id") == F.col("next_ref_id"))
+    return _near_sites(rows.filter(F.col("ref_id") != F.col("next_ref_id")), windows, F.lit(read_length), label, watch)
 
 
 def bind_names(pairs: DataFrame, contigs: DataFrame) -> DataFrame:

@@ -219,17 +219,27 @@ def alignments(rows: DataFrame) -> DataFrame:
 
 def block(content: bytes) -> bytes:
     """A block without its first 16 bytes."""
-    squeezed = zlib.compressobj(6, wbits=-15)
+    squeezed = zlib.compressobj(1, wbits=-15)
     data = squeezed.compress(content) + squeezed.flush()
     return struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(content), len(content))
 
 
-def bam_bytes(names: list[tuple[str, int]], records: Iterator[tuple]) -> Iterator[bytes]:
-    """Header and records (ref_no, pos, mapq, flag, l_seq, next_ref_no, next_pos), as pieces; sequences and qualities are left blank."""
-    yield b"BAM\1" + struct.pack("<ii", 0, len(names)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in names)
-    for ref, pos, mapq, flag, l_seq, next_ref, next_pos in records:
-        body = struct.pack("<iiBBHHHiiii", ref, pos, 2, mapq, 0, 0, flag, l_seq, next_ref, next_pos, 0) + b"r\0" + b"\xff" * ((l_seq + 1) // 2 + l_seq)
-        yield struct.pack("<i", len(body)) + body
+def header_bytes(names: list[tuple[str, int]]) -> bytes:
+    return b"BAM\1" + struct.pack("<ii", 0, len(names)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in names)
+
+
+def record_bytes(head: np.ndarray) -> bytes:
+    """Alignments of these heads; sequences and qualities are left blank."""
+    front = np.zeros(len(head), dtype=[("size", "<i4"), ("head", HEAD), ("name", "S2")])
+    front["head"], front["name"] = head, b"r"
+    front["head"]["l_name"] = 2
+    blank = (head["l_seq"].astype(np.int64) + 1) // 2 + head["l_seq"]
+    n = front.itemsize
+    front["size"] = n - 4 + blank
+    starts = np.cumsum(n + blank) - (n + blank)
+    out = np.full(int((n + blank).sum()), 0xFF, dtype=np.uint8)
+    out[starts[:, None] + np.arange(n)] = front.view(np.uint8).reshape(-1, n)
+    return out.tobytes()
 
 
 def blocks_of(pieces: Iterator[bytes], size: int = 60_000) -> Iterator[bytes]:
@@ -237,33 +247,48 @@ def blocks_of(pieces: Iterator[bytes], size: int = 60_000) -> Iterator[bytes]:
     held = b""
     for piece in pieces:
         held += piece
-        while len(held) >= size:
-            yield block(held[:size])
-            held = held[size:]
+        full = len(held) - len(held) % size
+        for at in range(0, full, size):
+            yield block(held[at : at + size])
+        held = held[full:]
     yield block(held)
 
 
-def write_alignments(rows: DataFrame, path: str) -> None:
+def _numbered(batch: pa.RecordBatch, name: str, length: str, number: dict[str, int], names: list[tuple[str, int]]) -> np.ndarray:
+    """The numbers of a batch's contigs; new ones are added to the dictionary."""
+    coded = batch.column(name).dictionary_encode()
+    places = coded.indices.to_numpy()
+    seen, first = np.unique(places, return_index=True)
+    for value, size in zip(coded.dictionary.take(pa.array(seen)).to_pylist(), batch.column(length).take(pa.array(first)).to_pylist(), strict=True):
+        if value not in number:
+            number[value] = len(names)
+            names.append((value, size))
+    return np.array([number[x] for x in coded.dictionary.to_pylist()], dtype=np.int32)[places]
+
+
+def write_alignments(rows: DataFrame, path: str, most: int = 20_000) -> None:
     """Files of blocks, one a task, from (name, length, pos, mapq, flag, l_seq, next_name, next_length, next_pos).
 
-    A file's dictionary has the contigs of its own alignments, so a contig has another number in every file.
+    A file's dictionary stands in front of its alignments and has the contigs of these alone, so a contig has another
+    number in every file, and a task holds its alignments' heads, 32 bytes each, until it has seen all; ``most`` are
+    written out at once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if table is None or not table.num_rows:
-            return
         number: dict[str, int] = {}
-        names = []
-        for a, b in (("name", "length"), ("next_name", "next_length")):
-            for name, length in zip(table[a].to_pylist(), table[b].to_pylist(), strict=True):
-                if name not in number:
-                    number[name] = len(names)
-                    names.append((name, length))
-        ref, next_ref = ([number[n] for n in table[c].to_pylist()] for c in ("name", "next_name"))
-        pos, mapq, flag, l_seq, next_pos = (table[c].to_pylist() for c in ("pos", "mapq", "flag", "l_seq", "next_pos"))
-        records = zip(ref, pos, mapq, flag, l_seq, next_ref, next_pos, strict=True)
-        for data in itertools.chain([b""], blocks_of(bam_bytes(names, records))):
+        names: list[tuple[str, int]] = []
+        heads = []
+        for batch in batches:
+            head = np.zeros(batch.num_rows, dtype=HEAD)
+            head["ref_no"] = _numbered(batch, "name", "length", number, names)
+            head["next_ref_no"] = _numbered(batch, "next_name", "next_length", number, names)
+            for column in ("pos", "mapq", "flag", "l_seq", "next_pos"):
+                head[column] = batch.column(column).to_numpy()
+            heads.append(head)
+        if not names:
+            return
+        records = (record_bytes(head[at : at + most]) for head in heads for at in range(0, len(head), most))
+        for data in itertools.chain([b""], blocks_of(itertools.chain([header_bytes(names)], records))):
             yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["value"])
 
     out = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactweave.functions.sequence import record_name, to_int
+from contactweave.functions.watch import Watch
 
 
 def fasta_records(records: DataFrame) -> DataFrame:
@@ -59,19 +60,19 @@ def read_allele_rows(spark: SparkSession, path: str, contigs: DataFrame) -> Data
     return parse_allele_rows(spark.read.text(path).select(F.monotonically_increasing_id().alias("row_id"), "value"), contigs)
 
 
-def read_mappings(spark: SparkSession, paths: list[str], contigs: DataFrame, windows: DataFrame | None = None, min_mapq: int = 40, check_flags: bool = True, read_length: int = 150) -> DataFrame:
-    """Filtered read pairs of all files together, each read by its suffix."""
+def read_mappings(spark: SparkSession, paths: list[str], contigs: DataFrame, windows: DataFrame | None = None, min_mapq: int = 40, check_flags: bool = True, read_length: int = 150, watch: Watch | None = None) -> DataFrame:
+    """Filtered read pairs of all files together, each read by its suffix; ``watch`` counts each file's, by the reason they go."""
     from contactweave.operators.reads import bind_names, bind_references, filter_alignments, filter_pairs
     from contactweave.sources import bam
 
     parts = []
     for path in paths:
         if path.endswith((".pairs", ".pairs.gz")):
-            parts.append(filter_pairs(bind_names(read_pairs(spark, path), contigs), windows, read_length))
+            parts.append(filter_pairs(bind_names(read_pairs(spark, path), contigs), windows, read_length, watch, path))
         elif path.endswith(".bam"):
             rows = bam.decoded(spark, path)
             bound = bind_references(bam.alignments(rows), bam.references(rows), contigs)
-            parts.append(filter_alignments(bound, windows, min_mapq, check_flags))
+            parts.append(filter_alignments(bound, windows, min_mapq, check_flags, watch, path))
         else:
             raise ValueError(f"neither .bam nor .pairs: {path}")
     return reduce(DataFrame.unionByName, parts)

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactweave.functions.storage import stored
+from contactweave.operators.running import ranked
+
 AGP_COLUMNS = ["object", "object_beg", "object_end", "part_number", "component_type", "component_id", "component_beg", "component_end", "orientation"]
 
 
-def write_fasta(pieces: DataFrame, path: str) -> None:
-    """Records of (object, ord, seq): a header line, then a line a piece; a scaffold is sorted on its way out, not put together."""
-    heads = pieces.groupBy("object").agg(F.min("ord").alias("ord")).select("object", (F.col("ord") - 1).alias("ord"), F.concat(F.lit(">"), "object").alias("value"))
-    lines = heads.unionByName(pieces.select("object", "ord", F.col("seq").alias("value")))
-    lines.repartition("object").sortWithinPartitions("object", "ord").select("value").write.text(path)
+def write_fasta(pieces: DataFrame, path: str, tasks: int | None = None) -> None:
+    """Records of (object, ord, part, seq): a header line, then a line a piece, written by ranges of (object, ord, part).
+
+    The part files in the order of their names are the whole file; a scaffold may run over several, so no
+    task has to write a whole one. ``<path>.files`` has each part file's offset and bytes in the whole,
+    ``<path>.objects`` each record's.
+    """
+    keys = ["object", "ord", "part"]
+    heads = pieces.groupBy("object").agg(F.min(F.struct("ord", "part")).alias("x")).select("object", "x.ord", (F.col("x.part") - 1).alias("part"), F.concat(F.lit(">"), "object").alias("value"))
+    lines = stored(heads.unionByName(pieces.select(*keys, F.col("seq").alias("value"))), "lines")
+    dealt = lines.repartitionByRange(tasks, *keys) if tasks else lines.repartitionByRange(*keys)
+    dealt.sortWithinPartitions(*keys).select("value").write.text(path)
+    files = lines.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.col("length").alias("bytes"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files.select("file", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("offset"), "bytes").write.option("sep", "\t").csv(f"{path}.files")
+    records = lines.groupBy("object").agg(F.sum(F.octet_length("value").cast("long") + 1).alias("bytes"))
+    ranked(records, [F.col("object")], "bytes").select("object", (F.col("running") - F.col("bytes")).alias("offset"), "bytes").write.option("sep", "\t").csv(f"{path}.objects")
 
 
 def write_agp(rows: DataFrame, path: str) -> None:

@@ -50,7 +50,7 @@ def test_partition(spark, seed):
     veto |= {(b, a) for a, b in veto}
     edges = spark.createDataFrame([(a, b, 5, w) for (a, b), w in weights.items()], "start int, end int, pairs long, weight double")
     contigs = spark.createDataFrame([(c,) for c in range(n)], "contig_id int")
-    bars = spark.createDataFrame([(c, sorted(b for a, b in veto if a == c)) for c in sorted({a for a, _ in veto})], "contig_id int, other_ids array<int>") if veto else None
+    bars = spark.createDataFrame([((1 << 40) + k, list(p)) for k, p in enumerate(sorted(veto))], "row_id long, contig_ids array<int>") if veto else None
     got = cluster.partition(edges, contigs.limit(0), contigs, k, bars).orderBy("group_id", "contig_id").collect()
     groups = {}
     for r in got:
@@ -73,14 +73,14 @@ def naive_match(pairs, table):
     return sorted(pairs)
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_match_rows(spark, seed):
+@pytest.mark.parametrize(("seed", "rest"), [(0, 0), (1, 0), (2, 0), (3, 5), (4, 50_000), (5, 50_000)])
+def test_match_rows(spark, seed, rest):
     rng = np.random.default_rng(seed)
     pairs = {(a, b): int(rng.integers(1, 1000)) for a in range(12) for b in range(a + 1, 12) if rng.random() < 0.5}
     table = [sorted(rng.choice(12, int(rng.integers(2, 5)), replace=False).tolist()) for _ in range(5)]
     counts = spark.createDataFrame([(*p, n) for p, n in pairs.items()], "lo int, hi int, pairs long")
     rows = spark.createDataFrame(list(enumerate(table)), "row_id int, contig_ids array<int>")
-    assert sorted((r.lo, r.hi) for r in allele.match_rows(counts, rows).collect()) == naive_match(pairs, table)
+    assert sorted((r.lo, r.hi) for r in allele.match_rows(counts, rows, rest).collect()) == naive_match(pairs, table)
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(k, k + 1) for k in range(60)], [(0, k) for k in range(1, 80)], [(5, 4), (4, 3), (9, 8), (3, 5)]])
@@ -137,6 +137,16 @@ def test_matching_query(spark):
     assert sorted((r.lo, r.hi) for r in got) == naive_match(pairs, table) and all(pairs[r.lo, r.hi] == r.pairs for r in got)
 
 
+def test_matching_rounds_spread(spark):
+    """One chain of rows that all have links with each other, settled in rounds: as the naive loop, by several tasks."""
+    rng = np.random.default_rng(8)
+    table = [list(range(20 * k, 20 * k + 21)) for k in range(6)]
+    pairs = {(a, b): int(rng.integers(1, 50)) for a in range(121) for b in range(a + 1, 121) if rng.random() < 0.4}
+    counts = spark.createDataFrame([(*p, n) for p, n in pairs.items()], "lo int, hi int, pairs long")
+    rows = spark.createDataFrame(list(enumerate(table)), "row_id int, contig_ids array<int>")
+    assert sorted((r.lo, r.hi) for r in allele.match_rows(counts, rows, 1000).collect()) == naive_match(pairs, table)
+
+
 def test_ordering_query(spark, sf):
     """The registered query orders every contig once, and its score is that of the order."""
     links = {(r.group_id, r.lo, r.hi): r.pairs for r in catalog.QUERIES["group_edges"](spark, sf).collect()}

@@ -4,6 +4,7 @@ import gzip
 import random
 import struct
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -11,7 +12,7 @@ from contactweave.functions import storage
 from contactweave.jobs.config import BuildConfig, DraftConfig, ExtractConfig, OrderingConfig, PartitionConfig
 from contactweave.jobs.scaffold import Pipeline
 from contactweave.operators.links import link_counts
-from contactweave.sources import bam, text_formats, writers
+from contactweave.sources import bam, bam_source, text_formats, writers
 from contactweave.streaming.link_stream import count_stream, write_counts
 
 
@@ -91,6 +92,41 @@ def test_bam_splits(spark, tmp_path, names, count, block, most, long):
             spark.conf.set(c, v)
 
 
+def test_written_alignments_read_back(spark, tmp_path):
+    rng = random.Random(2)
+    names = [(f"contig{k}", 1000 + k) for k in range(40)]
+    rows = []
+    for _ in range(3000):
+        (a, m), (b, n) = rng.choice(names), rng.choice(names)
+        rows.append((a, m, rng.randrange(1000), rng.randrange(256), rng.randrange(1 << 16), rng.randrange(300), b, n, rng.randrange(1000)))
+    schema = "name string, length int, pos int, mapq short, flag int, l_seq int, next_name string, next_length int, next_pos int"
+    bam.write_alignments(spark.createDataFrame(rows, schema).repartition(3), str(tmp_path / "bam"), most=700)
+    found = bam.decoded(spark, str(tmp_path / "bam"))
+    of = {(r.file, r.ref_no): (r.name, r.length) for r in bam.references(found).collect()}
+    got = [(*of[r.file, r.ref_no], r.pos, r.mapq, r.flag, r.l_seq, *of[r.file, r.next_ref_no], r.next_pos) for r in bam.alignments(found).collect()]
+    assert sorted(got) == sorted(rows) and len({f for f, _ in of}) == 3
+
+
+@pytest.mark.parametrize(("names", "count", "block", "range_", "long"), [(3, 2000, 900, 1 << 13, 0), (900, 300, 5000, 1 << 12, 0), (2, 40, 700, 1 << 11, 9000), (3, 2000, 60_000, 1 << 30, 0), (2, 0, 100, 50, 0)])
+def test_bam_as_a_data_source(spark, tmp_path, names, count, block, range_, long):
+    """The format's rows are those written, whatever the ranges; a filter is pushed to the records' heads."""
+    bam_source.register(spark)
+    rng = random.Random(count)
+    dictionary = [(f"contig{k}", rng.randrange(1, 1 << 30)) for k in range(names)]
+    rows = [(rng.randrange(-1, names), rng.randrange(-1, 1 << 28), rng.randrange(256), rng.randrange(4096), rng.randrange(200), rng.randrange(-1, names), rng.randrange(-1, 1 << 28)) for _ in range(count)]
+    _write_bam(tmp_path / "x.bam", dictionary, rows, block, lambda k: rng.randbytes(rng.randrange(long) if long and k % 7 == 0 else rng.randrange(60)))
+    name = lambda k: None if k < 0 else dictionary[k][0]
+    want = Counter((name(a), p, q, f, n, name(b), r) for a, p, q, f, n, b, r in rows)
+    df = spark.read.format("bam").option("range", range_).load(str(tmp_path / "x.bam"))
+    got = [tuple(r)[1:] for r in df.collect()]
+    assert Counter(got) == want
+    few = df.filter("mapq >= 40 AND flag < 1000 AND l_seq > 7")
+    assert Counter(tuple(r)[1:] for r in few.collect()) == Counter({r: n for r, n in want.items() if r[2] >= 40 and r[3] < 1000 and r[4] > 7})
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("Filter") : plan.index("BatchScan")] if "Filter" in plan else ""
+    assert "l_seq" in left and "mapq" not in left and "flag" not in left
+
+
 def test_pipeline(spark, tmp_path):
     seqs = _inputs(tmp_path)
     job = Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("GATC", "AT"), min_mapq=40), PartitionConfig(2), DraftConfig(min_re=1, max_density=9.0), OrderingConfig(ngen=30, max_gen=60, npop=20))
@@ -122,13 +158,24 @@ def test_stages_alone(spark, tmp_path):
     """One stage makes what it needs and no more; a changed parameter makes only what depends on it anew."""
     _inputs(tmp_path)
     files = str(tmp_path / "c.fasta"), [str(tmp_path / "r.pairs")]
-    made = lambda: {p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir()}
+    made = lambda: {p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir() if not p.name.endswith(".counts")}
     job = lambda **more: Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("AT",)), PartitionConfig(2), **{"draft": DraftConfig(min_re=1, max_density=9.0), **more}).inputs(*files)
-    assert set(job().stage("draft")) == {"links", "weighted", "factors", "edges", "invalid"}
-    assert made() == {"sequences", "contigs", "windows", "reads", "links", "weighted", "factors", "edges", "invalid"}
+    assert set(job().stage("draft")) == {"counts_0", "links", "weighted", "factors", "edges", "invalid"}
+    assert made() - {"input"} == {"sequences", "hits", "contigs", "windows", "reads", "counts", "links", "weighted", "factors", "edges", "invalid"}
     before = {p.name for p in (tmp_path / "out").iterdir()}
     job(draft=DraftConfig(min_re=1, max_density=0.5)).stage("draft")
-    assert {p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir() if p.name not in before} == {"invalid"}
+    assert {p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir() if p.name not in before and not p.name.endswith(".counts")} == {"invalid"}
+    before = {p.name for p in (tmp_path / "out").iterdir()}
+    # A file that is added is all that is decoded, and what depends on all of them made anew.
+    added = job().inputs(files[0], [str(tmp_path / "r.bam"), *files[1]])
+    added.table("edges")
+    new = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "out").iterdir() if p.name not in before and not p.name.endswith(".counts"))
+    assert new == sorted(["input", "reads", "counts", "links", "weighted", "factors", "edges"])
+    assert added.table("reads").count() > job().table("reads").count()
+    # A file of the same name that has changed is another.
+    old = job().table("contigs").count()
+    (tmp_path / "c.fasta").write_text((tmp_path / "c.fasta").read_text() + ">new\nACGT\n")
+    assert job().table("contigs").count() == old + 1
     job().dump("edges", str(tmp_path / "edges"))
     rows = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "edges"))
     assert rows.columns == ["start_name", "end_name", "pairs", "weight"] and rows.count() == job().table("edges").count() > 0
@@ -153,6 +200,9 @@ def test_storage(spark, tmp_path, monkeypatch):
     class Session:
         conf = Conf({"spark.master": "spark://host:7077", "spark.app.id": "a"})
 
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session)
+    Session.conf["spark.master"] = "local-cluster[3,2,1024]"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.shared_dir(Session)
     Session.conf["spark.checkpoint.dir"] = "hdfs://x/y/"
@@ -209,3 +259,30 @@ def test_stream(spark, tmp_path):
         write_counts(count_stream(spark, source, 1), out, mark).awaitTermination()
     last = spark.read.parquet(out).groupBy("lo", "hi").agg({"pairs": "max"}).collect()
     assert sorted(map(tuple, last)) == sorted(map(tuple, link_counts(spark.createDataFrame(a + b, schema)).collect()))
+
+
+def test_missing_files_are_named_at_once(spark, tmp_path):
+    _inputs(tmp_path)
+    job = Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("AT",)), PartitionConfig(2)).inputs(str(tmp_path / "c.fasta"), [str(tmp_path / "no.bam"), str(tmp_path / "r.pairs")], str(tmp_path / "no.table"))
+    assert job.missing("sequences") == [] and [x.rsplit("/", 1)[1] for x in job.missing("links")] == ["no.bam", "no.table"]
+    with pytest.raises(FileNotFoundError, match="no.bam.*no.table"):
+        job.table("edges")
+    assert not (tmp_path / "out").exists() or not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("sequences")]
+
+
+def test_counts_by_reason(spark, tmp_path):
+    """What is counted while the reads are written adds up to what was read."""
+    names = [("c0", 3000), ("c1", 3000), ("zz", 5)]
+    rows = [(0, 5, 60, 99, 150, 1, 7), (0, 5, 60, 99, 150, 0, 7), (0, 5, 10, 99, 150, 1, 7), (0, 5, 60, 1024, 150, 1, 7), (2, 0, 60, 99, 150, 0, 0), (-1, -1, 0, 4, 0, -1, -1), (1, 900, 60, 99, 20, 0, 7)]
+    _write_bam(tmp_path / "r.bam", names, rows)
+    (tmp_path / "r.pairs").write_text("r\tc0\t1\tc1\t2\t+\t-\tUU\nr\tc0\t1\tc0\t2\t+\t-\tUU\n")
+    (tmp_path / "c.fasta").write_text(">c0\nGATC" + "A" * 2000 + "\n>c1\nGATC" + "A" * 2000 + "\n")
+    job = Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("GATC",), window=100), PartitionConfig(2), DraftConfig(min_re=3)).inputs(str(tmp_path / "c.fasta"), [str(tmp_path / "r.bam"), str(tmp_path / "r.pairs")])
+    job.stage("draft")
+    got = {(r.label.rsplit("/", 1)[-1], r.what): r.n for r in job.counts().collect()}
+    assert {k[1]: n for k, n in got.items() if k[0] == "r.bam"} == {"rows": 7, "unknown_contig": 2, "same_contig": 1, "mapping_quality": 1, "flags": 1}
+    assert got["r.bam kept", "rows"] == 1 and got["r.pairs", "rows"] == 2 and got["r.pairs", "same_contig"] == 1 and got["r.pairs kept", "rows"] == 1
+    assert (got["links", "rows"], got["links", "too_few"]) == (1, 1) and (got["contigs", "rows"], got["contigs", "few_sites"], got["contigs", "too_dense"]) == (2, 2, 0)
+    # A run that finds its tables complete has the counts too.
+    again = Pipeline(spark, str(tmp_path / "out"), ExtractConfig(("GATC",), window=100), PartitionConfig(2), DraftConfig(min_re=3)).inputs(str(tmp_path / "c.fasta"), [str(tmp_path / "r.bam"), str(tmp_path / "r.pairs")])
+    assert sorted(again.counts().collect()) == sorted(job.counts().collect())

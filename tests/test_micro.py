@@ -122,7 +122,7 @@ def _square(spark):
 def test_partition(spark):
     edges, contigs, none = _square(spark)
     assert rows(cluster.partition(edges, none, contigs, 2)) == [(1, 0), (1, 1), (2, 2), (2, 3)]
-    veto = spark.createDataFrame([(2, [3]), (3, [2])], "contig_id int, other_ids array<int>")
+    veto = spark.createDataFrame([(7, [2, 3])], "row_id int, contig_ids array<int>")
     found = cluster.partition(edges, none, contigs, 2, veto)
     assert rows(found) == [(1, 0), (1, 1), (1, 2)]
     skipped = spark.createDataFrame([(3,)], "contig_id int")
@@ -160,8 +160,8 @@ def test_build(spark):
     seqs = spark.createDataFrame([(0, "AAC"), (1, "GT")], "contig_id int, seq string")
     assert rows(build.scaffold_sequences(chromosomes, seqs)) == [("Group_1", "AACAC")]
     assert rows(build.scaffold_sequences(chromosomes, seqs, gap=2)) == [("Group_1", "AACNNAC")]
-    assert rows(build.scaffold_pieces(chromosomes, seqs)) == [("Group_1", 0, "AAC"), ("Group_1", 1, "AC")]
-    assert rows(build.scaffold_pieces(chromosomes, seqs, gap=2)) == [("Group_1", 0, "AAC"), ("Group_1", 1, "NNAC")]
+    assert rows(build.scaffold_pieces(chromosomes, seqs)) == [("Group_1", 0, 0, "AAC"), ("Group_1", 1, 0, "AC")]
+    assert rows(build.scaffold_pieces(chromosomes, seqs, gap=2)) == [("Group_1", 0, 0, "AAC"), ("Group_1", 1, 0, "NNAC")]
 
 
 def test_config():
