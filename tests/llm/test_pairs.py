@@ -191,7 +191,7 @@ def test_search_sql(spark, sf, same_as_sql):
 
 @pytest.mark.parametrize("scale", [1, 1 << 21])
 def test_search_cases(spark, monkeypatch, scale):
-    for name, value in (("SHARD", 40), ("BLOCK", 7), ("LEAF", 8)):
+    for name, value in (("SHARD", 40), ("BLOCK", 7), ("LEAF", 8), ("WAVES", (1, 3))):
         monkeypatch.setattr(search, name, value)
     rng = random.Random(3)
     rows = [(k if k % 9 else 40, [scale * rng.choice([0.5, -0.25, 0.125, 1.0, float(rng.randint(-9, 9))]) for _ in range(3 if k % 10 else 2)] if k % 13 else (None if k % 2 else [1.0, None, math.nan])) for k in range(300)]
@@ -319,6 +319,31 @@ def test_least_hashes_meet_as_often_as_sets_agree():
     assert abs(np.mean(met) / 32 - (36 / 44) ** 6) < 0.02 and min(met) > 0
 
 
+def test_clustered_vectors_meet_few_shards(spark, monkeypatch):
+    """On clustered vectors most pairs of a block and a shard are left out, and the scores are those of all pairs."""
+    for name, value in (("SHARD", 100), ("BLOCK", 8), ("LEAF", 16)):
+        monkeypatch.setattr(search, name, value)
+    waves, wave = [], search._wave
+
+    def counted(shards, blocks, pairs, k):
+        waves.append((pairs.count(), shards.count() * blocks.count()))
+        return wave(shards, blocks, pairs, k)
+
+    monkeypatch.setattr(search, "_wave", counted)
+    rng = np.random.default_rng(9)
+    centre = rng.normal(0, 1, (8, 16))
+    centre *= 3 / np.sqrt((centre**2).sum(axis=1))[:, None]
+    x = np.repeat(centre, 500, axis=0) + rng.normal(0, 0.02, (4000, 16))
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in search.top_k(df, F.col("vec_id") % 20 == 0, 5).collect()}
+    whole = np.floor(64 * x).astype(np.int64)
+    for q in range(0, 4000, 20):
+        score = whole @ whole[q]
+        order = [c for c in np.lexsort((np.arange(4000), -score)).tolist() if c != q][:5]
+        assert [got[q, n + 1] for n in range(5)] == [(c, int(score[c])) for c in order]
+    assert len(waves) == 3 and sum(n for n, _ in waves) < 0.5 * waves[0][1], waves
+
+
 def test_search_empty_query_vector(spark):
     df = spark.createDataFrame([(20, []), (40, []), (41, []), (60, [1.0]), (61, [2.0])], "vec_id long, embedding array<float>")
     got = search.top_k(df, F.col("vec_id") % 20 == 0, 2)
