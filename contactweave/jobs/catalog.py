@@ -217,7 +217,7 @@ def allele_row_candidates(s, d):
 
 @query
 def allele_greedy_match(s, d):
-    return allele.match_rows(stored(links.link_counts(b.reads(s, d)), "links"), b.allele_rows(s, d))
+    return allele.match_rows(links.link_counts(b.reads(s, d)), b.allele_rows(s, d))
 
 
 @query

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactweave.functions.storage import stored
@@ -51,6 +52,8 @@ def row_candidates(counts: DataFrame, rows: DataFrame) -> DataFrame:
 
 #: Links left below which one task settles the rest; each is a row of nine numbers.
 REST = 50_000
+#: Links of one pair of rows that one task may go through, and the part of all links that a wave must settle.
+MOST, SHARE = 4_000_000, 64
 
 
 def _greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,28 +87,86 @@ def _settled(left: DataFrame) -> DataFrame:
     return rows.withColumn("hit", hit).withColumn("out", F.max("dropped").over(link)).drop("first", "first_0", "first_1")
 
 
-def match_rows(counts: DataFrame, rows: DataFrame, rest: int = REST) -> DataFrame:
-    """Link counts after pruning within rows and greedy matching between rows.
+def rows_of(rows: DataFrame) -> DataFrame:
+    """(contig_id, rows): the sorted rows that a contig has a part in."""
+    return members(rows).filter("row_id IS NOT NULL AND contig_id IS NOT NULL").groupBy("contig_id").agg(F.sort_array(F.collect_set("row_id")).alias("rows"))
 
-    Two rows at a time, in their order, take their strongest links between contigs that are still free and
-    drop the others; what is dropped isn't seen by later pairs of rows. It is done in rounds over all links
-    at once: a link is matched where it is the first left of both its contigs and of its own places in the
-    order. That blocks the other links of these contigs in this pair of rows; a blocked link is dropped, with
-    all its later places, once its earlier places are settled. The first link left is always settled, so the
-    rounds end; when at most ``rest`` are left one task goes through them.
-    """
-    left = prune_within_rows(counts, rows)
-    ends = {"lo": F.least("contig_i", "contig_j"), "hi": F.greatest("contig_i", "contig_j")}
-    found = row_candidates(left, rows).withColumns(ends).withColumns({"at": F.struct("row_i", "row_j", (-F.col("pairs")).alias("less"), "lo", "hi"), "blocked": F.lit(False)})
-    open_, gone = stored(found, "open"), None
+
+def _places() -> Column:
+    """A link's pairs of rows in order, from the rows ``a`` of its low and ``b`` of its high contig; ``ahead`` if the low one is in the first. Pruned links have no row on both sides."""
+    place = lambda x, y: F.struct(F.least(x, y).alias("row_i"), F.greatest(x, y).alias("row_j"), (x < y).alias("ahead"))
+    return F.array_sort(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: place(x, y)))))
+
+
+def _take_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that are matched in their pair of rows, of links in order; a contig is in one of the two rows only."""
+    at, used = None, set()
+    for batch in batches:
+        taken = []
+        for i, j, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("row_i", "row_j", "lo", "hi")), strict=True):
+            if at != (i, j):
+                at, used = (i, j), set()
+            taken.append(lo not in used and hi not in used)
+            if taken[-1]:
+                used |= {lo, hi}
+        yield batch.filter(pa.array(taken, pa.bool_()))
+
+
+def _wave(open_: DataFrame, ready: DataFrame) -> DataFrame:
+    """``open_`` without the links dropped in the pairs of rows ``ready``, those matched there one place further."""
+    place = F.try_element_at(_places(), F.col("at") + 1)
+    rows = open_.withColumn("place", place).withColumns({c: F.col(f"place.{c}") for c in ("row_i", "row_j")}).drop("place")
+    now, key = rows.join(ready, ["row_i", "row_j"], "left_semi").select(rows.columns), ["row_i", "row_j"]
+    taken = now.repartition(*key).sortWithinPartitions(*key, F.desc("pairs"), "lo", "hi").mapInArrow(_take_first, now.schema)
+    later = rows.join(ready, key, "left_anti")
+    return taken.withColumn("at", F.col("at") + 1).select(open_.columns).unionByName(later.select(open_.columns))
+
+
+def _rounds(found: DataFrame, rest: int) -> DataFrame:
+    """(lo, hi) of the links dropped, from links at their places, in rounds over all of them at once."""
+    open_, gone = found, None
     while open_.count() > rest:
         done = stored(_settled(open_), "settled")
         new = done.filter("dropped").select("lo", "hi")
         gone = new if gone is None else gone.unionByName(new)
         open_ = stored(done.filter("NOT matched AND NOT out").withColumn("blocked", F.col("blocked") | F.col("hit")).select(open_.columns), "open")
     last = open_.drop("at").repartition(1).mapInPandas(_greedy, "lo int, hi int")
-    gone = last if gone is None else gone.unionByName(last)
-    return left.join(gone.distinct(), ["lo", "hi"], "left_anti")
+    return (last if gone is None else gone.unionByName(last)).distinct()
 
 
-__all__ = ["conflicts", "match_rows", "members", "prune_within_rows", "row_candidates"]
+def match_rows(counts: DataFrame, rows: DataFrame, rest: int = REST, most: int = MOST) -> DataFrame:
+    """Link counts after pruning within rows and greedy matching between rows.
+
+    Two rows at a time, in their order, take their strongest links between contigs that are still free and
+    drop the others; what is dropped isn't seen by later pairs of rows. A link is one row with the rows of its
+    contigs, and stands at one of its places (pairs of rows) at a time. In waves, all pairs of rows where every
+    link that has a place there has come to it are gone through, each as a stream of sorted links; few links
+    outlast their first place, and only these go on. Pairs of rows with more than ``most`` links are left
+    alone. When a wave would settle few links, the rest is done in rounds over all links at all their places:
+    a link is matched where it is the first left of both its contigs and of its own places in the order. That
+    blocks the other links of these contigs in this pair of rows; a blocked link is dropped, with all its later
+    places, once its earlier places are settled. The first link left is always settled, so the rounds end; when
+    at most ``rest`` are left one task goes through them.
+    """
+    of, none = rows_of(rows), F.array().cast(rows.select(F.array("row_id").alias("x")).schema["x"].dataType)
+    sides = [of.select(F.col("contig_id").alias(end), F.col("rows").alias(side)) for end, side in (("lo", "a"), ("hi", "b"))]
+    placed = counts.join(sides[0], "lo", "left").join(sides[1], "hi", "left").withColumns({c: F.coalesce(c, none) for c in "ab"})
+    now = stored(placed.filter(~F.arrays_overlap("a", "b")).select("lo", "hi", "pairs", "a", "b", F.lit(0).alias("at")), "placed")
+    done, result = F.col("at") == F.size("a") * F.size("b"), ["lo", "hi", "pairs"]
+    kept, open_ = now.filter(done).select(result), now.filter(~done)
+    while (left := open_.count()) > rest:
+        each = open_.select("at", F.posexplode(_places()).alias("k", "place")).filter("k >= at").groupBy("place.row_i", "place.row_j")
+        each = each.agg(F.count_if(F.col("k") == F.col("at")).alias("n"), F.max(F.col("k") > F.col("at")).alias("early"))
+        ready = stored(each.filter(~F.col("early") & (F.col("n") <= most)), "ready")
+        if (ready.agg(F.sum("n")).first()[0] or 0) * SHARE < left:
+            break
+        now = stored(_wave(open_, ready), "wave")
+        kept, open_ = kept.unionByName(now.filter(done).select(result)), now.filter(~done)
+    found = open_.select(*result, "at", F.posexplode(_places()).alias("k", "place")).filter("k >= at")
+    found = found.select(
+        "place.row_i", "place.row_j", F.when(F.col("place.ahead"), F.col("lo")).otherwise(F.col("hi")).alias("contig_i"), F.when(F.col("place.ahead"), F.col("hi")).otherwise(F.col("lo")).alias("contig_j"),
+        "pairs", "lo", "hi", F.struct("place.row_i", "place.row_j", (-F.col("pairs")).alias("less"), "lo", "hi").alias("at"), F.lit(False).alias("blocked"))
+    return kept.unionByName(open_.select(result).join(_rounds(stored(found, "open"), rest), ["lo", "hi"], "left_anti"))
+
+
+__all__ = ["conflicts", "match_rows", "members", "prune_within_rows", "row_candidates", "rows_of"]

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from contactweave.functions import storage
 from contactweave.jobs import catalog
 from contactweave.operators import allele, cluster, components, order, running
 from contactweave.sources import bindings
@@ -83,6 +84,33 @@ def test_match_rows(spark, seed, rest):
     assert sorted((r.lo, r.hi) for r in allele.match_rows(counts, rows, rest).collect()) == naive_match(pairs, table)
 
 
+@pytest.mark.parametrize(("seed", "most"), [(6, 0), (7, 3), (8, 10**6)])
+def test_match_rows_waves(spark, seed, most):
+    """By rounds alone, by waves over small pairs of rows and then rounds, and by waves alone, with ties of strength."""
+    rng = np.random.default_rng(seed)
+    pairs = {(a, b): int(rng.integers(1, 4)) for a in range(14) for b in range(a + 1, 14) if rng.random() < 0.6}
+    table = [sorted(rng.choice(12, int(rng.integers(2, 5)), replace=False).tolist()) for _ in range(6)]
+    counts = spark.createDataFrame([(*p, n) for p, n in pairs.items()], "lo int, hi int, pairs long")
+    rows = spark.createDataFrame(list(enumerate(table)), "row_id int, contig_ids array<int>")
+    assert sorted((r.lo, r.hi) for r in allele.match_rows(counts, rows, 0, most).collect()) == naive_match(pairs, table)
+
+
+def test_matching_stores_no_link_at_all_its_places(spark, monkeypatch):
+    """What is stored on the way has a row a link, not one for each of its pairs of rows."""
+    sizes = {}
+
+    def kept(df, name):
+        out = storage.stored(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(allele, "stored", kept)
+    counts, rows = catalog.QUERIES["link_counts"](spark, SF), bindings.allele_rows(spark, SF)
+    links = counts.count()
+    allele.match_rows(counts, rows, 100).collect()
+    assert max(sizes.values()) <= links
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(k, k + 1) for k in range(60)], [(0, k) for k in range(1, 80)], [(5, 4), (4, 3), (9, 8), (3, 5)]])
 def test_components(spark, edges):
     root = {x: x for e in edges for x in e if e[0] != e[1]}
