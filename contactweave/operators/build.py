@@ -48,8 +48,15 @@ def scaffold_pieces(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0)
     return rows.select("object", "ord", "part", F.when(F.col("inner"), F.concat(F.lit("N" * gap), "seq")).otherwise(F.col("seq")).alias("seq"))
 
 
+#: Contigs in a row that are joined before a scaffold is.
+RUN = 64
+
+
 def scaffold_sequences(chromosomes: DataFrame, sequences: DataFrame, gap: int = 0) -> DataFrame:
-    """(object, seq): the pieces of each scaffold joined to one string, for scaffolds that fit a row (2 GB); ``scaffold_pieces`` has no such limit."""
-    pieces = scaffold_pieces(chromosomes, sequences, gap)
-    ordered = pieces.groupBy("object").agg(F.sort_array(F.collect_list(F.struct("ord", "part", "seq"))).alias("x"))
-    return ordered.select("object", F.array_join("x.seq", "").alias("seq"))
+    """(object, seq): the pieces of each scaffold joined to one string, for scaffolds that fit a row (2 GB); ``scaffold_pieces`` has no such limit.
+
+    Runs of contigs are joined first, so the last step holds a few long strings and no row a piece.
+    """
+    joined = lambda keys: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*keys, "seq"))), lambda x: x["seq"]), "").alias("seq")
+    pieces = scaffold_pieces(chromosomes, sequences, gap).withColumn("run", F.floor(F.col("ord") / RUN))
+    return pieces.groupBy("object", "run").agg(joined(["ord", "part"])).groupBy("object").agg(joined(["run"])).select("object", "seq")

@@ -39,6 +39,14 @@ def test_tables_are_read_once(spark, sf, monkeypatch, name, table, scans):
     assert sum("FileScan" in line and f"/{table}.parquet" in line for plan in plans for line in plan.splitlines()) == scans
 
 
+def test_scaffolds_are_whole(spark, sf):
+    """One row a scaffold, with all its contigs' bases in order: nothing is left for a reader to put together."""
+    got = QUERIES["scaffold_fasta"](spark, sf)
+    assert got.columns == ["object", "seq"] and got.count() == got.select("object").distinct().count() == 16
+    sizes = QUERIES["reverse_complements"](spark, sf).selectExpr("sum(length(seq)) AS n").first().n
+    assert got.selectExpr("sum(length(seq)) AS n").first().n == sizes
+
+
 def test_alignments_are_decoded_once(spark, sf):
     """The read filter adds no scan to those of its alignments and its windows."""
     scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
