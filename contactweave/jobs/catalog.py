@@ -234,7 +234,7 @@ def cluster_linkage(s, d):
 
 @query
 def cluster_conflicts(s, d):
-    return cluster.cluster_conflicts(allele.conflicts(b.allele_rows(s, d)), b.groups(s, d))
+    return cluster.cluster_conflicts(b.allele_rows(s, d), b.groups(s, d))
 
 
 @query

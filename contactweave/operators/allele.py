@@ -17,11 +17,51 @@ def members(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", F.explode("contig_ids").alias("contig_id")).distinct()
 
 
+def rows_of(rows: DataFrame) -> DataFrame:
+    """(contig_id, rows): the sorted rows that a contig has a part in."""
+    return members(rows).filter("row_id IS NOT NULL AND contig_id IS NOT NULL").groupBy("contig_id").agg(F.sort_array(F.collect_set("row_id")).alias("rows"))
+
+
+def _alike(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, contig_id), and (rows, all): the sorted contigs of each set of rows that a contig has. Contigs with the same rows share one list."""
+    of = rows_of(rows)
+    each = rows.select("row_id", F.array_compact("contig_ids").alias("ids"))
+    sets = of.select("rows").distinct().select("rows", F.explode("rows").alias("row_id")).join(each, "row_id")
+    return of.select("rows", "contig_id"), sets.groupBy("rows").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("all"))
+
+
+#: Tasks the slices are dealt to at least.
+DEAL = 16
+#: Contigs with the same rows that get their list from one row of it.
+SLICE = 64
+
+
+def _lists(rows: DataFrame, whole, without) -> DataFrame:
+    """(contig_id, others): ``without(whole(all), contig_id)`` for every contig that isn't alone in its rows.
+
+    The list of each set of rows is made once and meets slices of its contigs, not each contig; a slice's
+    rows are made by one task, and slices are dealt to tasks by their number, whatever their size.
+    """
+    of, lists = _alike(rows)
+    slices = of.withColumn("slice", F.floor((F.row_number().over(Window.partitionBy("rows").orderBy("contig_id")) - 1) / SLICE))
+    slices = slices.groupBy("rows", "slice").agg(F.collect_list("contig_id").alias("ids"))
+    met = slices.join(lists.filter(F.size("all") > 1).select("rows", whole(F.col("all")).alias("all")), "rows")
+    tasks = 4 * max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), DEAL)
+    dealt = met.repartition(tasks, "rows", "slice")
+    return dealt.select("all", F.explode("ids").alias("contig_id")).select("contig_id", without(F.col("all"), F.col("contig_id")).alias("others"))
+
+
 def conflicts(rows: DataFrame) -> DataFrame:
     """(contig_id, other_ids): for each contig the sorted contigs that share a row with it."""
-    a, b = members(rows), members(rows).withColumnRenamed("contig_id", "other_id")
-    pairs = a.join(b, "row_id").filter("contig_id <> other_id")
-    return pairs.groupBy("contig_id").agg(F.array_sort(F.collect_set("other_id")).alias("other_ids"))
+    return _lists(rows, lambda x: x, F.array_remove).withColumnRenamed("others", "other_ids")
+
+
+def conflict_texts(rows: DataFrame) -> DataFrame:
+    """(contig_id, other_ids) as ``conflicts``, the contigs as text joined by commas: a contig is cut out of its rows' text."""
+    text = lambda x: F.concat(F.lit(","), F.array_join(x.cast("array<string>"), ","), F.lit(","))
+    cut = lambda x, own: F.replace(x, F.concat(F.lit(","), own.cast("string"), F.lit(",")), F.lit(","))
+    found = _lists(rows, text, cut)
+    return found.select("contig_id", F.substring("others", F.lit(2), F.length("others") - 2).alias("other_ids"))
 
 
 def prune_within_rows(counts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -87,11 +127,6 @@ def _settled(left: DataFrame) -> DataFrame:
     return rows.withColumn("hit", hit).withColumn("out", F.max("dropped").over(link)).drop("first", "first_0", "first_1")
 
 
-def rows_of(rows: DataFrame) -> DataFrame:
-    """(contig_id, rows): the sorted rows that a contig has a part in."""
-    return members(rows).filter("row_id IS NOT NULL AND contig_id IS NOT NULL").groupBy("contig_id").agg(F.sort_array(F.collect_set("row_id")).alias("rows"))
-
-
 def _places() -> Column:
     """A link's pairs of rows in order, from the rows ``a`` of its low and ``b`` of its high contig; ``ahead`` if the low one is in the first. Pruned links have no row on both sides."""
     place = lambda x, y: F.struct(F.least(x, y).alias("row_i"), F.greatest(x, y).alias("row_j"), (x < y).alias("ahead"))
@@ -169,4 +204,4 @@ def match_rows(counts: DataFrame, rows: DataFrame, rest: int = REST, most: int =
     return kept.unionByName(open_.select(result).join(_rounds(stored(found, "open"), rest), ["lo", "hi"], "left_anti"))
 
 
-__all__ = ["conflicts", "match_rows", "members", "prune_within_rows", "row_candidates", "rows_of"]
+__all__ = ["conflict_texts", "conflicts", "match_rows", "members", "prune_within_rows", "row_candidates", "rows_of"]

@@ -15,10 +15,10 @@ import heapq
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contactweave.operators.allele import members
+from contactweave.operators.allele import members, rows_of
 from contactweave.operators.components import components
 from contactweave.operators.running import ranked
 
@@ -141,12 +141,46 @@ def cluster_linkage(edges: DataFrame, members: DataFrame) -> DataFrame:
     return sums.select("from_group", "to_group", "total", (F.col("total") / F.col("n1") / F.col("n2")).alias("linkage"))
 
 
-def cluster_conflicts(conflicts: DataFrame, members: DataFrame) -> DataFrame:
-    """(group_a, group_b, conflicts), group_a < group_b: groups that must not merge, and how many contig pairs say so."""
-    pairs = conflicts.select("contig_id", F.explode("other_ids").alias("other_id")).filter("contig_id < other_id")
-    rows = pairs.join(members.select("contig_id", F.col("group_id").alias("g1")), "contig_id").join(members.select(F.col("contig_id").alias("other_id"), F.col("group_id").alias("g2")), "other_id")
-    rows = rows.filter("g1 <> g2").select(F.least("g1", "g2").alias("group_a"), F.greatest("g1", "g2").alias("group_b"))
-    return rows.groupBy("group_a", "group_b").agg(F.count("*").alias("conflicts"))
+#: Rows of a contig up to which sets of them are counted, at most 255 a contig.
+FEW_ROWS = 8
+
+
+def _subsets(rows: str) -> Column:
+    """The non-empty subsets of an array of a few rows, each sorted as the array is."""
+    chosen = lambda mask: F.filter(rows, lambda _, k: mask.bitwiseAND(F.element_at(bits, k + 1)) != 0)
+    bits = F.array(*[F.lit(1 << k) for k in range(FEW_ROWS)])
+    last = F.element_at(bits, F.size(rows)) * 2 - 1
+    return F.transform(F.sequence(F.lit(1), last), chosen)
+
+
+def cluster_conflicts(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(group_a, group_b, conflicts), group_a < group_b: groups that must not merge, and how many pairs of contigs that share an allele row say so.
+
+    Contigs are counted, never paired: by the sets of rows they have and their group. Pairs that share some row
+    are, by inclusion and exclusion, those that share each set of rows, added for odd sets and taken off for even
+    ones. Contigs with more than ``FEW_ROWS`` rows have too many such sets; their kinds (rows, group) meet the
+    others over their rows, each two once.
+    """
+    placed = rows_of(rows).join(members.filter("group_id IS NOT NULL").select("contig_id", "group_id"), "contig_id")
+    kinds = placed.groupBy("rows", "group_id").agg(F.count("*").alias("n"))
+    few = F.size("rows") <= FEW_ROWS
+    sums = lambda df, *keys: df.groupBy(*keys).agg(F.sum("n").alias("n"))
+    shared = sums(kinds.filter(few).select(F.explode(_subsets("rows")).alias("set"), "group_id", "n"), "set", "group_id")
+    side = lambda df, k, *keys: df.select(*keys, F.col("group_id").alias(f"group_{k}"), F.col("n").alias(f"n_{k}"))
+    both = side(shared, "a", "set").join(side(shared, "b", "set"), "set").filter("group_a < group_b")
+    sign = F.when(F.size("set") % 2 == 1, 1).otherwise(-1)
+    parts = both.select("group_a", "group_b", (sign * F.col("n_a") * F.col("n_b")).alias("n"))
+    # Kinds of many rows, with all kinds.
+    each = kinds.select("rows", "group_id", "n", F.explode("rows").alias("row_id"))
+    met = side(each.filter(~few), "x", "row_id", F.col("rows").alias("rows_x")).join(side(each, "y", "row_id", F.col("rows").alias("rows_y")), "row_id").filter("group_x <> group_y")
+    # Of two kinds of many rows each is met from both.
+    met = met.filter((F.size("rows_y") <= FEW_ROWS) | (F.col("group_x") < F.col("group_y"))).drop("row_id").distinct()
+    many = met.select(F.least("group_x", "group_y").alias("group_a"), F.greatest("group_x", "group_y").alias("group_b"), (F.col("n_x") * F.col("n_y")).alias("n"))
+    # A contig that is listed in two groups doesn't conflict with itself.
+    own = placed.groupBy("contig_id", "group_id").agg(F.count("*").alias("n")).withColumn("groups", F.count("*").over(Window.partitionBy("contig_id"))).filter("groups > 1")
+    twice = side(own, "a", "contig_id").join(side(own, "b", "contig_id"), "contig_id").filter("group_a < group_b").select("group_a", "group_b", (-F.col("n_a") * F.col("n_b")).alias("n"))
+    total = sums(parts.unionByName(many).unionByName(twice), "group_a", "group_b")
+    return total.filter("n > 0").withColumnRenamed("n", "conflicts")
 
 
 def recover(edges: DataFrame, members: DataFrame, skipped: DataFrame, ratio: float = 3.0) -> DataFrame:

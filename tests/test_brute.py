@@ -111,6 +111,44 @@ def test_matching_stores_no_link_at_all_its_places(spark, monkeypatch):
     assert max(sizes.values()) <= links
 
 
+def _table(spark, seed, most):
+    """Allele rows of 40 contigs in up to ``most`` rows each, one contig alone in its row, and one row listed in two parts."""
+    rng = np.random.default_rng(seed)
+    table = [(k, sorted(rng.choice(40, int(rng.integers(2, most)), replace=False).tolist())) for k in range(12)] + [(50, [70]), (3, [1, 2, None]), (None, [5, 6])]
+    pairs = {(a, b) for k in range(12) for own in [{c for j, t in table for c in t if j == k and c is not None}] for a in own for b in own if a != b}
+    return spark.createDataFrame(table, "row_id int, contig_ids array<int>"), pairs
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_conflicts(spark, seed):
+    rows, pairs = _table(spark, seed, 9)
+    got = {r.contig_id: r.other_ids for r in allele.conflicts(rows).collect()}
+    assert got == {a: sorted(y for x, y in pairs if x == a) for a, _ in pairs}
+    assert {r.contig_id: r.other_ids for r in allele.conflict_texts(rows).collect()} == {c: ",".join(map(str, x)) for c, x in got.items()}
+
+
+@pytest.mark.parametrize(("seed", "most"), [(0, 6), (1, 9), (2, 39)])
+def test_cluster_conflicts(spark, seed, most):
+    """Also contigs in more rows than are counted by their sets, and contigs listed twice or in two groups."""
+    rows, pairs = _table(spark, seed, most)
+    members = [(c % 3, c) for c in range(40)] + [(1, 4), (1, 4), (0, 7), (None, 8)]
+    want = {}
+    for a, x in members:
+        for b, y in members:
+            if a is not None and b is not None and a < b and (x, y) in pairs:
+                want[a, b] = want.get((a, b), 0) + 1
+    got = cluster.cluster_conflicts(rows, spark.createDataFrame(members, "group_id int, contig_id int")).collect()
+    assert {(r.group_a, r.group_b): r.conflicts for r in got} == want
+
+
+def test_conflicts_pair_no_contigs(spark):
+    """4,000 contigs of one row are 16 million pairs."""
+    rows = spark.range(1).select(F.lit(1).alias("row_id"), F.sequence(F.lit(0), F.lit(3999)).alias("contig_ids"))
+    members = spark.range(4000).select((F.col("id") % 2).cast("int").alias("group_id"), F.col("id").cast("int").alias("contig_id"))
+    assert [tuple(r) for r in cluster.cluster_conflicts(rows, members).collect()] == [(0, 1, 4_000_000)]
+    assert allele.conflict_texts(rows).filter("contig_id = 2").first().other_ids.startswith("0,1,3,4,")
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(k, k + 1) for k in range(60)], [(0, k) for k in range(1, 80)], [(5, 4), (4, 3), (9, 8), (3, 5)]])
 def test_components(spark, edges):
     root = {x: x for e in edges for x in e if e[0] != e[1]}
