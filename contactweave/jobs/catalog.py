@@ -201,8 +201,7 @@ def allele_text_rows(s, d):
 
 @query
 def allele_conflicts(s, d):
-    found = allele.conflicts(b.allele_rows(s, d))
-    return found.select("contig_id", F.array_join(F.transform("other_ids", lambda x: x.cast("string")), ",").alias("other_ids"))
+    return allele.conflict_texts(b.allele_rows(s, d))
 
 
 @query
