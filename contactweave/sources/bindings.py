@@ -20,13 +20,17 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").cast("int").alias("contig_id"), F.col("s_name").alias("name"), (F.col("n") * 1000).cast("int").alias("length"), (F.col("parts") + 1).cast("int").alias("re_count"))
 
 
+#: Items that one task pairs, so that its memory doesn't grow with the table.
+ITEMS = 250_000
+
+
 def _mates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of items of one order. Items get their contig's length before they meet, so pairs, which are more, are not joined again; both sides are one shuffle."""
+    size = contigs(spark, sf_dir).select(F.col("contig_id").alias("l_suppkey"), "length")
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    a = items.select("l_orderkey", F.col("l_linenumber").alias("n1"), F.col("l_suppkey").alias("s1"))
-    b = items.select("l_orderkey", F.col("l_linenumber").alias("n2"), F.col("l_suppkey").alias("s2"))
-    size = contigs(spark, sf_dir)
-    rows = a.join(b, "l_orderkey").filter("n1 < n2 AND s1 <> s2")
-    rows = rows.join(size.select(F.col("contig_id").alias("s1"), F.col("length").alias("len1")), "s1").join(size.select(F.col("contig_id").alias("s2"), F.col("length").alias("len2")), "s2")
+    items = items.join(size, "l_suppkey").repartition(items.count() // ITEMS + 1, "l_orderkey")
+    side = lambda k: items.select("l_orderkey", F.col("l_linenumber").alias(f"n{k}"), F.col("l_suppkey").alias(f"s{k}"), F.col("length").alias(f"len{k}"))
+    rows = side(1).join(side(2), "l_orderkey").filter("n1 < n2 AND s1 <> s2")
     return rows.select(
         F.col("s1").cast("int").alias("ref_id"), F.expr("CAST((l_orderkey * 7919 + n1 * 104729L) % len1 AS INT)").alias("pos"),
         F.col("s2").cast("int").alias("next_ref_id"), F.expr("CAST((l_orderkey * 6101 + n2 * 15485863L) % len2 AS INT)").alias("next_pos"),

@@ -6,6 +6,7 @@ from contactweave.functions import storage
 from contactweave.jobs.catalog import QUERIES
 from contactweave.jobs.oracles import ORACLES
 from contactweave.operators import sites
+from contactweave.sources import bindings
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -47,6 +48,14 @@ def test_scaffolds_are_whole(spark, sf):
     assert got.selectExpr("sum(length(seq)) AS n").first().n == sizes
 
 
+def test_items_are_paired_by_tasks_of_bounded_size(spark, sf, monkeypatch):
+    """Their number follows the table, whatever the session's partitions; pairs are not joined with contigs again."""
+    monkeypatch.setattr(bindings, "ITEMS", 1000)
+    plan = QUERIES["link_counts"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    n = bindings.table(spark, sf, "lineitem").count() // 1000 + 1
+    assert any("hashpartitioning(l_orderkey" in x and f", {n}), REPARTITION_BY_NUM" in x for x in plan.splitlines())
+
+
 def test_alignments_are_decoded_once(spark, sf):
     """The read filter adds no scan to those of its alignments and its windows."""
     scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
