@@ -255,3 +255,55 @@ def test_mutations(kind):
     start = np.arange(6)
     want = {0.1: [[0, 4, 2, 3, 1, 5]], 0.3: [[4, 5, 0, 1, 2, 3]], 0.5: [[0, 2, 3, 4, 1, 5], [0, 4, 1, 2, 3, 5]], 0.9: [[0, 4, 3, 2, 1, 5]]}[kind]
     assert [order._mutate(start.copy(), kind, 1, 4, back).tolist() for back in (False, True)][: len(want)] == want
+
+
+@pytest.mark.parametrize(("limit", "square"), [(order.LIMIT, order.SQUARE), (400, order.SQUARE), (400, 0), (400, 60), (0, order.SQUARE)])
+def test_scores_made_from_changes(monkeypatch, limit, square):
+    """A mutated order's score, made from the pairs across its cuts, is that of all pairs to the last digit."""
+    monkeypatch.setattr(order, "LIMIT", limit)
+    monkeypatch.setattr(order, "SQUARE", square)
+    rng, n, rows = np.random.default_rng(limit + square), 60, 2000
+    i, j = np.triu_indices(n, 1)
+    some = rng.random(len(i)) < 0.8
+    length, i, j, links = rng.integers(50, 200, n).astype(float), i[some], j[some], rng.integers(1, 30, some.sum()).astype(float)
+    score = order.Scoring(length, i, j, links)
+    assert score.by_cuts == (limit < length.sum()) and (score.square is None) == (square < n)
+    before = np.array([rng.permutation(n) for _ in range(rows)])
+    after, cuts = before.copy(), []
+    for row, kind, (p, q), back in zip(after, rng.random(rows), order._distinct(rng, n, 2, rows).tolist(), rng.random(rows) < 0.5, strict=True):
+        order._mutate(row, kind, p, q, back)
+        cuts.append(order._cuts(n, kind, p, q, back))
+    full = score(after)
+    assert np.array_equal(score(before) + score.change(before, after, *np.array(cuts).swapaxes(0, 1)), full)
+    assert np.allclose(full / score.scale, order._fitness(after, length, i, j, links), rtol=1e-12, atol=0)
+
+
+def test_a_change_scores_few_pairs():
+    """Links of far contigs cost nothing: a change looks at squares of ``reach`` around its cuts."""
+    n, rng = 250, np.random.default_rng(3)
+    i, j = np.triu_indices(n, 1)
+    score, seen = order.Scoring(np.full(n, 600_000.0), i, j, np.ones(len(i))), []
+    between = score._between
+    score._between = lambda x, y: seen.append(np.broadcast(x, y).size) or between(x, y)
+    before = np.array([rng.permutation(n)])
+    after = np.array([order._mutate(before[0].copy(), 0.9, 60, 190, False)])
+    score.change(before, after, *(np.array([c]) for c in order._cuts(n, 0.9, 60, 190, False)))
+    assert score.reach == 17 and sum(seen) == 2 * 2 * score.reach**2 < len(i) // 20
+
+
+def test_ordering_without_links_or_lengths(spark):
+    """A group of one contig, one without links, and one whose contigs are empty."""
+    members = spark.createDataFrame([(1, 1), (2, 2), (2, 3), (3, 4), (3, 5)], "group_id int, contig_id int")
+    contigs = spark.createDataFrame([(1, 10), (2, 10), (3, 10), (4, 0), (5, 0)], "contig_id int, length int")
+    links = spark.createDataFrame([(3, 4, 5, 2)], "group_id int, lo int, hi int, pairs long")
+    got = order.order_groups(links, members, contigs, ngen=5, max_gen=20, npop=4).collect()
+    assert sorted((r.group_id, r.contig_id) for r in got) == [(1, 1), (2, 2), (2, 3), (3, 4), (3, 5)]
+
+
+def test_groups_are_ordered_by_tasks_of_their_own(spark):
+    """Groups of few rows aren't put into one task."""
+    members = spark.createDataFrame([(k % 4, k) for k in range(12)], "group_id int, contig_id int")
+    contigs = spark.createDataFrame([(k, 10 + k) for k in range(12)], "contig_id int, length int")
+    links = spark.createDataFrame([(k % 4, k, k + 4, 2) for k in range(8)], "group_id int, lo int, hi int, pairs long")
+    got = order.order_groups(links, members, contigs, ngen=5, max_gen=20, npop=4).withColumn("task", F.spark_partition_id())
+    assert len({r.task for r in got.collect()}) == 4
