@@ -22,6 +22,8 @@ HALF = 50
 #: Stricter than the defaults so that these tables have invalid contigs.
 MIN_RE, MAX_DENSITY, MIN_LINKS = 500, 1.03, 3
 GROUPS, RATIO = 4, 1.05
+#: Items at most, on average, whose alignments go to one file.
+FILE_ITEMS = 2_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,7 +62,7 @@ def _chromosomes(s: SparkSession, d: str) -> DataFrame:
 def _site_windows(s: SparkSession, d: str) -> DataFrame:
     """Windows on supplier contigs, around sites derived from their line items."""
     items = b.table(s, d, "lineitem").select(F.col("l_suppkey").cast("int").alias("contig_id"), F.expr("l_partkey * 7919L + l_linenumber * 104729L").alias("x"))
-    sites_ = items.join(b.contigs(s, d).select("contig_id", "length"), "contig_id").select("contig_id", F.expr("CAST(x % length AS INT)").alias("pos"), "length")
+    sites_ = items.join(b.lengths(s, d), "contig_id").select("contig_id", F.expr("CAST(x % length AS INT)").alias("pos"), "length")
     return sites.site_windows(sites_, 300)
 
 
@@ -155,12 +157,16 @@ def bam_filter_no_flags(s, d):
 @query
 def bam_alignments(s, d):
     """Alignments by contig, written as files of BAM blocks, each with a dictionary of its own, and read back."""
+    contigs = stored(b.contigs(s, d).select("contig_id", "name", "length"), "contigs")
     rows, path = b.alignments(s, d), f"{shared_dir(s)}/bam-{uuid.uuid4().hex}"
     for key, name, length in (("ref_id", "name", "length"), ("next_ref_id", "next_name", "next_length")):
-        rows = rows.join(b.contigs(s, d).select(F.col("contig_id").alias(key), F.col("name").alias(name), F.col("length").alias(length)), key)
-    bam.write_alignments(rows, path)
+        rows = rows.join(contigs.select(F.col("contig_id").alias(key), F.col("name").alias(name), F.col("length").alias(length)), key)
+    # A file names its contigs, so the names grow with files times contigs: a file is of many tasks' rows.
+    cores = s.sparkContext.defaultParallelism
+    waves = b.table(s, d, "lineitem").count() // (FILE_ITEMS * cores) + 1
+    bam.write_alignments(rows.coalesce(waves * cores), path)
     found = bam.decoded(s, path)
-    bound = reads.bind_references(bam.alignments(found), bam.references(found), b.contigs(s, d))
+    bound = reads.bind_references(bam.alignments(found), stored(bam.references(found), "references"), contigs)
     return bound.select("ref_id", "pos", "mapq", "flag", "l_seq", "next_ref_id", "next_pos")
 
 

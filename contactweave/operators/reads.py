@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactweave.functions.watch import Watch
@@ -94,9 +94,14 @@ def bind_names(pairs: DataFrame, contigs: DataFrame) -> DataFrame:
 
 
 def bind_references(alignments: DataFrame, references: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Alignments by the file's own reference numbers as alignments by contig id, null where the name is unknown."""
+    """Alignments by the file's own reference numbers as alignments by contig id, null where the name is unknown.
+
+    Files, which are few, are numbered, so that alignments go through the joins by numbers and not by their files' paths.
+    """
     ids = contigs.groupBy("name").agg(F.min("contig_id").alias("id"))
-    known = references.join(ids, "name").select("file", F.col("ref_no"), "id")
-    one = known.select("file", F.col("ref_no").alias("ref_no"), F.col("id").alias("ref_id"))
-    two = known.select("file", F.col("ref_no").alias("next_ref_no"), F.col("id").alias("next_ref_id"))
-    return alignments.join(one, ["file", "ref_no"], "left").join(two, ["file", "next_ref_no"], "left")
+    files = F.broadcast(references.select("file").distinct().select("file", F.row_number().over(Window.orderBy("file")).alias("_cw_file")))
+    known = references.join(files, "file").join(ids, "name").select("_cw_file", "ref_no", "id")
+    one = known.select("_cw_file", "ref_no", F.col("id").alias("ref_id"))
+    two = known.select("_cw_file", F.col("ref_no").alias("next_ref_no"), F.col("id").alias("next_ref_id"))
+    rows = alignments.join(files, "file", "left").join(one, ["_cw_file", "ref_no"], "left").join(two, ["_cw_file", "next_ref_no"], "left")
+    return rows.drop("_cw_file")

@@ -124,7 +124,7 @@ def _rows(file: str, split: int, kind: int, data: bytes | None = None, head: np.
     names = [x.split() for x in COLUMNS.split(", ")]
     kinds = {"int": pa.int32(), "short": pa.int16()}
     own = [pa.nulls(n, kinds[t]) if head is None else pa.array(head[c].astype("i4" if t == "int" else "i2"), kinds[t]) for c, t in names]
-    columns = [pa.array([file] * n, pa.string()), pa.array([split] * n, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([data] * n, pa.binary()), *own]
+    columns = [*(pa.repeat(pa.scalar(x, t), n) for x, t in ((file, pa.string()), (split, pa.int64()), (kind, pa.int32()), (data, pa.binary()))), *own]
     return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in DECODED.split(", ")])
 
 

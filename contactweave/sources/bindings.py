@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from contactweave.functions.storage import stored
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,13 +22,18 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").cast("int").alias("contig_id"), F.col("s_name").alias("name"), (F.col("n") * 1000).cast("int").alias("length"), (F.col("parts") + 1).cast("int").alias("re_count"))
 
 
+def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contig_id, length), stored: few rows of known size, so that Spark need not shuffle the items that they are joined to."""
+    return stored(contigs(spark, sf_dir).select("contig_id", "length"), "lengths")
+
+
 #: Items that one task pairs, so that its memory doesn't grow with the table.
 ITEMS = 250_000
 
 
 def _mates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of items of one order. Items get their contig's length before they meet, so pairs, which are more, are not joined again; both sides are one shuffle."""
-    size = contigs(spark, sf_dir).select(F.col("contig_id").alias("l_suppkey"), "length")
+    size = lengths(spark, sf_dir).withColumnRenamed("contig_id", "l_suppkey")
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     items = items.join(size, "l_suppkey").repartition(items.count() // ITEMS + 1, "l_orderkey")
     side = lambda k: items.select("l_orderkey", F.col("l_linenumber").alias(f"n{k}"), F.col("l_suppkey").alias(f"s{k}"), F.col("length").alias(f"len{k}"))

@@ -6,7 +6,7 @@ from contactweave.functions import storage
 from contactweave.jobs.catalog import QUERIES
 from contactweave.jobs.oracles import ORACLES
 from contactweave.operators import sites
-from contactweave.sources import bindings
+from contactweave.sources import bam, bindings
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -62,6 +62,21 @@ def test_alignments_are_decoded_once(spark, sf):
     assert scans(QUERIES["bam_filter"](spark, sf)) == scans(QUERIES["range_semi_join"](spark, sf))
 
 
+def test_few_files_of_alignments(spark, sf, monkeypatch):
+    """Files, each of which names its contigs, are no more than the cores for small tables, however many tasks pair items."""
+    found = []
+    monkeypatch.setattr(bindings, "ITEMS", 100)
+    monkeypatch.setattr(bam, "references", lambda rows, of=bam.references: found.append(of(rows)) or found[0])
+    assert QUERIES["bam_alignments"](spark, sf).count() == bindings.alignments(spark, sf).count()
+    assert 1 <= found[0].select("file").distinct().count() <= spark.sparkContext.defaultParallelism
+
+
+def test_items_meet_lengths_without_a_shuffle(spark, sf):
+    """Lengths are few and of known size, so items are shuffled once, to meet each other."""
+    plan = bindings.reads(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(l_suppkey" not in plan
+
+
 def test_entry(spark):
     import __spark_entry__
 
