@@ -291,6 +291,63 @@ def test_a_change_scores_few_pairs():
     assert score.reach == 17 and sum(seen) == 2 * 2 * score.reach**2 < len(i) // 20
 
 
+def one_at_a_time(start, score, rng, mutapb, ngen, max_gen, npop, shuffle):
+    """The search with all orders laid out, and each change scored on all links."""
+    population = np.array([rng.permutation(start) for _ in range(npop)]) if shuffle else np.tile(start, (npop, 1))
+    scores = score(population)
+    best, least, since = population[np.argmin(scores)].copy(), scores.min(), 0
+    for _ in range(max_gen):
+        contest = order._distinct(rng, npop, min(3, npop), npop)
+        population = population[contest[np.arange(npop), np.argmin(scores[contest], axis=1)]]
+        changed = np.flatnonzero(rng.random(npop) < mutapb)
+        if len(start) > 1 and len(changed):
+            places, kinds, backs = order._distinct(rng, len(start), 2, len(changed)), rng.random(len(changed)), rng.random(len(changed)) < 0.5
+            for at, (p, q), kind, back in zip(changed, places, kinds, backs, strict=True):
+                order._mutate(population[at], kind, p, q, back)
+        scores, since = score(population), since + 1
+        if scores.min() < least:
+            best, least, since = population[np.argmin(scores)].copy(), scores.min(), 0
+        if since > ngen:
+            break
+    return best, least
+
+
+def _linked(seed, n, share, most=30):
+    rng = np.random.default_rng(seed)
+    i, j = np.triu_indices(n, 1)
+    some = rng.random(len(i)) < share
+    return order.Scoring(rng.integers(50, 200, n).astype(float), i[some], j[some], rng.integers(1, most, some.sum()).astype(float))
+
+
+@pytest.mark.parametrize(
+    ("n", "limit", "square", "share", "npop", "shuffle", "by_cuts"),
+    [(1, 400, 4096, 1, 5, False, False), (2, 400, 4096, 1, 1, True, False), (9, 10**7, 4096, 0.7, 30, False, False), (60, 400, 4096, 0.8, 40, False, True), (60, 400, 0, 0.3, 40, True, True), (60, 0, 0, 0.8, 3, False, True), (60, 400, 4096, 0, 20, False, False)],
+)
+def test_search_ahead_is_that_of_one_generation_at_a_time(monkeypatch, n, limit, square, share, npop, shuffle, by_cuts):
+    """Orders, scores and the draws that follow are the same, whether or not the search ends inside a block of draws."""
+    monkeypatch.setattr(order, "LIMIT", limit)
+    monkeypatch.setattr(order, "SQUARE", square)
+    score = _linked(n + npop, n, share)
+    assert score.by_cuts == by_cuts
+    for ngen, max_gen in ((30, 1000), (500, 150), (3, 0)):
+        a, b = np.random.default_rng(ngen), np.random.default_rng(ngen)
+        got, want = order.evolve(np.arange(n), score, a, 0.3, ngen, max_gen, npop, shuffle), one_at_a_time(np.arange(n), score, b, 0.3, ngen, max_gen, npop, shuffle)
+        assert got[0].tolist() == want[0].tolist() and got[1] == want[1] and a.random() == b.random()
+
+
+def test_changes_are_scored_ahead(monkeypatch):
+    """While nothing is gained, few generations score changes of their own, and the population's orders are not copied."""
+    monkeypatch.setattr(order, "LIMIT", 400)
+    score, asked, laid = _linked(5, 60, 0.8), [], []
+    rng = np.random.default_rng(1)
+    best, _ = order.evolve(np.arange(60), score, rng, 0.2, 2000, 20_000, 100)
+    changes, mutate = score.changes, order._mutate
+    score.changes = lambda *a, **k: asked.append(len(a[3])) or changes(*a, **k)
+    monkeypatch.setattr(order, "_mutate", lambda *a: laid.append(1) or mutate(*a))
+    order.evolve(best, score, rng, 0.2, 400, 640, 100)
+    assert len(asked) < 640 / 3 and sum(x >= 200 for x in asked) >= 5 and len(laid) < 10 * 100
+
+
 def test_ordering_without_links_or_lengths(spark):
     """A group of one contig, one without links, and one whose contigs are empty."""
     members = spark.createDataFrame([(1, 1), (2, 2), (2, 3), (3, 4), (3, 5)], "group_id int, contig_id int")
